@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import REPAID_LABEL, day_text, month_span_text, month_text
+from riskbook.operators.rows import arrange
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,18 @@ class Cadence:
     fills_stock: bool = True
     vintages: bool = False
     as_text: bool = True
+    # Rows in presentation order: wanted when a table is written out.
+    ordered: bool = False
+
+    def by_date(self, table: DataFrame) -> DataFrame:
+        return arrange(table, "DATA_DT") if self.ordered else table
+
+    def by_code(self, table: DataFrame, key: str = "code") -> DataFrame:
+        """Rows by code, a total row (code null) last."""
+        return arrange(table, F.col(key).asc_nulls_last()) if self.ordered else table
+
+    def by_code_and_date(self, table: DataFrame) -> DataFrame:
+        return arrange(table, "code", "DATA_DT") if self.ordered else table
 
     def key(self, day: str = "DATA_DT") -> Column:
         """A date as the reports of this cadence show it."""

@@ -11,7 +11,9 @@ from riskbook.operators.sums import Part, fill_zero, fused_sums, names, with_gra
 from riskbook.plans.cadence import Cadence
 
 
-def _lending_by_place(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
+def _lending_by_place(
+    facts: DataFrame, dims: DataFrame, key: str, cadence: Cadence
+) -> DataFrame:
     parts = [
         Part("cnt", "CNT"),
         Part("loan_pr", "LOAN_PR"),
@@ -19,17 +21,18 @@ def _lending_by_place(facts: DataFrame, dims: DataFrame, key: str) -> DataFrame:
         Part("bal", "BAL"),
     ]
     sums = fill_zero(fused_sums(latest(facts), key, parts), names(parts))
-    return lookup(with_grand_total(sums, key, names(parts)), dims, key, key)
+    named = lookup(with_grand_total(sums, key, names(parts)), dims, key, key)
+    return cadence.by_code(named)
 
 
 def lending_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    return _lending_by_place(facts, dims, "PROV_CD").select(
+    return _lending_by_place(facts, dims, "PROV_CD", cadence).select(
         "code", "name", "cnt", "loan_pr", "out_cnt", "bal"
     )
 
 
 def lending_by_city(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    return _lending_by_place(facts, dims, "SHENGSHI_CD").select(
+    return _lending_by_place(facts, dims, "SHENGSHI_CD", cadence).select(
         "name", "code", "cnt", "loan_pr", "out_cnt", "bal"
     )
 
@@ -42,7 +45,7 @@ def lending_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Data
         Part("cum_loan_pr", "LOAN_PR"),
         Part("cum_cnt", "CNT"),
     ]
-    return fused_sums(facts, "DATA_DT", parts).select(
+    return cadence.by_date(fused_sums(facts, "DATA_DT", parts)).select(
         cadence.key().alias("data_dt"), *names(parts)
     )
 
@@ -56,7 +59,7 @@ def repayment(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
         Part("od_sp_amt", "DIFF_SP_AMT", touched),
         Part("od_ap_amt", "DIFF_AP_AMT", touched),
     ]
-    return fused_sums(facts, "DATA_DT", parts).select(
+    return cadence.by_date(fused_sums(facts, "DATA_DT", parts)).select(
         cadence.repayment_title().alias("title"), cadence.span().alias("data_dt"), *names(parts)
     )
 
@@ -72,6 +75,6 @@ def termination_maturity(facts: DataFrame, dims: DataFrame, cadence: Cadence) ->
         Part("terminated_cnt", "CNT", terminated),
         Part("terminated_od_amt", "OD_AMT", terminated),
     ]
-    return fused_sums(facts, "DATA_DT", parts).select(
+    return cadence.by_date(fused_sums(facts, "DATA_DT", parts)).select(
         cadence.key().alias("data_dt"), *names(parts)
     )

@@ -38,9 +38,10 @@ def _light_columns() -> list:
 
 def light_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     sums = _light_sums(facts.where(outstanding()), "DATA_DT")
-    return sums.select(cadence.key().alias("data_dt"), *_light_columns())
+    return cadence.by_date(sums).select(cadence.key().alias("data_dt"), *_light_columns())
 
 
 def light_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     sums = _light_sums(latest(facts.where(outstanding())), "PROV_CD")
-    return lookup(sums, dims, "PROV_CD", "PROV_CD").select("code", "name", *_light_columns())
+    named = lookup(sums, dims, "PROV_CD", "PROV_CD")
+    return cadence.by_code(named).select("code", "name", *_light_columns())

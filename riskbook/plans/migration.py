@@ -35,7 +35,7 @@ def _fund_change_parts(new_measure: str, moved_measure: str) -> list[Part]:
 
 def _fund_change(facts: DataFrame, parts: list[Part], cadence: Cadence, *extra: Column) -> DataFrame:
     sums = fill_zero(fused_sums(facts, "DATA_DT", parts), names(parts))
-    return sums.select(
+    return cadence.by_date(sums).select(
         cadence.span().alias("data_dt"),
         *names(parts),
         (F.col("t_1_1") - F.col("newly_terminated")).alias("diff"),
@@ -76,6 +76,6 @@ def migration_rates(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Data
     dated = table.withColumns({f"_{b}": F.lag(b).over(history) for b in bases}).where(
         F.col("_DATA_DT").isNotNull() & F.coalesce(*names(flows)).isNotNull()
     )
-    return fill_zero(dated, names(flows)).select(
+    return cadence.by_date(fill_zero(dated, names(flows))).select(
         cadence.span().alias("data_dt"), *names(flows), *rates
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import OVERDUE, SETTLED, bank_non_performing, month_text, rate
+from riskbook.operators.rows import arrange
 from riskbook.operators.sums import Part, fill_zero, fused_sums, names
 from riskbook.plans.cadence import Options
 from riskbook.plans.vintage import vintage, vintage_rates
@@ -25,7 +26,9 @@ PRINCIPAL = Basis("principal", "OD_PRINCIPAL_30", "LOAN_PR")
 BASES = (INTEREST, PRINCIPAL)
 
 
-def overdue_index(facts: DataFrame, basis: Basis, options: Options = Options()) -> DataFrame:
+def overdue_index(
+    facts: DataFrame, basis: Basis, options: Options = Options(), ordered: bool = False
+) -> DataFrame:
     """First loans, repeat loans, all loans: counts, 30-day overdue and rates by month."""
     first, repeat = F.col("RELOAN") == 1, F.col("RELOAN") != 1
     first_bn = first if options.first_bn_of_first_loans else repeat
@@ -41,7 +44,8 @@ def overdue_index(facts: DataFrame, basis: Basis, options: Options = Options())
         columns += [f"{who}_{c}" for c in ("cnt", "od_cnt", "lent", "od_amt", "bn_amt")]
         columns += _rates(who)
     columns += [f"all_{c}" for c in ("cnt", "od_cnt", "od_amt", "bn_amt", "lent")]
-    return sums.select(month_text("DATA_DT").alias("data_dt"), *columns, *_rates("all"))
+    dated = arrange(sums, "DATA_DT") if ordered else sums
+    return dated.select(month_text("DATA_DT").alias("data_dt"), *columns, *_rates("all"))
 
 
 def _parts(who: str, which: Column, bn_which: Column, basis: Basis) -> list[Part]:
@@ -62,10 +66,12 @@ def _rates(who: str) -> list[Column]:
     ]
 
 
-def capital_tables(facts: DataFrame, basis: Basis, ages: int) -> dict[str, DataFrame]:
+def capital_tables(
+    facts: DataFrame, basis: Basis, ages: int, ordered: bool = False
+) -> dict[str, DataFrame]:
     """Cohort matrices, amounts and rates, of all loans and of repeat loans."""
-    everyone = vintage(facts, ages, basis.overdue)
-    repeats = vintage(facts, ages, basis.overdue, F.col("BRELOAN") != 1)
+    everyone = vintage(facts, ages, basis.overdue, ordered=ordered)
+    repeats = vintage(facts, ages, basis.overdue, F.col("BRELOAN") != 1, ordered)
     return {
         "vintage_amount": everyone,
         "vintage_rate": vintage_rates(everyone),

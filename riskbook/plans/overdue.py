@@ -32,7 +32,7 @@ def overdue_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Data
         Part("bal", "BAL"),
     ]
     sums = fill_zero(fused_sums(facts, "DATA_DT", parts), names(parts))
-    return sums.select(
+    return cadence.by_date(sums).select(
         cadence.key().alias("data_dt"),
         *names(parts),
         rate("od_amt", "bal").alias("od_rate"),
@@ -56,7 +56,8 @@ def overdue_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) ->
     ]
     sums = fill_zero(fused_sums(latest(facts), "PROV_CD", parts), names(parts))
     rows = with_grand_total(sums, "PROV_CD", names(parts))
-    return lookup(rows, dims, "PROV_CD", "PROV_CD").select(
+    named = lookup(rows, dims, "PROV_CD", "PROV_CD")
+    return cadence.by_code(named).select(
         "code",
         "name",
         "out_cnt",
@@ -84,7 +85,8 @@ def overdue_by_city(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Data
     ]
     sums = fill_zero(fused_sums(latest(facts), "SHENGSHI_CD", parts), names(parts))
     rows = with_grand_total(sums, "SHENGSHI_CD", names(parts))
-    return lookup(rows, dims, "SHENGSHI_CD", "SHENGSHI_CD").select(
+    named = lookup(rows, dims, "SHENGSHI_CD", "SHENGSHI_CD")
+    return cadence.by_code(named).select(
         "code", "name", *names(parts), rate("od_amt", "bal").alias("od_rate")
     )
 
@@ -99,7 +101,8 @@ def overdue_by_scope(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Dat
         Part("od_amt", "OD_AMT", overdue()),
     ]
     sums = fused_sums(latest(facts), "LOAN_PR_SCOPE", parts)
-    return with_grand_total(sums, "LOAN_PR_SCOPE", names(parts)).select(
+    rows = with_grand_total(sums, "LOAN_PR_SCOPE", names(parts))
+    return cadence.by_code(rows, "LOAN_PR_SCOPE").select(
         F.col("LOAN_PR_SCOPE").alias("loan_pr_scope"),
         *names(parts),
         rate("od_amt", "bal").alias("od_rate"),

@@ -48,7 +48,8 @@ def reloan_overdue_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence)
         Part("all_bn_amt", "OD_AMT", bank_non_performing()),
         Part("all_bal", "BAL"),
     ]
-    return fused_sums(facts, "DATA_DT", [*first, *repeat, *every]).select(
+    sums = fused_sums(facts, "DATA_DT", [*first, *repeat, *every])
+    return cadence.by_date(sums).select(
         cadence.key().alias("data_dt"),
         *names(first),
         _od_rate("first"),
@@ -76,7 +77,7 @@ def reloan_overdue_by_province(facts: DataFrame, dims: DataFrame, cadence: Caden
     parts = [*first, *repeat, *every]
     sums = fill_zero(fused_sums(latest(facts), "PROV_CD", parts), names(parts))
     rows = with_grand_total(sums, "PROV_CD", names(parts))
-    return lookup(rows, dims, "PROV_CD", "PROV_CD").select(
+    return cadence.by_code(lookup(rows, dims, "PROV_CD", "PROV_CD")).select(
         "code",
         "name",
         *names(first),
@@ -107,7 +108,7 @@ def _repeat_rate_parts() -> list[Part]:
 
 def reloan_rate_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     parts = _repeat_rate_parts()
-    return fused_sums(facts, "DATA_DT", parts).select(
+    return cadence.by_date(fused_sums(facts, "DATA_DT", parts)).select(
         cadence.key().alias("data_dt"),
         *names(parts),
         rate("second_cnt", "settled_first_cnt").alias("reloan_rate"),
@@ -117,7 +118,8 @@ def reloan_rate_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) ->
 def reloan_rate_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     parts = _repeat_rate_parts()
     sums = fill_zero(fused_sums(facts, ["PROV_CD", "DATA_DT"], parts), names(parts))
-    return lookup(sums, dims, "PROV_CD", "PROV_CD").select(
+    named = lookup(sums, dims, "PROV_CD", "PROV_CD")
+    return cadence.by_code_and_date(named).select(
         "code",
         "name",
         cadence.key().alias("data_dt"),
@@ -138,4 +140,4 @@ def reloan_new_vs_cumulative(facts: DataFrame, dims: DataFrame, cadence: Cadence
         cadence.key("DATA_DT").alias("data_dt"),
         [Part("cum_cnt", "CNT"), Part("cum_loan_pr", "LOAN_PR")],
     )
-    return begun.join(standing, "data_dt", "full_outer")
+    return cadence.by_date(begun.join(standing, "data_dt", "full_outer"))

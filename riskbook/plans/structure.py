@@ -12,7 +12,7 @@ from riskbook.functions.columns import (
     rate,
     status_5_text,
 )
-from riskbook.operators.rows import on_or_after
+from riskbook.operators.rows import arrange, on_or_after
 from riskbook.operators.sums import Part, fill_zero, fused_sums, names, pivot_sum, row_sum
 from riskbook.plans.cadence import Cadence, Options
 
@@ -30,7 +30,7 @@ def state_stock(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFram
     table = stock(facts)
     if cadence.fills_stock:
         table = fill_zero(table, counts)
-    return table.select(
+    return cadence.by_date(table).select(
         cadence.key().alias("data_dt"), *counts, row_sum("cnt_0", "cnt_1").alias("regular")
     )
 
@@ -43,7 +43,7 @@ def structure_count_share(facts: DataFrame, dims: DataFrame, cadence: Cadence) -
         "collection_share": row_sum("cnt_3"),
         "serious_share": row_sum("cnt_4"),
     }
-    return stock(facts).select(
+    return cadence.by_date(stock(facts)).select(
         cadence.key().alias("data_dt"), *[rate(v, whole).alias(n) for n, v in parts.items()]
     )
 
@@ -51,7 +51,7 @@ def structure_count_share(facts: DataFrame, dims: DataFrame, cadence: Cadence) -
 def structure_amount_share(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     amounts = pivot_sum(facts, "DATA_DT", "OVERDUE_STATUS_5", LATE_STATES, ["OD_AMT"])
     whole = row_sum(*[f"od_amt_{s}" for s in LATE_STATES])
-    return amounts.select(
+    return cadence.by_date(amounts).select(
         cadence.key().alias("data_dt"),
         rate(row_sum("od_amt_2"), whole).alias("ordinary_share"),
         rate(row_sum("od_amt_3"), whole).alias("collection_share"),
@@ -88,6 +88,7 @@ def structure_detail(
     rows = rolled.withColumns(shares).withColumn(
         "label", F.when(subtotal, TOTAL_LABEL).otherwise(status_5_text("status"))
     )
+    order = ["DATA_DT", "level", "status"]
     if cadence.compares_periods:
         previous = {f"_{m}": F.lag(m).over(history) for m in ("DATA_DT", *measures)}
         kinds = F.when(
@@ -95,6 +96,7 @@ def structure_detail(
         ).otherwise(F.array(F.lit(False)))
         increment = F.col("increment")
         rows = rows.withColumns(previous).withColumn("increment", F.explode(kinds))
+        order.append("increment")
         if options.true_increments:
             rows = rows.withColumns(
                 {m: F.when(increment, F.col(m) - F.col(f"_{m}")).otherwise(F.col(m)) for m in measures}
@@ -105,6 +107,8 @@ def structure_detail(
                 "label": F.when(increment, INCREMENT_LABEL).otherwise(F.col("label")),
             }
         )
+    if cadence.ordered:
+        rows = arrange(rows, *order)
     return rows.select(
         cadence.key().alias("data_dt"),
         F.col("label").alias("status"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import month_text, rate
+from riskbook.operators.rows import arrange
 from riskbook.operators.sums import Part, fused_sums, pivot_sum
 
 
@@ -14,6 +15,7 @@ def vintage(
     ages: int,
     measure: str = "OD_AMT",
     which: Column | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """``begin_month``, ``new_amt`` and ``m0`` ... of cohorts begun within the snapshots.
 
@@ -26,7 +28,10 @@ def vintage(
     cells = pivot_sum(
         chosen.where(begun), "BEGIN_DATE", "LOAN_M_CNT", range(ages), [measure], _age_name
     )
-    return new.join(cells, "BEGIN_DATE", "right").select(
+    matrix = new.join(cells, "BEGIN_DATE", "right")
+    if ordered:
+        matrix = arrange(matrix, "BEGIN_DATE")
+    return matrix.select(
         month_text("BEGIN_DATE").alias("begin_month"), "new_amt", *_ages(ages)
     )
 

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskbook.functions.columns import as_date
 from riskbook.operators.rows import everyone
@@ -20,13 +21,15 @@ def read_snapshots(
     path: str,
     dates: Sequence[date] | None = None,
     population: Population = everyone,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Snapshots of the given dates (all dates when none are given).
 
     The date list reaches the scan as a partition filter, the population as a
     pushed row filter, and each report's columns as the read schema.
     """
-    return _chosen(spark.read.parquet(path), dates, population)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return _chosen(reader.parquet(path), dates, population)
 
 
 def read_snapshots_jdbc(

@@ -65,7 +65,8 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     Summed before the join with orders, and inside each task before the
     shuffle: an order with any number of lines brings one row per line number.
     """
-    amount = F.round(F.col("l_extendedprice") * 100).cast("long")
+    cents = F.col("l_extendedprice") * 100
+    amount = (cents + F.signum(cents) / 2).cast("long")  # nearest, halves away from zero
     return (
         table(spark, folder, "lineitem")
         .where(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull())

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from riskbook.functions.columns import percent_text, unite
 from riskbook.operators import rows, sums
-from riskbook.plans import lending, light, migration, month_30, overdue, reloan, structure, vintage
+from riskbook.plans import bundle, month_30, overdue, structure
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Cadence, Options
-from riskbook.schema import ATTRIBUTES, MEASURES
+from riskbook.schema import ATTRIBUTES, FACTS, MEASURES
 from riskbook.sources.shared import shared_folder
 from riskbook.sources.snapshot import build_snapshots, to_cells
 from riskbook.sources.tables import read_snapshots, write_snapshots
@@ -54,71 +54,47 @@ def _cells(spark: SparkSession, application: str, folder: str, cadence: str) ->
     shared = shared_folder(spark)
     if shared is None:
         return table.persist(StorageLevel.MEMORY_AND_DISK)
-    name = sha256(folder.encode()).hexdigest()[:16]
-    path = f"{shared}/riskbook/{application}/{name}/{cadence}"
+    path = f"{_run_folder(shared, application, folder)}/cells/{cadence}"
     write_snapshots(table, path)
-    return read_snapshots(spark, path)
+    return read_snapshots(spark, path, schema=FACTS)
+
+
+def _run_folder(shared: str, application: str, folder: str) -> str:
+    return f"{shared}/riskbook/{application}/{sha256(folder.encode()).hexdigest()[:16]}"
+
+
+def _output_folder(spark: SparkSession, folder: str) -> str:
+    shared = shared_folder(spark)
+    if shared is None:
+        raise RuntimeError("writing a bundle needs spark.checkpoint.dir on a cluster")
+    return f"{_run_folder(shared, spark.sparkContext.applicationId, folder)}/bundles"
+
+
+def dimension(spark: SparkSession, folder: str) -> DataFrame:
+    return _dimension(spark, spark.sparkContext.applicationId, folder)
+
+
+@cache
+def _dimension(spark: SparkSession, application: str, folder: str) -> DataFrame:
+    return book.dimension(spark, folder)
 
 
 def report(plan, cadence: Cadence, population: str, spark: SparkSession, folder: str) -> DataFrame:
     facts = POPULATIONS[population](cells(spark, folder, cadence.name))
-    return plan(facts, book.dimension(spark, folder), cadence)
+    return plan(facts, dimension(spark, folder), cadence)
 
 
 # -- reports -----------------------------------------------------------------
 
-structure_detail = partial(structure.structure_detail, options=OPTIONS)
 structure_detail_as_written = partial(
     structure.structure_detail, options=Options(detail_from=DETAIL_FROM, true_increments=False)
 )
 
 
-def vintage_amount(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    return vintage.vintage(facts, len(periods(cadence.name)))
-
-
-def vintage_rate(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    return vintage.vintage_rates(vintage_amount(facts, dims, cadence))
-
-
-EVERY_CADENCE = {
-    "reloan_overdue_by_date": reloan.reloan_overdue_by_date,
-    "reloan_overdue_by_province": reloan.reloan_overdue_by_province,
-    "repayment": lending.repayment,
-    "state_stock": structure.state_stock,
-    "termination_maturity": lending.termination_maturity,
-    "structure_count_share": structure.structure_count_share,
-    "structure_amount_share": structure.structure_amount_share,
-    "structure_detail": structure_detail,
-    "lending_by_province": lending.lending_by_province,
-    "lending_by_city": lending.lending_by_city,
-    "lending_by_date": lending.lending_by_date,
-    "overdue_by_date": overdue.overdue_by_date,
-    "overdue_by_province": overdue.overdue_by_province,
-    "overdue_by_city": overdue.overdue_by_city,
-    "overdue_by_scope": overdue.overdue_by_scope,
-    "light_by_date": light.light_by_date,
-    "light_by_province": light.light_by_province,
-    "reloan_rate_by_date": reloan.reloan_rate_by_date,
-    "reloan_rate_by_province": reloan.reloan_rate_by_province,
-    "reloan_new_vs_cumulative": reloan.reloan_new_vs_cumulative,
-}
-COMPARING = {
-    "fund_change_count": migration.fund_change_count,
-    "fund_change_amount": migration.fund_change_amount,
-    "migration_rates": migration.migration_rates,
-    "structure_detail_as_written": structure_detail_as_written,
-}
-VINTAGES = {"vintage_amount": vintage_amount, "vintage_rate": vintage_rate}
-
-
 def report_plans(cadence: Cadence) -> dict[str, Callable]:
-    """Reports of a cadence: all have the common ones, only some the rest."""
-    plans = dict(EVERY_CADENCE)
+    plans = bundle.standard_reports(cadence, len(periods(cadence.name)), OPTIONS)
     if cadence.compares_periods:
-        plans.update(COMPARING)
-    if cadence.vintages:
-        plans.update(VINTAGES)
+        plans["structure_detail_as_written"] = structure_detail_as_written
     return plans
 
 
@@ -210,7 +186,7 @@ def _population_sql(population: str) -> str:
 
 def _dimension_lookup(spark: SparkSession, folder: str) -> DataFrame:
     counts = sums.sum_by(_month(spark, folder), ["SHENGSHI_CD", "PROV_CD"], ["CNT"])
-    dims = book.dimension(spark, folder)
+    dims = dimension(spark, folder)
     cities = rows.lookup(counts, dims, "SHENGSHI_CD", "SHENGSHI_CD").select(
         F.col("code").alias("city"), F.col("name").alias("city_name"), "PROV_CD", "CNT"
     )
@@ -422,9 +398,62 @@ def _operator_queries() -> tuple[dict[str, Query], dict[str, str]]:
     return queries, oracle
 
 
+# -- bundles -----------------------------------------------------------------
+
+MANIFEST_COLUMNS = ("seq", "sheet", "table", "text", "start_row", "start_column", "header", "n_rows")
+
+
+def _bundle(cadence: Cadence, spark: SparkSession, folder: str) -> DataFrame:
+    """Writes all tables of a cadence to the shared folder; shows the manifest."""
+    ages = len(periods(cadence.name))
+    tables = bundle.standard_bundle(
+        cells(spark, folder, cadence.name), dimension(spark, folder), cadence, ages, OPTIONS
+    )
+    manifest = bundle.write_bundle(
+        spark,
+        tables,
+        bundle.standard_layout(cadence),
+        bundle.standard_labels(cadence, ages),
+        f"{_output_folder(spark, folder)}/{cadence.name}",
+        reported(cadence.name)[-1],
+        text=cadence.as_text,
+    )
+    return manifest.select(*MANIFEST_COLUMNS)
+
+
+def _bundle_sql(cadence: Cadence) -> str:
+    """The manifest from each report's own SQL: only row counts depend on the data."""
+    sql = Reports(cadence.name)
+    layout = bundle.standard_layout(cadence)
+    names = list(dict.fromkeys(p.table for p in layout if p.table))
+    counts = " UNION ALL ".join(
+        f"SELECT '{n}' AS t, CAST(count(*) AS INTEGER) AS n FROM ({getattr(sql, n)()})" for n in names
+    )
+    width = {"state_stock": 7}
+
+    def text(value: str | None) -> str:
+        return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+
+    def rows_of(table: str | None) -> str:
+        return f"(SELECT n FROM counts WHERE t = '{table}')" if table else "1"
+
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS seq, '{p.sheet}' AS sheet, {text(p.table)} AS \"table\", {text(p.text)} AS text, "
+        f"{' + '.join([str(p.row), *map(rows_of, p.below)])} AS start_row, "
+        f"{p.column + (width[p.right_of] if p.right_of else 0)} AS start_column, "
+        f"{str(p.header).upper()} AS header, {rows_of(p.table)} AS n_rows"
+        for i, p in enumerate(layout, 1)
+    )
+    return f"WITH counts AS MATERIALIZED ({counts}) {rows}"
+
+
+def _bundle_queries() -> tuple[dict[str, Query], dict[str, str]]:
+    return {"report_bundle_day": partial(_bundle, DAY)}, {"report_bundle_day": _bundle_sql(DAY)}
+
+
 def registered() -> tuple[dict[str, Query], dict[str, str]]:
     queries, oracle = {}, {}
-    for part in (_operator_queries, _report_queries, _month_30_queries):
+    for part in (_operator_queries, _report_queries, _month_30_queries, _bundle_queries):
         q, o = part()
         queries |= q
         oracle |= o

@@ -1,13 +1,12 @@
-"""Column expressions shared by the reports.  All are built-in expressions."""
+"""Conditions and column expressions shared by the reports, as Spark SQL text.
 
-from __future__ import annotations
+Text keeps a report's long column list readable and costs one call into Spark
+per projection.  Everything here is a built-in expression.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Codes and labels of the loan book.
-SETTLED = 2
-OVERDUE = 1
 STATUS_5_LABELS = {0: "正常", 2: "一般", 3: "催收", 4: "严重"}
 TOTAL_LABEL = "汇总"
 INCREMENT_LABEL = "增量"
@@ -15,66 +14,59 @@ REPAID_LABEL = "回款"
 EXCLUDED_PREFIX = "35"
 EXCLUDED_CODE = "3502"
 
+SETTLED = "OVERDUE_STATUS_3 = 2"
+OUTSTANDING = "OVERDUE_STATUS_3 <> 2"
+OVERDUE = "OVERDUE_STATUS_3 = 1"
+BANK_OVERDUE = "MATURITY_DAYS > 0"
+BANK_NON_PERFORMING = "MATURITY_DAYS >= 3"
 
-def outstanding() -> Column:
-    return F.col("OVERDUE_STATUS_3") != SETTLED
 
+def both(*conditions: str) -> str:
+    return " AND ".join(f"({c})" for c in conditions)
 
-def overdue() -> Column:
-    return F.col("OVERDUE_STATUS_3") == OVERDUE
 
+def either(*conditions: str) -> str:
+    return "(" + " OR ".join(f"({c})" for c in conditions) + ")"
 
-def bank_overdue() -> Column:
-    return F.col("MATURITY_DAYS") > 0
 
+def rate(numerator: str, denominator: str) -> str:
+    """Quotient as a double; null when the denominator is zero or a side is missing."""
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
 
-def bank_non_performing() -> Column:
-    return F.col("MATURITY_DAYS") >= 3
 
+def row_sum(*columns: str) -> str:
+    """Sum across columns, a missing one counting as zero."""
+    return "(" + " + ".join(f"coalesce({c}, 0)" for c in columns) + ")"
 
-def rate(numerator: str | Column, denominator: str | Column) -> Column:
-    """Quotient as a double; null when the denominator is zero or a side is missing."""
-    num = F.col(numerator) if isinstance(numerator, str) else numerator
-    den = F.col(denominator) if isinstance(denominator, str) else denominator
-    return F.try_divide(num.cast("double"), den.cast("double"))
 
-
-def percent_text(value: str | Column, digits: int = 2) -> Column:
+def percent_text(value: str, digits: int = 2) -> str:
     """``0.1234`` as ``12.34%``; a missing value stays missing."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.when(v.isNotNull(), F.format_string(f"%.{digits}f%%", v * 100))
+    return f"CASE WHEN {value} IS NOT NULL THEN format_string('%.{digits}f%%', 100 * {value}) END"
 
 
-def unite(sep: str, *columns: str) -> Column:
+def unite(sep: str, *columns: str) -> str:
     """Columns joined to one text; a missing part reads ``NA``."""
-    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in columns])
+    parts = ", ".join(f"coalesce(CAST({c} AS STRING), 'NA')" for c in columns)
+    return f"concat_ws('{sep}', {parts})"
 
 
-def month_text(day: str | Column) -> Column:
-    return F.date_format(day, "yyyy-MM")
+def month_text(day: str) -> str:
+    return f"date_format({day}, 'yyyy-MM')"
 
 
-def day_text(day: str | Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+def day_text(day: str) -> str:
+    return f"date_format({day}, 'yyyy-MM-dd')"
 
 
-def compact_day_text(day: str | Column) -> Column:
-    return F.date_format(day, "yyyyMMdd")
+def compact_day_text(day: str) -> str:
+    return f"date_format({day}, 'yyyyMMdd')"
 
 
-def month_span_text(day: str | Column) -> Column:
+def month_span_text(day: str) -> str:
     """``5-6月汇总`` for a June month-end: the month before, then the month."""
-    d = F.col(day) if isinstance(day, str) else day
-    return F.concat(F.month(F.add_months(d, -1)), F.lit("-"), F.month(d), F.lit("月汇总"))
-
-
-def status_5_text(status: str | Column) -> Column:
-    s = F.col(status) if isinstance(status, str) else status
-    label = F.lit(None).cast("string")
-    for code, text in STATUS_5_LABELS.items():
-        label = F.when(s == code, text).otherwise(label)
-    return label
+    return f"concat(month(add_months({day}, -1)), '-', month({day}), '月汇总')"
 
 
-def as_date(value: str | Column) -> Column:
-    return F.to_date(value)
+def status_5_text(status: str) -> str:
+    whens = " ".join(f"WHEN {code} THEN '{label}'" for code, label in STATUS_5_LABELS.items())
+    return f"CASE {status} {whens} END"

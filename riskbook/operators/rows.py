@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from riskbook.functions.columns import EXCLUDED_CODE, EXCLUDED_PREFIX
 
 
-def subset(df: DataFrame, condition: Column, columns: Sequence[str] | None = None) -> DataFrame:
+def subset(
+    df: DataFrame, condition: str | Column, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Rows for which the condition holds; a missing condition drops the row."""
     kept = df.where(condition)
     return kept.select(*columns) if columns else kept
@@ -37,6 +39,11 @@ def latest(facts: DataFrame) -> DataFrame:
     return facts.where(F.col("DATA_DT") == facts.agg(F.max("DATA_DT")).scalar())
 
 
+def begun_in_range(facts: DataFrame, within: DataFrame) -> DataFrame:
+    """Rows of loans begun on or after the oldest snapshot of ``within``."""
+    return facts.where(F.col("BEGIN_DATE") >= within.agg(F.min("DATA_DT")).scalar())
+
+
 def on_or_after(facts: DataFrame, floor: date) -> DataFrame:
     return facts.where(F.col("DATA_DT") >= F.lit(floor))
 
@@ -47,14 +54,8 @@ def lookup(df: DataFrame, dimension: DataFrame, family: str, key: str) -> DataFr
     No broadcast is forced: Spark broadcasts the code table when its measured
     size is under the session's threshold and joins by shuffle beyond it.
     """
-    labels = dimension.where(F.col("COL") == family).select(
-        F.col("CODE").alias("_code"), F.col("NAME").alias("name")
-    )
-    return (
-        df.join(labels, F.col(key) == F.col("_code"), "left")
-        .drop("_code")
-        .withColumnRenamed(key, "code")
-    )
+    labels = dimension.where(F.col("COL") == family).selectExpr("CODE AS code", "NAME AS name")
+    return df.withColumnRenamed(key, "code").join(labels, "code", "left")
 
 
 def full_outer_fold(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

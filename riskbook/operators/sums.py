@@ -8,12 +8,10 @@ a large part of the table costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import and_, or_
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,38 +20,41 @@ class Part(NamedTuple):
 
     name: str
     measure: str
-    where: Column | None = None
-
-    def total(self, strict: bool = False) -> Column:
-        value = F.col(self.measure)
-        chosen = value if self.where is None else F.when(self.where, value)
-        total = F.sum(chosen)
+    where: str | None = None
+
+    def total(self, fill: bool, strict: bool) -> str:
+        chosen, matched = self.measure, "1"
+        if self.where:
+            chosen = f"CASE WHEN {self.where} THEN {self.measure} END"
+            matched = f"CASE WHEN {self.where} THEN 1 END"
+        total = f"sum({chosen})"
         if strict:
-            matched = F.lit(1) if self.where is None else F.when(self.where, 1)
-            total = F.when(F.count(chosen) == F.count(matched), total)
-        return total.alias(self.name)
+            total = f"CASE WHEN count({chosen}) = count({matched}) THEN {total} END"
+        return f"coalesce({total}, 0)" if fill else total
 
-    def matches(self) -> Column:
-        return F.col(self.measure).isNotNull() & self.where
+    def matches(self) -> str:
+        return f"({self.where} AND {self.measure} IS NOT NULL)"
 
 
 def fused_sums(
     facts: DataFrame,
-    keys: str | Column | Sequence[str | Column],
+    keys: str | Sequence[str],
     parts: Sequence[Part],
+    fill: bool = False,
     strict: bool = False,
 ) -> DataFrame:
     """One row per key that any part has rows for, with every part's sum.
 
     A part without rows for a key is null there, as after a full outer join of
-    separate group sums.  Rows with a missing key are left out.  ``strict``
-    makes a sum missing when one of its values is.
+    separate group sums, or zero with ``fill``.  Rows with a missing key are
+    left out.  ``strict`` makes a sum missing when one of its values is.
     """
-    keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
-    kept = facts.where(reduce(and_, [_column(k).isNotNull() for k in keys]))
-    if all(p.where is not None for p in parts):
-        kept = kept.where(reduce(or_, [p.matches() for p in parts]))
-    return kept.groupBy(*keys).agg(*[p.total(strict) for p in parts])
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    kept = [f"{k} IS NOT NULL" for k in keys]
+    if all(p.where for p in parts):
+        kept.append("(" + " OR ".join(dict.fromkeys(p.matches() for p in parts)) + ")")
+    totals = [F.expr(f"{p.total(fill, strict)} AS {p.name}") for p in parts]
+    return facts.where(" AND ".join(kept)).groupBy(*keys).agg(*totals)
 
 
 def sum_by(facts: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -61,40 +62,40 @@ def sum_by(facts: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> Da
     return fused_sums(facts, keys, [Part(m, m) for m in measures])
 
 
+def _measure_value(measure: str, value) -> str:
+    return f"{measure.lower()}_{value}"
+
+
+def pivot_parts(
+    pivot: str,
+    values: Sequence,
+    measures: Sequence[str],
+    name: Callable[[str, object], str] = _measure_value,
+) -> list[Part]:
+    return [Part(name(m, v), m, f"{pivot} = {_literal(v)}") for v in values for m in measures]
+
+
 def pivot_sum(
     facts: DataFrame,
     key: str,
     pivot: str,
     values: Sequence,
     measures: Sequence[str],
-    name="{measure}_{value}".format,
+    name: Callable[[str, object], str] = _measure_value,
+    fill: bool = False,
 ) -> DataFrame:
     """One column per measure and pivot value, for a pivot list known up front."""
-    parts = [
-        Part(name(measure=m.lower(), value=v), m, F.col(pivot) == v)
-        for v in values
-        for m in measures
-    ]
-    return fused_sums(facts, key, parts)
+    return fused_sums(facts, key, pivot_parts(pivot, values, measures, name), fill)
 
 
 def with_grand_total(detail: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:
     """``detail`` (one row per key) and a last row, key null, of the sums over it."""
-    return detail.rollup(key).agg(*[F.sum(m).alias(m) for m in measures])
-
-
-def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
-
-
-def row_sum(*columns: str) -> Column:
-    """Sum across columns, a missing one counting as zero."""
-    return reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in columns])
+    return detail.rollup(key).agg(*[F.expr(f"sum({m}) AS {m}") for m in measures])
 
 
 def names(parts: Sequence[Part]) -> list[str]:
     return [p.name for p in parts]
 
 
-def _column(key: str | Column) -> Column:
-    return F.col(key) if isinstance(key, str) else key
+def _literal(value) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)

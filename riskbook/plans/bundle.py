@@ -14,7 +14,6 @@ from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbook.functions.columns import percent_text
@@ -226,10 +225,10 @@ def month_30_bundle(
 
 def as_text(table: DataFrame) -> DataFrame:
     """Every cell as text, rates as percents."""
-    return table.select(
+    return table.selectExpr(
         *[
-            percent_text(c).alias(c) if dict(table.dtypes)[c] == "double" else F.col(c).cast("string")
-            for c in table.columns
+            f"{percent_text(name) if kind == 'double' else f'CAST({name} AS STRING)'} AS {name}"
+            for name, kind in table.dtypes
         ]
     )
 

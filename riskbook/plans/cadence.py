@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import REPAID_LABEL, day_text, month_span_text, month_text
@@ -33,18 +33,17 @@ class Cadence:
     def by_code_and_date(self, table: DataFrame) -> DataFrame:
         return arrange(table, "code", "DATA_DT") if self.ordered else table
 
-    def key(self, day: str = "DATA_DT") -> Column:
+    def key(self, day: str = "DATA_DT") -> str:
         """A date as the reports of this cadence show it."""
         return month_text(day) if self.monthly else day_text(day)
 
-    def span(self, day: str = "DATA_DT") -> Column:
+    def span(self, day: str = "DATA_DT") -> str:
         """A date that stands for the period ending on it."""
         return month_span_text(day) if self.monthly else day_text(day)
 
-    def repayment_title(self, day: str = "DATA_DT") -> Column:
-        if self.monthly:
-            return F.concat(F.month(day), F.lit(f"月{REPAID_LABEL}"))
-        return F.concat(day_text(day), F.lit(REPAID_LABEL))
+    def repayment_title(self, day: str = "DATA_DT") -> str:
+        shown = f"month({day}), '月'" if self.monthly else day_text(day)
+        return f"concat({shown}, '{REPAID_LABEL}')"
 
 
 MONTH = Cadence("month", monthly=True, vintages=True, as_text=False)

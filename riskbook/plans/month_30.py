@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from riskbook.functions.columns import OVERDUE, SETTLED, bank_non_performing, month_text, rate
+from riskbook.functions.columns import BANK_NON_PERFORMING, both, month_text, rate
 from riskbook.operators.rows import arrange
-from riskbook.operators.sums import Part, fill_zero, fused_sums, names
+from riskbook.operators.sums import Part, fused_sums
 from riskbook.plans.cadence import Options
 from riskbook.plans.vintage import vintage, vintage_rates
 
@@ -25,44 +24,43 @@ INTEREST = Basis("interest", "OD_AMT_30", "LOAN_PR_FEE")
 PRINCIPAL = Basis("principal", "OD_PRINCIPAL_30", "LOAN_PR")
 BASES = (INTEREST, PRINCIPAL)
 
+FIRST, REPEAT, EVERY = "RELOAN = 1", "RELOAN <> 1", "TRUE"
+
 
 def overdue_index(
     facts: DataFrame, basis: Basis, options: Options = Options(), ordered: bool = False
 ) -> DataFrame:
     """First loans, repeat loans, all loans: counts, 30-day overdue and rates by month."""
-    first, repeat = F.col("RELOAN") == 1, F.col("RELOAN") != 1
-    first_bn = first if options.first_bn_of_first_loans else repeat
-    every = F.lit(True)
     parts = [
-        *_parts("first", first, first_bn, basis),
-        *_parts("repeat", repeat, repeat, basis),
-        *_parts("all", every, every, basis),
+        *_parts("first", FIRST, FIRST if options.first_bn_of_first_loans else REPEAT, basis),
+        *_parts("repeat", REPEAT, REPEAT, basis),
+        *_parts("all", EVERY, EVERY, basis),
     ]
-    sums = fill_zero(fused_sums(facts, "DATA_DT", parts), names(parts))
+    sums = fused_sums(facts, "DATA_DT", parts, fill=True)
+    if ordered:
+        sums = arrange(sums, "DATA_DT")
     columns = []
     for who in ("first", "repeat"):
         columns += [f"{who}_{c}" for c in ("cnt", "od_cnt", "lent", "od_amt", "bn_amt")]
         columns += _rates(who)
     columns += [f"all_{c}" for c in ("cnt", "od_cnt", "od_amt", "bn_amt", "lent")]
-    dated = arrange(sums, "DATA_DT") if ordered else sums
-    return dated.select(month_text("DATA_DT").alias("data_dt"), *columns, *_rates("all"))
+    return sums.selectExpr(f"{month_text('DATA_DT')} AS data_dt", *columns, *_rates("all"))
 
 
-def _parts(who: str, which: Column, bn_which: Column, basis: Basis) -> list[Part]:
-    status = F.col("OVERDUE_STATUS_3_30")
+def _parts(who: str, which: str, bn_which: str, basis: Basis) -> list[Part]:
     return [
-        Part(f"{who}_cnt", "CNT", which & (status != SETTLED)),
-        Part(f"{who}_od_cnt", "CNT", which & (status == OVERDUE)),
+        Part(f"{who}_cnt", "CNT", both(which, "OVERDUE_STATUS_3_30 <> 2")),
+        Part(f"{who}_od_cnt", "CNT", both(which, "OVERDUE_STATUS_3_30 = 1")),
         Part(f"{who}_lent", basis.lent, which),
         Part(f"{who}_od_amt", basis.overdue, which),
-        Part(f"{who}_bn_amt", basis.overdue, bn_which & bank_non_performing()),
+        Part(f"{who}_bn_amt", basis.overdue, both(bn_which, BANK_NON_PERFORMING)),
     ]
 
 
-def _rates(who: str) -> list[Column]:
+def _rates(who: str) -> list[str]:
     return [
-        rate(f"{who}_od_amt", f"{who}_lent").alias(f"{who}_od_rate"),
-        rate(f"{who}_bn_amt", f"{who}_lent").alias(f"{who}_bn_rate"),
+        f"{rate(f'{who}_od_amt', f'{who}_lent')} AS {who}_od_rate",
+        f"{rate(f'{who}_bn_amt', f'{who}_lent')} AS {who}_bn_rate",
     ]
 
 
@@ -71,7 +69,7 @@ def capital_tables(
 ) -> dict[str, DataFrame]:
     """Cohort matrices, amounts and rates, of all loans and of repeat loans."""
     everyone = vintage(facts, ages, basis.overdue, ordered=ordered)
-    repeats = vintage(facts, ages, basis.overdue, F.col("BRELOAN") != 1, ordered)
+    repeats = vintage(facts, ages, basis.overdue, "BRELOAN <> 1", ordered)
     return {
         "vintage_amount": everyone,
         "vintage_rate": vintage_rates(everyone),

@@ -3,107 +3,104 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from riskbook.functions.columns import (
-    bank_non_performing,
-    bank_overdue,
-    outstanding,
-    overdue,
+    BANK_NON_PERFORMING,
+    BANK_OVERDUE,
+    OUTSTANDING,
+    OVERDUE,
+    both,
     rate,
 )
 from riskbook.operators.rows import latest, lookup
-from riskbook.operators.sums import Part, fill_zero, fused_sums, names, with_grand_total
+from riskbook.operators.sums import Part, fused_sums, names, with_grand_total
 from riskbook.plans.cadence import Cadence
 
+BO = both(OVERDUE, BANK_OVERDUE)
+BN = both(OVERDUE, BANK_NON_PERFORMING)
+
 
 def overdue_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    bo, bn = overdue() & bank_overdue(), overdue() & bank_non_performing()
     parts = [
-        Part("out_cnt", "CNT", outstanding()),
+        Part("out_cnt", "CNT", OUTSTANDING),
         Part("cnt", "CNT"),
         Part("loan_pr", "LOAN_PR"),
-        Part("od_cnt", "CNT", overdue()),
-        Part("bo_cnt", "CNT", bo),
-        Part("bn_cnt", "CNT", bn),
+        Part("od_cnt", "CNT", OVERDUE),
+        Part("bo_cnt", "CNT", BO),
+        Part("bn_cnt", "CNT", BN),
         Part("od_amt", "OD_AMT"),
-        Part("bo_amt", "OD_AMT", bo),
-        Part("bn_amt", "OD_AMT", bn),
+        Part("bo_amt", "OD_AMT", BO),
+        Part("bn_amt", "OD_AMT", BN),
         Part("bal", "BAL"),
     ]
-    sums = fill_zero(fused_sums(facts, "DATA_DT", parts), names(parts))
-    return cadence.by_date(sums).select(
-        cadence.key().alias("data_dt"),
+    return cadence.by_date(fused_sums(facts, "DATA_DT", parts, fill=True)).selectExpr(
+        f"{cadence.key()} AS data_dt",
         *names(parts),
-        rate("od_amt", "bal").alias("od_rate"),
-        rate("bo_amt", "bal").alias("bo_rate"),
-        rate("bn_amt", "bal").alias("bn_rate"),
+        f"{rate('od_amt', 'bal')} AS od_rate",
+        f"{rate('bo_amt', 'bal')} AS bo_rate",
+        f"{rate('bn_amt', 'bal')} AS bn_rate",
     )
 
 
 def overdue_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    bo, bn = overdue() & bank_overdue(), overdue() & bank_non_performing()
     parts = [
-        Part("out_cnt", "CNT", outstanding()),
+        Part("out_cnt", "CNT", OUTSTANDING),
         Part("bal", "BAL"),
-        Part("od_cnt", "CNT", overdue()),
-        Part("od_amt", "OD_AMT", overdue()),
-        Part("bo_cnt", "CNT", bo),
-        Part("bo_amt", "OD_AMT", bo),
-        Part("bn_cnt", "CNT", bn),
-        Part("bn_amt", "OD_AMT", bn),
-        Part("od_bal", "BAL", overdue()),
+        Part("od_cnt", "CNT", OVERDUE),
+        Part("od_amt", "OD_AMT", OVERDUE),
+        Part("bo_cnt", "CNT", BO),
+        Part("bo_amt", "OD_AMT", BO),
+        Part("bn_cnt", "CNT", BN),
+        Part("bn_amt", "OD_AMT", BN),
+        Part("od_bal", "BAL", OVERDUE),
     ]
-    sums = fill_zero(fused_sums(latest(facts), "PROV_CD", parts), names(parts))
-    rows = with_grand_total(sums, "PROV_CD", names(parts))
-    named = lookup(rows, dims, "PROV_CD", "PROV_CD")
-    return cadence.by_code(named).select(
+    sums = fused_sums(latest(facts), "PROV_CD", parts, fill=True)
+    rows = lookup(with_grand_total(sums, "PROV_CD", names(parts)), dims, "PROV_CD", "PROV_CD")
+    return cadence.by_code(rows).selectExpr(
         "code",
         "name",
         "out_cnt",
         "bal",
         "od_cnt",
         "od_amt",
-        rate("od_amt", "bal").alias("od_rate"),
+        f"{rate('od_amt', 'bal')} AS od_rate",
         "bo_cnt",
         "bo_amt",
-        rate("bo_amt", "bal").alias("bo_rate"),
+        f"{rate('bo_amt', 'bal')} AS bo_rate",
         "bn_cnt",
         "bn_amt",
-        rate("bn_amt", "bal").alias("bn_rate"),
+        f"{rate('bn_amt', 'bal')} AS bn_rate",
         "od_bal",
-        rate("od_bal", "bal").alias("od_bal_rate"),
+        f"{rate('od_bal', 'bal')} AS od_bal_rate",
     )
 
 
 def overdue_by_city(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
+    key = "SHENGSHI_CD"
     parts = [
-        Part("out_cnt", "CNT", outstanding()),
+        Part("out_cnt", "CNT", OUTSTANDING),
         Part("bal", "BAL"),
-        Part("od_cnt", "CNT", overdue()),
-        Part("od_amt", "OD_AMT", overdue()),
+        Part("od_cnt", "CNT", OVERDUE),
+        Part("od_amt", "OD_AMT", OVERDUE),
     ]
-    sums = fill_zero(fused_sums(latest(facts), "SHENGSHI_CD", parts), names(parts))
-    rows = with_grand_total(sums, "SHENGSHI_CD", names(parts))
-    named = lookup(rows, dims, "SHENGSHI_CD", "SHENGSHI_CD")
-    return cadence.by_code(named).select(
-        "code", "name", *names(parts), rate("od_amt", "bal").alias("od_rate")
+    sums = fused_sums(latest(facts), key, parts, fill=True)
+    rows = lookup(with_grand_total(sums, key, names(parts)), dims, key, key)
+    return cadence.by_code(rows).selectExpr(
+        "code", "name", *names(parts), f"{rate('od_amt', 'bal')} AS od_rate"
     )
 
 
 def overdue_by_scope(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     """By principal size class; a class without overdue loans keeps missing sums."""
+    key = "LOAN_PR_SCOPE"
     parts = [
-        Part("cnt", "CNT", outstanding()),
-        Part("loan_pr", "LOAN_PR", outstanding()),
-        Part("bal", "BAL", outstanding()),
-        Part("od_cnt", "CNT", overdue()),
-        Part("od_amt", "OD_AMT", overdue()),
+        Part("cnt", "CNT", OUTSTANDING),
+        Part("loan_pr", "LOAN_PR", OUTSTANDING),
+        Part("bal", "BAL", OUTSTANDING),
+        Part("od_cnt", "CNT", OVERDUE),
+        Part("od_amt", "OD_AMT", OVERDUE),
     ]
-    sums = fused_sums(latest(facts), "LOAN_PR_SCOPE", parts)
-    rows = with_grand_total(sums, "LOAN_PR_SCOPE", names(parts))
-    return cadence.by_code(rows, "LOAN_PR_SCOPE").select(
-        F.col("LOAN_PR_SCOPE").alias("loan_pr_scope"),
-        *names(parts),
-        rate("od_amt", "bal").alias("od_rate"),
+    rows = with_grand_total(fused_sums(latest(facts), key, parts), key, names(parts))
+    return cadence.by_code(rows, key).selectExpr(
+        f"{key} AS loan_pr_scope", *names(parts), f"{rate('od_amt', 'bal')} AS od_rate"
     )

@@ -2,142 +2,130 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from riskbook.functions.columns import (
+    BANK_NON_PERFORMING,
+    BANK_OVERDUE,
+    OUTSTANDING,
+    OVERDUE,
     SETTLED,
-    bank_non_performing,
-    bank_overdue,
-    outstanding,
-    overdue,
+    both,
     rate,
 )
 from riskbook.operators.rows import latest, lookup
-from riskbook.operators.sums import Part, fill_zero, fused_sums, names, with_grand_total
+from riskbook.operators.sums import Part, fused_sums, names, with_grand_total
 from riskbook.plans.cadence import Cadence
 
 
-def _ordinal_parts(prefix: str, which: Column) -> list[Part]:
+def _ordinal_parts(prefix: str, which: str) -> list[Part]:
     return [
-        Part(f"{prefix}_cnt", "CNT", which & outstanding()),
-        Part(f"{prefix}_od_cnt", "CNT", which & overdue()),
+        Part(f"{prefix}_cnt", "CNT", both(which, OUTSTANDING)),
+        Part(f"{prefix}_od_cnt", "CNT", both(which, OVERDUE)),
         Part(f"{prefix}_bal", "BAL", which),
         Part(f"{prefix}_od_amt", "OD_AMT", which),
     ]
 
 
-def _first_and_repeat() -> tuple[list[Part], list[Part]]:
-    return (
-        _ordinal_parts("first", F.col("RELOAN") == 1),
-        _ordinal_parts("repeat", F.col("RELOAN") != 1),
-    )
+FIRST = _ordinal_parts("first", "RELOAN = 1")
+REPEAT = _ordinal_parts("repeat", "RELOAN <> 1")
+REPEAT_RATE = [
+    Part("second_cnt", "CNT", "RELOANTIMES = 2"),
+    Part("settled_first_cnt", "CNT", both("RELOANTIMES = 1", SETTLED)),
+]
+
+
+def _rate_of_all(kind: str) -> str:
+    return f"{rate(f'all_{kind}_amt', 'all_bal')} AS all_{kind}_rate"
 
 
-def _od_rate(prefix: str) -> Column:
-    return rate(f"{prefix}_od_amt", f"{prefix}_bal").alias(f"{prefix}_od_rate")
+def _od_rate(prefix: str) -> str:
+    return f"{rate(f'{prefix}_od_amt', f'{prefix}_bal')} AS {prefix}_od_rate"
 
 
 def reloan_overdue_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    first, repeat = _first_and_repeat()
     every = [
-        Part("all_cnt", "CNT", outstanding()),
-        Part("all_od_cnt", "CNT", overdue()),
+        Part("all_cnt", "CNT", OUTSTANDING),
+        Part("all_od_cnt", "CNT", OVERDUE),
         Part("all_od_amt", "OD_AMT"),
-        Part("all_bo_amt", "OD_AMT", bank_overdue()),
-        Part("all_bn_amt", "OD_AMT", bank_non_performing()),
+        Part("all_bo_amt", "OD_AMT", BANK_OVERDUE),
+        Part("all_bn_amt", "OD_AMT", BANK_NON_PERFORMING),
         Part("all_bal", "BAL"),
     ]
-    sums = fused_sums(facts, "DATA_DT", [*first, *repeat, *every])
-    return cadence.by_date(sums).select(
-        cadence.key().alias("data_dt"),
-        *names(first),
+    sums = fused_sums(facts, "DATA_DT", [*FIRST, *REPEAT, *every])
+    return cadence.by_date(sums).selectExpr(
+        f"{cadence.key()} AS data_dt",
+        *names(FIRST),
         _od_rate("first"),
-        *names(repeat),
+        *names(REPEAT),
         _od_rate("repeat"),
         *names(every),
-        rate("all_od_amt", "all_bal").alias("all_od_rate"),
-        rate("all_bo_amt", "all_bal").alias("all_bo_rate"),
-        rate("all_bn_amt", "all_bal").alias("all_bn_rate"),
+        *[_rate_of_all(kind) for kind in ("od", "bo", "bn")],
     )
 
 
 def reloan_overdue_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    first, repeat = _first_and_repeat()
     every = [
-        Part("all_cnt", "CNT", outstanding()),
-        Part("all_od_cnt", "CNT", overdue()),
+        Part("all_cnt", "CNT", OUTSTANDING),
+        Part("all_od_cnt", "CNT", OVERDUE),
         Part("all_bal", "BAL"),
         Part("all_od_amt", "OD_AMT"),
-        Part("all_bo_cnt", "CNT", bank_overdue() & outstanding()),
-        Part("all_bo_amt", "OD_AMT", bank_overdue()),
-        Part("all_bn_cnt", "CNT", bank_non_performing() & outstanding()),
-        Part("all_bn_amt", "OD_AMT", bank_non_performing()),
+        Part("all_bo_cnt", "CNT", both(BANK_OVERDUE, OUTSTANDING)),
+        Part("all_bo_amt", "OD_AMT", BANK_OVERDUE),
+        Part("all_bn_cnt", "CNT", both(BANK_NON_PERFORMING, OUTSTANDING)),
+        Part("all_bn_amt", "OD_AMT", BANK_NON_PERFORMING),
     ]
-    parts = [*first, *repeat, *every]
-    sums = fill_zero(fused_sums(latest(facts), "PROV_CD", parts), names(parts))
-    rows = with_grand_total(sums, "PROV_CD", names(parts))
-    return cadence.by_code(lookup(rows, dims, "PROV_CD", "PROV_CD")).select(
+    parts = [*FIRST, *REPEAT, *every]
+    sums = fused_sums(latest(facts), "PROV_CD", parts, fill=True)
+    rows = lookup(with_grand_total(sums, "PROV_CD", names(parts)), dims, "PROV_CD", "PROV_CD")
+    return cadence.by_code(rows).selectExpr(
         "code",
         "name",
-        *names(first),
+        *names(FIRST),
         _od_rate("first"),
-        *names(repeat),
+        *names(REPEAT),
         _od_rate("repeat"),
         "all_cnt",
         "all_od_cnt",
         "all_bal",
         "all_od_amt",
-        _od_rate("all"),
+        _rate_of_all("od"),
         "all_bo_cnt",
         "all_bo_amt",
-        rate("all_bo_amt", "all_bal").alias("all_bo_rate"),
+        _rate_of_all("bo"),
         "all_bn_cnt",
         "all_bn_amt",
-        rate("all_bn_amt", "all_bal").alias("all_bn_rate"),
+        _rate_of_all("bn"),
     )
 
 
-def _repeat_rate_parts() -> list[Part]:
-    settled_first = (F.col("RELOANTIMES") == 1) & (F.col("OVERDUE_STATUS_3") == SETTLED)
-    return [
-        Part("second_cnt", "CNT", F.col("RELOANTIMES") == 2),
-        Part("settled_first_cnt", "CNT", settled_first),
-    ]
-
-
 def reloan_rate_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    parts = _repeat_rate_parts()
-    return cadence.by_date(fused_sums(facts, "DATA_DT", parts)).select(
-        cadence.key().alias("data_dt"),
-        *names(parts),
-        rate("second_cnt", "settled_first_cnt").alias("reloan_rate"),
+    return cadence.by_date(fused_sums(facts, "DATA_DT", REPEAT_RATE)).selectExpr(
+        f"{cadence.key()} AS data_dt",
+        *names(REPEAT_RATE),
+        f"{rate('second_cnt', 'settled_first_cnt')} AS reloan_rate",
     )
 
 
 def reloan_rate_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    parts = _repeat_rate_parts()
-    sums = fill_zero(fused_sums(facts, ["PROV_CD", "DATA_DT"], parts), names(parts))
-    named = lookup(sums, dims, "PROV_CD", "PROV_CD")
-    return cadence.by_code_and_date(named).select(
+    sums = fused_sums(facts, ["PROV_CD", "DATA_DT"], REPEAT_RATE, fill=True)
+    return cadence.by_code_and_date(lookup(sums, dims, "PROV_CD", "PROV_CD")).selectExpr(
         "code",
         "name",
-        cadence.key().alias("data_dt"),
-        *names(parts),
-        rate("second_cnt", "settled_first_cnt").alias("reloan_rate"),
+        f"{cadence.key()} AS data_dt",
+        *names(REPEAT_RATE),
+        f"{rate('second_cnt', 'settled_first_cnt')} AS reloan_rate",
     )
 
 
 def reloan_new_vs_cumulative(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
     """Repeat lending begun on a date, beside all repeat lending as of that date."""
-    begun = fused_sums(
-        facts.where((F.col("NEW_LOAN") == 1) & (F.col("RELOAN") > 1)),
-        cadence.key("BEGIN_DATE").alias("data_dt"),
-        [Part("new_cnt", "CNT"), Part("new_loan_pr", "LOAN_PR")],
-    )
-    standing = fused_sums(
-        facts.where(F.col("RELOANTIMES") != 1),
-        cadence.key("DATA_DT").alias("data_dt"),
-        [Part("cum_cnt", "CNT"), Part("cum_loan_pr", "LOAN_PR")],
-    )
+
+    def sums(kind: str, day: str, which: str) -> DataFrame:
+        shown = facts.where(which).selectExpr(f"{cadence.key(day)} AS data_dt", "CNT", "LOAN_PR")
+        parts = [Part(f"{kind}_cnt", "CNT"), Part(f"{kind}_loan_pr", "LOAN_PR")]
+        return fused_sums(shown, "data_dt", parts)
+
+    begun = sums("new", "BEGIN_DATE", both("NEW_LOAN = 1", "RELOAN > 1"))
+    standing = sums("cum", "DATA_DT", "RELOANTIMES <> 1")
     return cadence.by_date(begun.join(standing, "data_dt", "full_outer"))

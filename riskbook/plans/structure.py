@@ -2,60 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import (
     INCREMENT_LABEL,
+    OUTSTANDING,
     TOTAL_LABEL,
-    outstanding,
     rate,
+    row_sum,
     status_5_text,
 )
 from riskbook.operators.rows import arrange, on_or_after
-from riskbook.operators.sums import Part, fill_zero, fused_sums, names, pivot_sum, row_sum
+from riskbook.operators.sums import Part, fused_sums, names, pivot_sum
 from riskbook.plans.cadence import Cadence, Options
 
 STATES = (0, 1, 2, 3, 4)
+COUNTS = [f"cnt_{s}" for s in STATES]
 LATE_STATES = (2, 3, 4)
 
 
-def stock(facts: DataFrame) -> DataFrame:
+def _stock(facts: DataFrame, cadence: Cadence, fill: bool = False) -> DataFrame:
     """Loan count per date and five-state value: ``cnt_0`` ... ``cnt_4``."""
-    return pivot_sum(facts, "DATA_DT", "OVERDUE_STATUS_5", STATES, ["CNT"])
+    counts = pivot_sum(facts, "DATA_DT", "OVERDUE_STATUS_5", STATES, ["CNT"], fill=fill)
+    return cadence.by_date(counts)
 
 
 def state_stock(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    counts = [f"cnt_{s}" for s in STATES]
-    table = stock(facts)
-    if cadence.fills_stock:
-        table = fill_zero(table, counts)
-    return cadence.by_date(table).select(
-        cadence.key().alias("data_dt"), *counts, row_sum("cnt_0", "cnt_1").alias("regular")
+    return _stock(facts, cadence, cadence.fills_stock).selectExpr(
+        f"{cadence.key()} AS data_dt", *COUNTS, f"{row_sum('cnt_0', 'cnt_1')} AS regular"
     )
 
 
 def structure_count_share(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    whole = row_sum(*[f"cnt_{s}" for s in STATES])
-    parts = {
-        "normal_share": row_sum("cnt_0", "cnt_1"),
-        "ordinary_share": row_sum("cnt_2"),
-        "collection_share": row_sum("cnt_3"),
-        "serious_share": row_sum("cnt_4"),
-    }
-    return cadence.by_date(stock(facts)).select(
-        cadence.key().alias("data_dt"), *[rate(v, whole).alias(n) for n, v in parts.items()]
+    whole = row_sum(*COUNTS)
+    return _stock(facts, cadence, fill=True).selectExpr(
+        f"{cadence.key()} AS data_dt",
+        f"{rate('(cnt_0 + cnt_1)', whole)} AS normal_share",
+        f"{rate('cnt_2', whole)} AS ordinary_share",
+        f"{rate('cnt_3', whole)} AS collection_share",
+        f"{rate('cnt_4', whole)} AS serious_share",
     )
 
 
 def structure_amount_share(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    amounts = pivot_sum(facts, "DATA_DT", "OVERDUE_STATUS_5", LATE_STATES, ["OD_AMT"])
+    amounts = pivot_sum(facts, "DATA_DT", "OVERDUE_STATUS_5", LATE_STATES, ["OD_AMT"], fill=True)
     whole = row_sum(*[f"od_amt_{s}" for s in LATE_STATES])
-    return cadence.by_date(amounts).select(
-        cadence.key().alias("data_dt"),
-        rate(row_sum("od_amt_2"), whole).alias("ordinary_share"),
-        rate(row_sum("od_amt_3"), whole).alias("collection_share"),
-        rate(row_sum("od_amt_4"), whole).alias("serious_share"),
+    return cadence.by_date(amounts).selectExpr(
+        f"{cadence.key()} AS data_dt",
+        f"{rate('od_amt_2', whole)} AS ordinary_share",
+        f"{rate('od_amt_3', whole)} AS collection_share",
+        f"{rate('od_amt_4', whole)} AS serious_share",
     )
 
 
@@ -69,53 +66,48 @@ def structure_detail(
     """
     parts = [Part(m.lower(), m) for m in ("CNT", "OD_PRINCIPAL", "OD_AMT", "BAL")]
     measures = names(parts)
-    merged = on_or_after(facts.where(outstanding()), options.detail_from).withColumn(
-        "status", F.when(F.col("OVERDUE_STATUS_5").isin(0, 1), 0).otherwise(F.col("OVERDUE_STATUS_5"))
+    merged = on_or_after(facts.where(OUTSTANDING), options.detail_from).selectExpr(
+        "DATA_DT",
+        "CASE WHEN OVERDUE_STATUS_5 IN (0, 1) THEN 0 ELSE OVERDUE_STATUS_5 END AS state",
+        *[p.measure for p in parts],
     )
-    detail = fused_sums(merged, ["DATA_DT", "status"], parts)
+    # level 0: one state of a date; level 1: the date's subtotal.
     rolled = (
-        detail.rollup("DATA_DT", "status")
-        .agg(*[F.sum(m).alias(m) for m in measures], F.grouping_id().alias("level"))
-        .where(F.col("level") < 2)
+        fused_sums(merged, ["DATA_DT", "state"], parts)
+        .rollup("DATA_DT", "state")
+        .agg(*[F.expr(f"sum({m}) AS {m}") for m in measures], F.grouping_id().alias("level"))
+        .where("level < 2")
     )
-    dated = Window.partitionBy("DATA_DT")
-    history = Window.partitionBy("level").orderBy("DATA_DT")
-    subtotal = F.col("level") == 1
-    shares = {
-        "cnt_share": rate("cnt", F.sum(F.when(subtotal, F.col("cnt"))).over(dated)),
-        "bal_share": rate("bal", F.sum(F.when(subtotal, F.col("bal"))).over(dated)),
-    }
-    rows = rolled.withColumns(shares).withColumn(
-        "label", F.when(subtotal, TOTAL_LABEL).otherwise(status_5_text("status"))
+    compares = cadence.compares_periods
+    history = "OVER (PARTITION BY level ORDER BY DATA_DT)"
+    rows = rolled.selectExpr(
+        "*",
+        *[f"sum(CASE level WHEN 1 THEN {m} END) OVER (PARTITION BY DATA_DT) AS all_{m}" for m in ("cnt", "bal")],
+        *[f"lag({m}) {history} AS before_{m}" for m in measures],
+        f"level = 1 AND lag(DATA_DT) {history} IS NOT NULL AS has_before",
+    ).selectExpr(
+        "*",
+        f"explode(CASE WHEN {str(compares).lower()} AND has_before "
+        "THEN array(false, true) ELSE array(false) END) AS increment",
     )
-    order = ["DATA_DT", "level", "status"]
-    if cadence.compares_periods:
-        previous = {f"_{m}": F.lag(m).over(history) for m in ("DATA_DT", *measures)}
-        kinds = F.when(
-            subtotal & F.col("_DATA_DT").isNotNull(), F.array(F.lit(False), F.lit(True))
-        ).otherwise(F.array(F.lit(False)))
-        increment = F.col("increment")
-        rows = rows.withColumns(previous).withColumn("increment", F.explode(kinds))
-        order.append("increment")
-        if options.true_increments:
-            rows = rows.withColumns(
-                {m: F.when(increment, F.col(m) - F.col(f"_{m}")).otherwise(F.col(m)) for m in measures}
-            )
-        rows = rows.withColumns(
-            {
-                **{s: F.when(~increment, F.col(s)) for s in shares},
-                "label": F.when(increment, INCREMENT_LABEL).otherwise(F.col("label")),
-            }
-        )
     if cadence.ordered:
-        rows = arrange(rows, *order)
-    return rows.select(
-        cadence.key().alias("data_dt"),
-        F.col("label").alias("status"),
-        "cnt",
-        "cnt_share",
-        "od_principal",
-        "od_amt",
-        "bal",
-        "bal_share",
+        rows = arrange(rows, "DATA_DT", "level", "state", "increment")
+
+    def amount(m: str) -> str:
+        changed = f"{m} - before_{m}" if options.true_increments else m
+        return f"CASE WHEN increment THEN {changed} ELSE {m} END AS {m}"
+
+    def share(m: str) -> str:
+        return f"CASE WHEN NOT increment THEN {rate(m, f'all_{m}')} END AS {m}_share"
+
+    return rows.selectExpr(
+        f"{cadence.key()} AS data_dt",
+        f"CASE WHEN increment THEN '{INCREMENT_LABEL}' WHEN level = 1 THEN '{TOTAL_LABEL}' "
+        f"ELSE {status_5_text('state')} END AS status",
+        amount("cnt"),
+        share("cnt"),
+        amount("od_principal"),
+        amount("od_amt"),
+        amount("bal"),
+        share("bal"),
     )

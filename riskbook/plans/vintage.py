@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from riskbook.functions.columns import month_text, rate
-from riskbook.operators.rows import arrange
+from riskbook.operators.rows import arrange, begun_in_range
 from riskbook.operators.sums import Part, fused_sums, pivot_sum
 
 
@@ -14,7 +13,7 @@ def vintage(
     facts: DataFrame,
     ages: int,
     measure: str = "OD_AMT",
-    which: Column | None = None,
+    which: str = "TRUE",
     ordered: bool = False,
 ) -> DataFrame:
     """``begin_month``, ``new_amt`` and ``m0`` ... of cohorts begun within the snapshots.
@@ -22,24 +21,25 @@ def vintage(
     ``ages`` is the number of snapshot dates, which bounds the months on book
     of such cohorts and so fixes the columns.  A missing cell stays missing.
     """
-    chosen = facts if which is None else facts.where(which)
+    chosen = facts.where(which)
     new = fused_sums(chosen, "BEGIN_DATE", [Part("new_amt", "NEW_AMT")])
-    begun = F.col("BEGIN_DATE") >= facts.agg(F.min("DATA_DT")).scalar()
     cells = pivot_sum(
-        chosen.where(begun), "BEGIN_DATE", "LOAN_M_CNT", range(ages), [measure], _age_name
+        begun_in_range(chosen, facts), "BEGIN_DATE", "LOAN_M_CNT", range(ages), [measure], _age
     )
     matrix = new.join(cells, "BEGIN_DATE", "right")
     if ordered:
         matrix = arrange(matrix, "BEGIN_DATE")
-    return matrix.select(
-        month_text("BEGIN_DATE").alias("begin_month"), "new_amt", *_ages(ages)
+    return matrix.selectExpr(
+        f"{month_text('BEGIN_DATE')} AS begin_month", "new_amt", *[f"m{a}" for a in range(ages)]
     )
 
 
 def vintage_rates(amounts: DataFrame) -> DataFrame:
     """The matrix with each cell over the cohort's new lending."""
     cells = [c for c in amounts.columns if c not in ("begin_month", "new_amt")]
-    return amounts.select("begin_month", "new_amt", *[rate(c, "new_amt").alias(c) for c in cells])
+    return amounts.selectExpr(
+        "begin_month", "new_amt", *[f"{rate(c, 'new_amt')} AS {c}" for c in cells]
+    )
 
 
 def age_labels(ages: int) -> list[str]:
@@ -47,9 +47,5 @@ def age_labels(ages: int) -> list[str]:
     return ["当月", *[f"第{n}个月" for n in range(2, ages + 1)]]
 
 
-def _age_name(measure: str, value: int) -> str:
-    return f"m{value}"
-
-
-def _ages(ages: int) -> list[str]:
-    return [f"m{a}" for a in range(ages)]
+def _age(measure: str, months: object) -> str:
+    return f"m{months}"

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.schema import ATTRIBUTES, LOAN_KEY, MEASURES
@@ -18,6 +18,59 @@ from riskbook.sources.calendar import Period
 
 LOAN_COLUMNS = ("CUST", "NATION", "REGION", "BD", "K")
 
+UNPAID = "(PAID IS NULL OR PAID > DATA_DT)"
+LATE = f"(DUE < DATA_DT AND {UNPAID})"
+
+# What a loan's installments add up to on a date.
+STATE = {
+    "LOAN_PR": "sum(AMT)",
+    "BAL": f"coalesce(sum(CASE WHEN {UNPAID} THEN AMT END), 0)",
+    "OD_PRINCIPAL": f"coalesce(sum(CASE WHEN {LATE} THEN AMT END), 0)",
+    "OD_DAYS": f"coalesce(max(CASE WHEN {LATE} THEN date_diff(DATA_DT, DUE) END), 0)",
+    "MATURITY": "max(DUE)",
+    "DIFF_SP_AMT": "coalesce(sum(CASE WHEN DUE > BEFORE AND DUE <= DATA_DT THEN AMT END), 0)",
+    "DIFF_AP_AMT": "coalesce(sum(CASE WHEN PAID > BEFORE AND PAID <= DATA_DT THEN AMT END), 0)",
+}
+
+# Loan status and codes, from that state.
+STATUS = {
+    "OD_AMT": "OD_PRINCIPAL + OD_PRINCIPAL * 5 div 100",
+    "OVERDUE_STATUS_3": "CASE WHEN BAL = 0 THEN 2 WHEN OD_DAYS > 0 THEN 1 ELSE 0 END",
+    "OVERDUE_STATUS_5": (
+        "CASE WHEN BAL = 0 OR OD_DAYS = 0 THEN 0 WHEN OD_DAYS <= 3 THEN 1 "
+        "WHEN OD_DAYS <= 30 THEN 2 WHEN OD_DAYS <= 60 THEN 3 ELSE 4 END"
+    ),
+    "OVERDUE_STATUS_3_30": "CASE WHEN BAL = 0 THEN 2 WHEN OD_DAYS >= 30 THEN 1 ELSE 0 END",
+    "STATUS_THIS_MONTH": "CASE WHEN OD_DAYS > 60 THEN 1 ELSE 0 END",
+    "MATURITY_DAYS": "greatest(date_diff(DATA_DT, MATURITY), -1)",
+    "NEW_LOAN": "CASE WHEN BD > BEFORE THEN 1 ELSE 0 END",
+    "LOAN_M_CNT": "12 * (year(DATA_DT) - year(BD)) + month(DATA_DT) - month(BD)",
+    "RELOAN": "K",
+    "RELOANTIMES": "K",
+    "BRELOAN": "K",
+    "PROV_CD": "concat(REGION + 31, lpad(NATION div 5 + 1, 2, '0'))",
+    "LIGHT": "CASE WHEN CUST % 5 = 0 THEN 1 ELSE 0 END",
+    "LOAN_PR_SCOPE": (
+        "CASE WHEN LOAN_PR < 5000000 THEN 1 WHEN LOAN_PR < 15000000 THEN 2 "
+        "WHEN LOAN_PR < 30000000 THEN 3 ELSE 4 END"
+    ),
+    "CNT": "1",
+    "LOAN_PR_FEE": "LOAN_PR + LOAN_PR * 6 div 100",
+}
+
+# Columns that build on a status or on the loan's previous date.
+HISTORY = f"OVER (PARTITION BY {LOAN_KEY} ORDER BY DATA_DT)"
+DERIVED = {
+    "SHENGSHI_CD": "concat(PROV_CD, lpad(CUST % 3 + 1, 2, '0'))",
+    "NEW_AMT": "CASE WHEN NEW_LOAN = 1 THEN LOAN_PR ELSE 0 END",
+    "OD_AMT_30": "CASE WHEN OD_DAYS >= 30 THEN OD_AMT ELSE 0 END",
+    "OD_PRINCIPAL_30": "CASE WHEN OD_DAYS >= 30 THEN OD_PRINCIPAL ELSE 0 END",
+    "OVERDUE_STATUS_3_LAST": f"lag(OVERDUE_STATUS_3) {HISTORY}",
+    "OVERDUE_STATUS_5_LAST": f"lag(OVERDUE_STATUS_5) {HISTORY}",
+    "STATUS_LAST_MONTH": f"lag(STATUS_THIS_MONTH) {HISTORY}",
+    "DIFF_OD_AMT": f"OD_AMT - coalesce(lag(OD_AMT) {HISTORY}, 0)",
+}
+
 
 def compact_ledger(ledger: DataFrame) -> DataFrame:
     """Installments of a loan with equal due and paid dates as one row.
@@ -39,98 +92,21 @@ def build_snapshots(
     join.  ``*_LAST`` columns hold the loan's state on the previous date of the
     list and are null on its first one.
     """
-    dates = F.array(
-        *[F.struct(F.lit(p.day).alias("day"), F.lit(p.before).alias("before")) for p in periods]
-    )
-    paired = ledger.withColumn("_period", F.explode(dates)).select(
-        *ledger.columns, F.col("_period.day").alias("DATA_DT"), F.col("_period.before").alias("_P")
-    ).where(F.col("BD") <= F.col("DATA_DT"))
-
-    day, before = F.col("DATA_DT"), F.col("_P")
-    unpaid = F.col("PAID").isNull() | (F.col("PAID") > day)
-    late = (F.col("DUE") < day) & unpaid
-    state = paired.groupBy(LOAN_KEY, "DATA_DT", "_P", *LOAN_COLUMNS).agg(
-        F.sum("AMT").alias("LOAN_PR"),
-        _sum_or_zero(unpaid).alias("BAL"),
-        _sum_or_zero(late).alias("OD_PRINCIPAL"),
-        F.coalesce(F.max(F.when(late, F.date_diff(day, "DUE"))), F.lit(0)).alias("_OD_DAYS"),
-        F.max("DUE").alias("_MATURITY"),
-        _sum_or_zero((F.col("DUE") > before) & (F.col("DUE") <= day)).alias("DIFF_SP_AMT"),
-        _sum_or_zero((F.col("PAID") > before) & (F.col("PAID") <= day)).alias("DIFF_AP_AMT"),
+    dates = ", ".join(
+        f"named_struct('DATA_DT', DATE '{p.day}', 'BEFORE', DATE '{p.before}')" for p in periods
     )
-    return _with_prior_state(_with_status(state, cohort_by_month)).select(
-        LOAN_KEY,
-        *[F.col(c).cast(t).alias(c) for c, t in {**ATTRIBUTES, **MEASURES}.items()],
+    paired = ledger.selectExpr("*", f"inline(array({dates}))").where("BD <= DATA_DT")
+    state = paired.groupBy(LOAN_KEY, "DATA_DT", "BEFORE", *LOAN_COLUMNS).agg(
+        *[F.expr(f"{rule} AS {name}") for name, rule in STATE.items()]
     )
-
-
-def _sum_or_zero(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("AMT"))), F.lit(0))
-
-
-def _with_status(state: DataFrame, cohort_by_month: bool) -> DataFrame:
-    settled = F.col("BAL") == 0
-    od_days = F.col("_OD_DAYS")
-    is_30 = od_days >= 30
-    is_new = F.col("BD") > F.col("_P")
-    to_maturity = F.date_diff("DATA_DT", "_MATURITY")
-    province = F.concat(
-        (F.col("REGION") + 31).cast("string"),
-        F.lpad((F.expr("NATION div 5") + 1).cast("string"), 2, "0"),
+    begin = "last_day(BD)" if cohort_by_month else "BD"
+    coded = state.selectExpr(
+        "*", f"{begin} AS BEGIN_DATE", *[f"{rule} AS {name}" for name, rule in STATUS.items()]
     )
-    months = 12 * (F.year("DATA_DT") - F.year("BD")) + F.month("DATA_DT") - F.month("BD")
-    return (
-        state.withColumns(
-            {
-                "OD_AMT": F.expr("OD_PRINCIPAL + OD_PRINCIPAL * 5 div 100"),
-                "PROV_CD": province,
-            }
-        )
-        .withColumns(
-            {
-                "CNT": F.lit(1),
-                "LOAN_PR_FEE": F.expr("LOAN_PR + LOAN_PR * 6 div 100"),
-                "NEW_AMT": F.when(is_new, F.col("LOAN_PR")).otherwise(0),
-                "OD_AMT_30": F.when(is_30, F.col("OD_AMT")).otherwise(0),
-                "OD_PRINCIPAL_30": F.when(is_30, F.col("OD_PRINCIPAL")).otherwise(0),
-                "OVERDUE_STATUS_3": F.when(settled, 2).when(od_days > 0, 1).otherwise(0),
-                "OVERDUE_STATUS_5": F.when(settled | (od_days == 0), 0)
-                .when(od_days <= 3, 1)
-                .when(od_days <= 30, 2)
-                .when(od_days <= 60, 3)
-                .otherwise(4),
-                "OVERDUE_STATUS_3_30": F.when(settled, 2).when(is_30, 1).otherwise(0),
-                "STATUS_THIS_MONTH": F.when(od_days > 60, 1).otherwise(0),
-                "MATURITY_DAYS": F.when(to_maturity < 0, -1).otherwise(to_maturity),
-                "NEW_LOAN": is_new.cast("int"),
-                "BEGIN_DATE": F.last_day("BD") if cohort_by_month else F.col("BD"),
-                "LOAN_M_CNT": months,
-                "RELOAN": F.col("K"),
-                "RELOANTIMES": F.col("K"),
-                "BRELOAN": F.col("K"),
-                "SHENGSHI_CD": F.concat(
-                    "PROV_CD", F.lpad((F.col("CUST") % 3 + 1).cast("string"), 2, "0")
-                ),
-                "LIGHT": (F.col("CUST") % 5 == 0).cast("int"),
-                "LOAN_PR_SCOPE": F.when(F.col("LOAN_PR") < 5_000_000, 1)
-                .when(F.col("LOAN_PR") < 15_000_000, 2)
-                .when(F.col("LOAN_PR") < 30_000_000, 3)
-                .otherwise(4),
-            }
-        )
-    )
-
-
-def _with_prior_state(state: DataFrame) -> DataFrame:
-    """Adds each loan's state on the previous evaluated date (one loan: one row per date)."""
-    history = Window.partitionBy(LOAN_KEY).orderBy("DATA_DT")
-    return state.withColumns(
-        {
-            "OVERDUE_STATUS_3_LAST": F.lag("OVERDUE_STATUS_3").over(history),
-            "OVERDUE_STATUS_5_LAST": F.lag("OVERDUE_STATUS_5").over(history),
-            "STATUS_LAST_MONTH": F.lag("STATUS_THIS_MONTH").over(history),
-            "DIFF_OD_AMT": F.col("OD_AMT") - F.coalesce(F.lag("OD_AMT").over(history), F.lit(0)),
-        }
+    columns = {**ATTRIBUTES, **MEASURES}
+    return coded.selectExpr(
+        LOAN_KEY,
+        *[f"CAST({DERIVED.get(c, c)} AS {t.simpleString()}) AS {c}" for c, t in columns.items()],
     )
 
 
@@ -142,8 +118,10 @@ def to_cells(snapshots: DataFrame) -> DataFrame:
     cut there.  The number of cells is bounded by the attributes' value ranges,
     not by the number of loans, and all reports then read this small table.
     """
-    capped = ("MATURITY_DAYS", "RELOAN", "RELOANTIMES", "BRELOAN")
-    cut = {c: F.when(F.col(c) > 3, 3).otherwise(F.col(c)) for c in capped}
-    return snapshots.withColumns(cut).groupBy(*ATTRIBUTES).agg(
-        *[F.sum(m).alias(m) for m in MEASURES]
+    cut = ("MATURITY_DAYS", "RELOAN", "RELOANTIMES", "BRELOAN")
+    shown = [f"CASE WHEN {c} > 3 THEN 3 ELSE {c} END AS {c}" if c in cut else c for c in ATTRIBUTES]
+    return (
+        snapshots.selectExpr(*shown, *MEASURES)
+        .groupBy(*ATTRIBUTES)
+        .agg(*[F.expr(f"sum({m}) AS {m}") for m in MEASURES])
     )

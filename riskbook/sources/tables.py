@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskbook.functions.columns import as_date
 from riskbook.operators.rows import everyone
 from riskbook.schema import DIMENSION, FACTS, require_columns
 
@@ -47,7 +46,7 @@ def read_snapshots_jdbc(
         predicates=[f"data_dt = DATE '{d.isoformat()}'" for d in dates],
         properties=properties,
     )
-    dated = {c: as_date(c) for c in ("DATA_DT", "BEGIN_DATE")}
+    dated = {c: F.to_date(c) for c in ("DATA_DT", "BEGIN_DATE")}
     return _chosen(stored.withColumns(dated), None, population)
 
 
@@ -80,5 +79,5 @@ def family(dimension: DataFrame, name: str) -> DataFrame:
 def _chosen(facts: DataFrame, dates: Sequence[date] | None, population: Population) -> DataFrame:
     require_columns(facts, FACTS)
     if dates is not None:
-        facts = facts.where(F.col("DATA_DT").isin(*[F.lit(d) for d in dates]))
+        facts = facts.where(F.col("DATA_DT").isin(*dates))
     return population(facts)

@@ -8,53 +8,51 @@ what bounds the rows that meet in one task.
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.schema import LEDGER
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A given table; its files are listed once per application."""
+    return _table(spark, spark.sparkContext.applicationId, f"{folder.rstrip('/')}/{name}.parquet")
+
+
+@cache
+def _table(spark: SparkSession, application: str, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def ledger(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
     """Installments of loans begun on or before ``as_of``, partitioned by loan."""
     loans = _loans(spark, folder, as_of)
     lines = _lines(spark, folder)
-    line, order = F.col("l_linenumber"), F.col("LOAN_ID")
-    spread = (order * 7 + F.col("CUST") * 3) % 20
-    delay = (
-        F.when(spread < 12, 0)
-        .when(spread < 16, 15 * (spread - 11) + 2 * line)
-        .when(spread < 18, 130 + line)
-        .when(line <= order % 3, 0)
-    )
+    spread = "(LOAN_ID * 7 + CUST * 3) % 20"
+    delay = f"""CASE WHEN {spread} < 12 THEN 0
+                     WHEN {spread} < 16 THEN 15 * ({spread} - 11) + 2 * l_linenumber
+                     WHEN {spread} < 18 THEN 130 + l_linenumber
+                     WHEN l_linenumber <= LOAN_ID % 3 THEN 0 END"""
     return (
         lines.join(loans, F.col("l_orderkey") == F.col("LOAN_ID"))
-        .withColumn("DUE", F.date_add("BD", 30 * line))
-        .withColumn("PAID", F.date_add("DUE", delay.cast("int")))
-        .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
+        .selectExpr("*", "date_add(BD, 30 * l_linenumber) AS DUE")
+        .selectExpr("*", f"date_add(DUE, CAST({delay} AS INT)) AS PAID")
+        .selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in LEDGER])
     )
 
 
 def dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Code table: a name per province (one left out) and per city code."""
-    nation = table(spark, folder, "nation").select(
-        F.concat(
-            (F.col("n_regionkey") + 31).cast("string"),
-            F.lpad((F.expr("n_nationkey div 5") + 1).cast("string"), 2, "0"),
-        ).alias("code"),
-        "n_name",
+    nation = table(spark, folder, "nation").selectExpr(
+        "concat(n_regionkey + 31, lpad(n_nationkey div 5 + 1, 2, '0')) AS code", "n_name"
     )
-    provinces = nation.where(F.col("code") != "3103").select(
-        F.lit("PROV_CD").alias("COL"), F.col("code").alias("CODE"), F.col("n_name").alias("NAME")
+    provinces = nation.where("code <> '3103'").selectExpr(
+        "'PROV_CD' AS COL", "code AS CODE", "n_name AS NAME"
     )
-    cities = nation.withColumn("suffix", F.explode(F.array(*map(F.lit, ("01", "02", "03"))))).select(
-        F.lit("SHENGSHI_CD").alias("COL"),
-        F.concat("code", "suffix").alias("CODE"),
-        F.concat_ws("-", "n_name", "suffix").alias("NAME"),
+    cities = nation.selectExpr("*", "explode(array('01', '02', '03')) AS suffix").selectExpr(
+        "'SHENGSHI_CD' AS COL", "concat(code, suffix) AS CODE", "concat(n_name, '-', suffix) AS NAME"
     )
     return provinces.unionByName(cities)
 
@@ -65,13 +63,13 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     Summed before the join with orders, and inside each task before the
     shuffle: an order with any number of lines brings one row per line number.
     """
-    cents = F.col("l_extendedprice") * 100
-    amount = (cents + F.signum(cents) / 2).cast("long")  # nearest, halves away from zero
+    # To the nearest cent, halves away from zero.
+    amount = "CAST(l_extendedprice * 100 + signum(l_extendedprice) / 2 AS BIGINT)"
     return (
         table(spark, folder, "lineitem")
-        .where(F.col("l_orderkey").isNotNull() & F.col("l_linenumber").isNotNull())
+        .where("l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL")
         .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.sum(amount).alias("AMT"))
+        .agg(F.expr(f"sum({amount}) AS AMT"))
     )
 
 
@@ -85,33 +83,32 @@ def _loans(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
     """
     orders = table(spark, folder, "orders")
     cutoff = F.lit(str(as_of + timedelta(1))).cast(orders.schema["o_orderdate"].dataType)
-    orders = orders.where(F.col("o_orderdate") < cutoff).select(
-        "o_orderkey", "o_custkey", "o_orderdate", F.to_date("o_orderdate").alias("BD")
-    )
-    earlier = Window.partitionBy("o_custkey").orderBy("BD").rowsBetween(
-        Window.unboundedPreceding, -1
+    orders = orders.where(F.col("o_orderdate") < cutoff).selectExpr(
+        "o_orderkey", "o_custkey", "o_orderdate", "to_date(o_orderdate) AS BD"
     )
     per_day = (
         orders.groupBy("o_custkey", "BD")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .select("o_custkey", "BD", "earlier")
+        .agg(F.expr("count(1) AS n"))
+        .selectExpr(
+            "o_custkey",
+            "BD",
+            """coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY BD
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier""",
+        )
     )
-    places = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    per_day = per_day.join(places, F.col("o_custkey") == F.col("c_custkey")).join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey")
+    places = (
+        table(spark, folder, "customer")
+        .select("c_custkey", "c_nationkey")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    in_day = Window.partitionBy("o_custkey", "BD").orderBy("o_orderdate", "o_orderkey")
-    return (
-        orders.join(per_day, ["o_custkey", "BD"])
-        .withColumn("K", F.col("earlier") + F.row_number().over(in_day))
-        .select(
-            F.col("o_orderkey").alias("LOAN_ID"),
-            F.col("o_custkey").alias("CUST"),
-            F.col("c_nationkey").alias("NATION"),
-            F.col("n_regionkey").alias("REGION"),
-            "BD",
-            "K",
-        )
+    per_day = per_day.join(places, F.col("o_custkey") == F.col("c_custkey"))
+    return orders.join(per_day, ["o_custkey", "BD"]).selectExpr(
+        "o_orderkey AS LOAN_ID",
+        "o_custkey AS CUST",
+        "c_nationkey AS NATION",
+        "n_regionkey AS REGION",
+        "BD",
+        """earlier + row_number() OVER (PARTITION BY o_custkey, BD
+                                        ORDER BY o_orderdate, o_orderkey) AS K""",
     )

@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.functions.columns import percent_text, unite
+from riskbook.functions.columns import unite
 from riskbook.operators import rows, sums
 from riskbook.plans import bundle, month_30, overdue, structure
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Cadence, Options
@@ -40,7 +40,9 @@ def snapshots(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
     dates = periods(cadence)
     ledger = book.ledger(spark, folder, dates[-1].day)
     built = build_snapshots(ledger, dates, cohort_by_month=cadence == MONTH.name)
-    return built.where(F.col("DATA_DT").isin(*[F.lit(d) for d in reported(cadence)]))
+    if reported(cadence) == [p.day for p in dates]:
+        return built
+    return built.where(F.col("DATA_DT").isin(*reported(cadence)))
 
 
 def cells(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
@@ -201,14 +203,15 @@ def _latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _subset_filter(spark: SparkSession, folder: str) -> DataFrame:
-    cured = (F.col("OVERDUE_STATUS_5") == 0) & (F.col("OVERDUE_STATUS_5_LAST") == 3)
+    cured = "OVERDUE_STATUS_5 = 0 AND OVERDUE_STATUS_5_LAST = 3"
     columns = ["LOAN_ID", "DATA_DT", "OVERDUE_STATUS_5", "OVERDUE_STATUS_5_LAST", "BAL"]
     return _dates_as_text(rows.subset(snapshots(spark, folder, MONTH.name), cured, columns))
 
 
 def _unite_status(spark: SparkSession, folder: str) -> DataFrame:
-    united = snapshots(spark, folder, MONTH.name).select(
-        "DATA_DT", unite("-", "OVERDUE_STATUS_5_LAST", "OVERDUE_STATUS_5").alias("moved"), "CNT", "DIFF_OD_AMT"
+    moved = unite("-", "OVERDUE_STATUS_5_LAST", "OVERDUE_STATUS_5")
+    united = snapshots(spark, folder, MONTH.name).selectExpr(
+        "DATA_DT", f"{moved} AS moved", "CNT", "DIFF_OD_AMT"
     )
     return _dates_as_text(sums.sum_by(united, ["DATA_DT", "moved"], ["CNT", "DIFF_OD_AMT"]))
 
@@ -237,7 +240,10 @@ def _full_outer_fold(spark: SparkSession, folder: str) -> DataFrame:
         sums.fused_sums(
             rows.latest(cells(spark, folder, c)),
             "SHENGSHI_CD",
-            [sums.Part(f"{c}_new_cnt", "CNT", F.col("NEW_LOAN") == 1), sums.Part(f"{c}_od_cnt", "CNT", F.col("OVERDUE_STATUS_5") == 4)],
+            [
+                sums.Part(f"{c}_new_cnt", "CNT", "NEW_LOAN = 1"),
+                sums.Part(f"{c}_od_cnt", "CNT", "OVERDUE_STATUS_5 = 4"),
+            ],
         )
         for c in ("month", "week", "biweek")
     ]
@@ -299,8 +305,8 @@ def _natural_right_join(spark: SparkSession, folder: str) -> DataFrame:
     """New lending per cohort beside the cohort's newest balance, cohorts in range only."""
     facts = _month(spark, folder)
     new = sums.sum_by(facts, ["BEGIN_DATE"], ["NEW_AMT"])
-    begun = F.col("BEGIN_DATE") >= facts.agg(F.min("DATA_DT")).scalar()
-    balances = sums.sum_by(rows.latest(facts).where(begun), ["BEGIN_DATE"], ["BAL"])
+    begun = rows.begun_in_range(rows.latest(facts), facts)
+    balances = sums.sum_by(begun, ["BEGIN_DATE"], ["BAL"])
     return _dates_as_text(rows.natural_outer([new, balances], "right"))
 
 
@@ -316,9 +322,7 @@ def _natural_right_sql() -> str:
 def _text_output(spark: SparkSession, folder: str) -> DataFrame:
     """The weekly overdue report with every cell as text and rates as percents."""
     table = overdue.overdue_by_date(cells(spark, folder, WEEK.name), None, WEEK)
-    return table.select(
-        *[percent_text(c).alias(c) if c.endswith("_rate") else F.col(c).cast("string") for c in table.columns]
-    )
+    return bundle.as_text(table)
 
 
 def _text_sql() -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from riskbook.functions.columns import month_text, rate
 from riskbook.operators.rows import arrange, begun_in_range
-from riskbook.operators.sums import Part, fused_sums, pivot_sum
+from riskbook.operators.sums import Part, fused_sums, names, pivot_parts
 
 
 def vintage(
@@ -19,18 +19,18 @@ def vintage(
     """``begin_month``, ``new_amt`` and ``m0`` ... of cohorts begun within the snapshots.
 
     ``ages`` is the number of snapshot dates, which bounds the months on book
-    of such cohorts and so fixes the columns.  A missing cell stays missing.
+    of such cohorts and so fixes the columns.  A missing cell stays missing,
+    and a cohort with no cell at all is left out.
     """
-    chosen = facts.where(which)
-    new = fused_sums(chosen, "BEGIN_DATE", [Part("new_amt", "NEW_AMT")])
-    cells = pivot_sum(
-        begun_in_range(chosen, facts), "BEGIN_DATE", "LOAN_M_CNT", range(ages), [measure], _age
+    cells = pivot_parts("LOAN_M_CNT", range(ages), [measure], _age)
+    begun = begun_in_range(facts.where(which), facts)
+    matrix = fused_sums(begun, "BEGIN_DATE", [Part("new_amt", "NEW_AMT"), *cells]).where(
+        f"coalesce({', '.join(names(cells))}) IS NOT NULL"
     )
-    matrix = new.join(cells, "BEGIN_DATE", "right")
     if ordered:
         matrix = arrange(matrix, "BEGIN_DATE")
     return matrix.selectExpr(
-        f"{month_text('BEGIN_DATE')} AS begin_month", "new_amt", *[f"m{a}" for a in range(ages)]
+        f"{month_text('BEGIN_DATE')} AS begin_month", "new_amt", *names(cells)
     )
 
 

@@ -1,4 +1,8 @@
-"""Evaluated dates of the test runs (rules in FIXTURES.md)."""
+"""Evaluated dates of the test runs (rules in FIXTURES.md).
+
+The last date of every run is on or after the newest order, so each run works
+on the whole tables.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +11,19 @@ from datetime import date
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK
 from riskbook.sources.calendar import Period, biweekly, daily, month_ends, weekly
 
-AS_OF = date(1995, 12, 15)
-DETAIL_FROM = date(1995, 9, 1)
+DETAIL_FROM = date(2001, 5, 1)
 
 
 def periods(cadence: str) -> list[Period]:
     if cadence == MONTH.name:
-        return month_ends(date(1995, 7, 1), date(1996, 1, 1))
+        return month_ends(date(2001, 3, 1), date(2001, 9, 1))
     if cadence == WEEK.name:
-        return weekly(date(1995, 10, 5), date(1995, 11, 23))
+        return weekly(date(2001, 6, 14), date(2001, 8, 2))
     if cadence == BIWEEK.name:
-        return biweekly(date(1995, 10, 5), date(1995, 11, 23))
+        return biweekly(date(2001, 6, 21), date(2001, 8, 2))
     if cadence == DAY.name:
         # The day before gives the reported day its prior state.
-        return daily(AS_OF) + daily(date(1995, 12, 16))
+        return daily(date(2001, 8, 1)) + daily(date(2001, 8, 2))
     raise ValueError(cadence)
 
 

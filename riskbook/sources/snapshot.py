@@ -9,6 +9,7 @@ included, runs without a further shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,13 +85,18 @@ def compact_ledger(ledger: DataFrame) -> DataFrame:
 
 
 def build_snapshots(
-    ledger: DataFrame, periods: Sequence[Period], cohort_by_month: bool = False
+    ledger: DataFrame,
+    periods: Sequence[Period],
+    cohort_by_month: bool = False,
+    keep: Sequence[date] | None = None,
 ) -> DataFrame:
     """State of each loan begun on or before each evaluated date.
 
     The date list is a literal array, so pairing installments with dates is no
     join.  ``*_LAST`` columns hold the loan's state on the previous date of the
-    list and are null on its first one.
+    list and are null on its first one.  With ``keep`` the other dates only
+    serve as previous ones: a stored table gains its newest date from the last
+    two dates of the list, without redoing the history.
     """
     dates = ", ".join(
         f"named_struct('DATA_DT', DATE '{p.day}', 'BEFORE', DATE '{p.before}')" for p in periods
@@ -104,10 +110,11 @@ def build_snapshots(
         "*", f"{begin} AS BEGIN_DATE", *[f"{rule} AS {name}" for name, rule in STATUS.items()]
     )
     columns = {**ATTRIBUTES, **MEASURES}
-    return coded.selectExpr(
+    snapshots = coded.selectExpr(
         LOAN_KEY,
         *[f"CAST({DERIVED.get(c, c)} AS {t.simpleString()}) AS {c}" for c, t in columns.items()],
     )
+    return snapshots if keep is None else snapshots.where(F.col("DATA_DT").isin(*keep))
 
 
 def to_cells(snapshots: DataFrame) -> DataFrame:

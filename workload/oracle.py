@@ -6,7 +6,7 @@ joined on the key, so that it checks the fused Spark plans independently.
 
 from __future__ import annotations
 
-from workload.periods import DETAIL_FROM, periods, reported
+from workload.periods import DETAIL_FROM, by_month, periods, reported
 
 OUT = "OVERDUE_STATUS_3 <> 2"
 OD = "OVERDUE_STATUS_3 = 1"
@@ -95,7 +95,7 @@ def facts_sql(cadence: str, population: str = "all") -> str:
     rows = ", ".join(f"(DATE '{p.day}', DATE '{p.before}')" for p in periods(cadence))
     days = ", ".join(f"DATE '{d}'" for d in reported(cadence))
     state = STATE.format(
-        begin="last_day(BD)" if cadence == "month" else "BD",
+        begin="last_day(BD)" if by_month(cadence) else "BD",
         where=f"{POPULATIONS[population]} AND DATA_DT IN ({days})",
     )
     return f"WITH periods(DATA_DT, P) AS (VALUES {rows}),{LEDGER},{state},{DIMS}"
@@ -106,7 +106,7 @@ class Reports:
 
     def __init__(self, cadence: str, population: str = "all"):
         self.cadence = cadence
-        self.monthly = cadence == "month"
+        self.monthly = by_month(cadence)
         self.head = facts_sql(cadence, population)
 
     # -- pieces ------------------------------------------------------------

@@ -13,10 +13,15 @@ from riskbook.sources.calendar import Period, biweekly, daily, month_ends, weekl
 
 DETAIL_FROM = date(2001, 5, 1)
 
+# A month run over every month-end since the first order.
+HISTORY = "history"
+
 
 def periods(cadence: str) -> list[Period]:
     if cadence == MONTH.name:
         return month_ends(date(2001, 3, 1), date(2001, 9, 1))
+    if cadence == HISTORY:
+        return month_ends(date(1995, 2, 1), date(2001, 9, 1))
     if cadence == WEEK.name:
         return weekly(date(2001, 6, 14), date(2001, 8, 2))
     if cadence == BIWEEK.name:
@@ -27,6 +32,10 @@ def periods(cadence: str) -> list[Period]:
     raise ValueError(cadence)
 
 
+def by_month(cadence: str) -> bool:
+    return cadence in (MONTH.name, HISTORY)
+
+
 def reported(cadence: str) -> list[date]:
     """Dates a report of the cadence covers."""
     days = [p.day for p in periods(cadence)]

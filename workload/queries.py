@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cache, partial
 from hashlib import sha256
 
@@ -20,7 +21,7 @@ from riskbook.sources.snapshot import build_snapshots, to_cells
 from riskbook.sources.tables import read_snapshots, write_snapshots
 from workload import book
 from workload.oracle import LATEST, Reports
-from workload.periods import DETAIL_FROM, periods, reported
+from workload.periods import DETAIL_FROM, HISTORY, by_month, periods, reported
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,12 +38,10 @@ OPTIONS = Options(detail_from=DETAIL_FROM)
 
 def snapshots(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
     """Loan-level snapshots of a cadence, as a plan over the given tables."""
-    dates = periods(cadence)
+    dates, days = periods(cadence), reported(cadence)
     ledger = book.ledger(spark, folder, dates[-1].day)
-    built = build_snapshots(ledger, dates, cohort_by_month=cadence == MONTH.name)
-    if reported(cadence) == [p.day for p in dates]:
-        return built
-    return built.where(F.col("DATA_DT").isin(*reported(cadence)))
+    keep = days if len(days) < len(dates) else None
+    return build_snapshots(ledger, dates, cohort_by_month=by_month(cadence), keep=keep)
 
 
 def cells(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
@@ -100,6 +99,18 @@ def report_plans(cadence: Cadence) -> dict[str, Callable]:
     return plans
 
 
+# Reports with a row per date or cohort: what a longer calendar changes.
+ALONG_TIME = (
+    "overdue_by_date",
+    "reloan_overdue_by_date",
+    "fund_change_count",
+    "migration_rates",
+    "structure_detail",
+    "vintage_amount",
+    "vintage_rate",
+)
+
+
 def _report_queries() -> tuple[dict[str, Query], dict[str, str]]:
     queries, oracle = {}, {}
     runs = [
@@ -110,10 +121,13 @@ def _report_queries() -> tuple[dict[str, Query], dict[str, str]]:
         (BIWEEK, "all", "_biweek"),
         (DAY, "all", "_day"),
         (DAY, "excl", "_day_excl"),
+        (replace(MONTH, name=HISTORY), "all", "_history"),
     ]
     for cadence, population, suffix in runs:
         sql = Reports(cadence.name, population)
         for name, plan in report_plans(cadence).items():
+            if cadence.name == HISTORY and name not in ALONG_TIME:
+                continue
             queries[name + suffix] = partial(report, plan, cadence, population)
             oracle[name + suffix] = getattr(sql, name)()
     return queries, oracle

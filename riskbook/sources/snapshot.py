@@ -19,57 +19,92 @@ from riskbook.sources.calendar import Period
 
 LOAN_COLUMNS = ("CUST", "NATION", "REGION", "BD", "K")
 
-UNPAID = "(PAID IS NULL OR PAID > DATA_DT)"
-LATE = f"(DUE < DATA_DT AND {UNPAID})"
-
-# What a loan's installments add up to on a date.
-STATE = {
-    "LOAN_PR": "sum(AMT)",
-    "BAL": f"coalesce(sum(CASE WHEN {UNPAID} THEN AMT END), 0)",
-    "OD_PRINCIPAL": f"coalesce(sum(CASE WHEN {LATE} THEN AMT END), 0)",
-    "OD_DAYS": f"coalesce(max(CASE WHEN {LATE} THEN date_diff(DATA_DT, DUE) END), 0)",
-    "MATURITY": "max(DUE)",
-    "DIFF_SP_AMT": "coalesce(sum(CASE WHEN DUE > BEFORE AND DUE <= DATA_DT THEN AMT END), 0)",
-    "DIFF_AP_AMT": "coalesce(sum(CASE WHEN PAID > BEFORE AND PAID <= DATA_DT THEN AMT END), 0)",
-}
+# Dates summed side by side in one row per loan; longer lists take several rows.
+DATES_PER_ROW = 8
 
-# Loan status and codes, from that state.
-STATUS = {
-    "OD_AMT": "OD_PRINCIPAL + OD_PRINCIPAL * 5 div 100",
-    "OVERDUE_STATUS_3": "CASE WHEN BAL = 0 THEN 2 WHEN OD_DAYS > 0 THEN 1 ELSE 0 END",
-    "OVERDUE_STATUS_5": (
-        "CASE WHEN BAL = 0 OR OD_DAYS = 0 THEN 0 WHEN OD_DAYS <= 3 THEN 1 "
-        "WHEN OD_DAYS <= 30 THEN 2 WHEN OD_DAYS <= 60 THEN 3 ELSE 4 END"
-    ),
-    "OVERDUE_STATUS_3_30": "CASE WHEN BAL = 0 THEN 2 WHEN OD_DAYS >= 30 THEN 1 ELSE 0 END",
-    "STATUS_THIS_MONTH": "CASE WHEN OD_DAYS > 60 THEN 1 ELSE 0 END",
-    "MATURITY_DAYS": "greatest(date_diff(DATA_DT, MATURITY), -1)",
-    "NEW_LOAN": "CASE WHEN BD > BEFORE THEN 1 ELSE 0 END",
-    "LOAN_M_CNT": "12 * (year(DATA_DT) - year(BD)) + month(DATA_DT) - month(BD)",
+
+def _unpaid(day: str) -> str:
+    return f"(PAID IS NULL OR PAID > {day})"
+
+
+def _late(day: str) -> str:
+    return f"(DUE < {day} AND {_unpaid(day)})"
+
+
+def _sum_where(condition: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN AMT END), 0)"
+
+
+def _state(day: str) -> dict[str, str]:
+    """What a loan's installments add up to on a date."""
+    return {
+        "BAL": _sum_where(_unpaid(day)),
+        "OD_PRINCIPAL": _sum_where(_late(day)),
+        "OD_DAYS": f"coalesce(date_diff({day}, min(CASE WHEN {_late(day)} THEN DUE END)), 0)",
+    }
+
+
+def _flows(day: str, before: str) -> dict[str, str]:
+    """Amounts fallen due and paid between two dates."""
+    return {
+        "DIFF_SP_AMT": _sum_where(f"DUE > {before} AND DUE <= {day}"),
+        "DIFF_AP_AMT": _sum_where(f"PAID > {before} AND PAID <= {day}"),
+    }
+
+
+def _status(prefix: str = "") -> dict[str, str]:
+    """A loan's status on a date from its state on that date."""
+    bal, od_days, od_principal = f"{prefix}BAL", f"{prefix}OD_DAYS", f"{prefix}OD_PRINCIPAL"
+    return {
+        "OD_AMT": f"{od_principal} + {od_principal} * 5 div 100",
+        "OVERDUE_STATUS_3": f"CASE WHEN {bal} = 0 THEN 2 WHEN {od_days} > 0 THEN 1 ELSE 0 END",
+        "OVERDUE_STATUS_5": (
+            f"CASE WHEN {bal} = 0 OR {od_days} = 0 THEN 0 WHEN {od_days} <= 3 THEN 1 "
+            f"WHEN {od_days} <= 30 THEN 2 WHEN {od_days} <= 60 THEN 3 ELSE 4 END"
+        ),
+        "STATUS_THIS_MONTH": f"CASE WHEN {od_days} > 60 THEN 1 ELSE 0 END",
+    }
+
+
+PRIOR = "PRIOR_"
+SEEN_BEFORE = f"BD <= {PRIOR}DT"
+
+# Codes of a loan, the same on every date.
+PROVINCE = "concat(REGION + 31, lpad(NATION div 5 + 1, 2, '0'))"
+LOAN_CODES = {
+    "PROV_CD": PROVINCE,
+    "SHENGSHI_CD": f"concat({PROVINCE}, lpad(CUST % 3 + 1, 2, '0'))",
     "RELOAN": "K",
     "RELOANTIMES": "K",
     "BRELOAN": "K",
-    "PROV_CD": "concat(REGION + 31, lpad(NATION div 5 + 1, 2, '0'))",
     "LIGHT": "CASE WHEN CUST % 5 = 0 THEN 1 ELSE 0 END",
     "LOAN_PR_SCOPE": (
         "CASE WHEN LOAN_PR < 5000000 THEN 1 WHEN LOAN_PR < 15000000 THEN 2 "
         "WHEN LOAN_PR < 30000000 THEN 3 ELSE 4 END"
     ),
-    "CNT": "1",
     "LOAN_PR_FEE": "LOAN_PR + LOAN_PR * 6 div 100",
 }
 
-# Columns that build on a status or on the loan's previous date.
-HISTORY = f"OVER (PARTITION BY {LOAN_KEY} ORDER BY DATA_DT)"
+# Status and prior status of a loan on a date.
+STATUS = {
+    **_status(),
+    **{f"{PRIOR}{name}": rule for name, rule in _status(PRIOR).items()},
+    "OVERDUE_STATUS_3_30": "CASE WHEN BAL = 0 THEN 2 WHEN OD_DAYS >= 30 THEN 1 ELSE 0 END",
+    "MATURITY_DAYS": "greatest(date_diff(DATA_DT, MATURITY), -1)",
+    "NEW_LOAN": "CASE WHEN BD > BEFORE THEN 1 ELSE 0 END",
+    "LOAN_M_CNT": "12 * (year(DATA_DT) - year(BD)) + month(DATA_DT) - month(BD)",
+    "CNT": "1",
+}
+
+# Columns that build on those.
 DERIVED = {
-    "SHENGSHI_CD": "concat(PROV_CD, lpad(CUST % 3 + 1, 2, '0'))",
     "NEW_AMT": "CASE WHEN NEW_LOAN = 1 THEN LOAN_PR ELSE 0 END",
     "OD_AMT_30": "CASE WHEN OD_DAYS >= 30 THEN OD_AMT ELSE 0 END",
     "OD_PRINCIPAL_30": "CASE WHEN OD_DAYS >= 30 THEN OD_PRINCIPAL ELSE 0 END",
-    "OVERDUE_STATUS_3_LAST": f"lag(OVERDUE_STATUS_3) {HISTORY}",
-    "OVERDUE_STATUS_5_LAST": f"lag(OVERDUE_STATUS_5) {HISTORY}",
-    "STATUS_LAST_MONTH": f"lag(STATUS_THIS_MONTH) {HISTORY}",
-    "DIFF_OD_AMT": f"OD_AMT - coalesce(lag(OD_AMT) {HISTORY}, 0)",
+    "OVERDUE_STATUS_3_LAST": f"CASE WHEN {SEEN_BEFORE} THEN {PRIOR}OVERDUE_STATUS_3 END",
+    "OVERDUE_STATUS_5_LAST": f"CASE WHEN {SEEN_BEFORE} THEN {PRIOR}OVERDUE_STATUS_5 END",
+    "STATUS_LAST_MONTH": f"CASE WHEN {SEEN_BEFORE} THEN {PRIOR}STATUS_THIS_MONTH END",
+    "DIFF_OD_AMT": f"OD_AMT - CASE WHEN {SEEN_BEFORE} THEN {PRIOR}OD_AMT ELSE 0 END",
 }
 
 
@@ -92,23 +127,14 @@ def build_snapshots(
 ) -> DataFrame:
     """State of each loan begun on or before each evaluated date.
 
-    The date list is a literal array, so pairing installments with dates is no
-    join.  ``*_LAST`` columns hold the loan's state on the previous date of the
-    list and are null on its first one.  With ``keep`` the other dates only
-    serve as previous ones: a stored table gains its newest date from the last
-    two dates of the list, without redoing the history.
+    The date list is literal, so pairing loans with dates is no join.
+    ``*_LAST`` columns hold the loan's state on the previous date of the list
+    and are null on its first one.  With ``keep`` the other dates only serve as
+    previous ones: a stored table gains its newest date from the last two dates
+    of the list, without redoing the history.
     """
-    dates = ", ".join(
-        f"named_struct('DATA_DT', DATE '{p.day}', 'BEFORE', DATE '{p.before}')" for p in periods
-    )
-    paired = ledger.selectExpr("*", f"inline(array({dates}))").where("BD <= DATA_DT")
-    state = paired.groupBy(LOAN_KEY, "DATA_DT", "BEFORE", *LOAN_COLUMNS).agg(
-        *[F.expr(f"{rule} AS {name}") for name, rule in STATE.items()]
-    )
-    begin = "last_day(BD)" if cohort_by_month else "BD"
-    coded = state.selectExpr(
-        "*", f"{begin} AS BEGIN_DATE", *[f"{rule} AS {name}" for name, rule in STATUS.items()]
-    )
+    codes = {"BEGIN_DATE": "last_day(BD)" if cohort_by_month else "BD", **LOAN_CODES}
+    coded = _states(ledger, periods, codes).selectExpr("*", *_named(STATUS))
     columns = {**ATTRIBUTES, **MEASURES}
     snapshots = coded.selectExpr(
         LOAN_KEY,
@@ -117,6 +143,59 @@ def build_snapshots(
     return snapshots if keep is None else snapshots.where(F.col("DATA_DT").isin(*keep))
 
 
+def _states(ledger: DataFrame, periods: Sequence[Period], codes: dict[str, str]) -> DataFrame:
+    """A row per loan and date: the loan's codes, its state on the date and on the one before.
+
+    Installments are summed once per loan for several dates side by side, and
+    only the result, one row per loan, is spread to a row per date.  The state
+    on the previous date is then a column of the same row: no window, no sort.
+    """
+    size = min(DATES_PER_ROW, len(periods))
+    slots = range(1, size + 1)
+    rows = [periods[i : i + size] for i in range(0, len(periods), size)]
+    literal = ", ".join(
+        _slot_dates(chunk, rows[n - 1][-1].day if n else None, size) for n, chunk in enumerate(rows)
+    )
+    dated = ledger.selectExpr("*", f"inline(array({literal}))").where("BD <= newest")
+
+    totals = {"LOAN_PR": "sum(AMT)", "MATURITY": "max(DUE)"}
+    for slot in (0, *slots):
+        state = _state(f"day_{slot}")
+        if slot:
+            state |= _flows(f"day_{slot}", f"before_{slot}")
+        totals |= {f"{name}_{slot}": rule for name, rule in state.items()}
+    dates = ["day_0", *[f"{d}_{slot}" for slot in slots for d in ("day", "before")]]
+    by_loan = dated.groupBy(LOAN_KEY, *LOAN_COLUMNS, *dates).agg(*map(F.expr, _named(totals)))
+
+    def at(slot: int) -> str:
+        now = {"DATA_DT": f"day_{slot}", "BEFORE": f"before_{slot}", f"{PRIOR}DT": f"day_{slot - 1}"}
+        now |= {n: f"{n}_{slot}" for n in (*_state(""), *_flows("", ""))}
+        now |= {f"{PRIOR}{n}": f"{n}_{slot - 1}" for n in _state("")}
+        return "named_struct(" + ", ".join(f"'{n}', {c}" for n, c in now.items()) + ")"
+
+    kept = (LOAN_KEY, "BD", "LOAN_PR", "MATURITY", *codes)
+    return (
+        by_loan.selectExpr("*", *_named(codes))
+        .selectExpr(*kept, f"inline(array({', '.join(map(at, slots))}))")
+        .where("BD <= DATA_DT")
+    )
+
+
+def _named(rules: dict[str, str]) -> list[str]:
+    return [f"{rule} AS {name}" for name, rule in rules.items()]
+
+
+def _slot_dates(chunk: Sequence[Period], previous: date | None, size: int) -> str:
+    """Literal dates of one row: the one before, then each date and its period start."""
+    padded = [(p.day, p.before) for p in chunk] + [(None, None)] * (size - len(chunk))
+    dates = {"newest": chunk[-1].day, "day_0": previous}
+    for slot, (day, before) in enumerate(padded, 1):
+        dates |= {f"day_{slot}": day, f"before_{slot}": before}
+    return "named_struct(" + ", ".join(
+        f"'{n}', {f"DATE '{d}'" if d else 'CAST(NULL AS DATE)'}" for n, d in dates.items()
+    ) + ")"
+
+
 def to_cells(snapshots: DataFrame) -> DataFrame:
     """Loans of a snapshot with equal attributes as one row.
 

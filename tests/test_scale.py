@@ -30,11 +30,11 @@ def large_sides(spark):
         spark.conf.unset(s)
 
 
-def test_state_and_history_need_no_shuffle_after_the_ledger_join(spark, data, large_sides):
-    plan = physical(snapshots(spark, data, "month"))
+@pytest.mark.parametrize("cadence", ["month", "history"])
+def test_state_and_prior_state_need_no_shuffle_or_sort_after_the_ledger_join(spark, data, large_sides, cadence):
+    plan = physical(snapshots(spark, data, cadence))
     top = next(i for i, line in enumerate(plan) if "SortMergeJoin" in line)
-    assert not [line for line in plan[:top] if "Exchange" in line]
-    assert any("Window" in line for line in plan[:top])
+    assert not [line for line in plan[:top] if "Exchange" in line or "Sort" in line or "Window" in line]
     assert not [line for line in plan if "NestedLoop" in line or "Cartesian" in line]
 
 

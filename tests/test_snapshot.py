@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from compare import rows_by
 
+from riskbook.sources import snapshot
 from riskbook.schema import ATTRIBUTES, FACTS, LEDGER, MEASURES
 from riskbook.sources.calendar import Period
 from riskbook.sources.snapshot import build_snapshots, compact_ledger, to_cells
@@ -73,6 +74,26 @@ def test_prior_state_comes_from_the_date_before_and_is_missing_at_first(spark):
     assert [seen[1, d]["DIFF_AP_AMT"] for d in (JAN, FEB, MAR)] == [0, 0, 1000]
 
 
+@pytest.mark.parametrize("per_row", [1, 2, 8])
+def test_dates_per_row_do_not_change_results(spark, monkeypatch, per_row):
+    rows = [
+        (1, date(2020, 1, 1), 1000, date(2020, 2, 10), date(2020, 3, 5)),
+        (2, date(2020, 2, 3), 500, date(2020, 2, 20), None),
+        (3, date(2020, 3, 31), 700, date(2020, 5, 20), None),
+    ]
+    whole = {k: tuple(r) for k, r in states(spark, *rows).items()}
+    monkeypatch.setattr(snapshot, "DATES_PER_ROW", per_row)
+    assert {k: tuple(r) for k, r in states(spark, *rows).items()} == whole
+    assert len(whole) == 3 + 2 + 1
+
+
+def test_newest_date_alone_keeps_its_prior_state(spark):
+    rows = [(1, date(2020, 1, 1), 1000, date(2020, 2, 10), date(2020, 3, 5))]
+    whole = states(spark, *rows)
+    alone = build_snapshots(ledger(spark, *rows), PERIODS[1:], keep=[MAR]).collect()
+    assert [tuple(r) for r in alone] == [tuple(whole[1, MAR])]
+
+
 def test_cohort_date(spark):
     loan = (1, date(2020, 1, 15), 10, FEB, None)
     assert states(spark, loan)[1, JAN]["BEGIN_DATE"] == date(2020, 1, 15)

@@ -50,8 +50,8 @@ def read_snapshots_jdbc(
     return _chosen(stored.withColumns(dated), None, population)
 
 
-def write_snapshots(snapshots: DataFrame, path: str) -> None:
-    """Stores snapshots by date, replacing only the dates written.
+def write_snapshots(snapshots: DataFrame, path: str, whole: bool = False) -> None:
+    """Stores snapshots by date, replacing only the dates written, or the whole table.
 
     Rows are brought together by date first, with large dates split and small
     ones packed, so that the number of files follows the amount of data and
@@ -60,7 +60,7 @@ def write_snapshots(snapshots: DataFrame, path: str) -> None:
     (
         snapshots.hint("rebalance", "DATA_DT")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy("DATA_DT")
         .parquet(path)
     )

@@ -49,14 +49,20 @@ def cells(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
     return _cells(spark, spark.sparkContext.applicationId, folder, cadence)
 
 
+def cells_path(spark: SparkSession, folder: str, cadence: str) -> str | None:
+    shared = shared_folder(spark)
+    if shared is None:
+        return None
+    return f"{_run_folder(shared, spark.sparkContext.applicationId, folder)}/cells/{cadence}"
+
+
 @cache
 def _cells(spark: SparkSession, application: str, folder: str, cadence: str) -> DataFrame:
     table = to_cells(snapshots(spark, folder, cadence))
-    shared = shared_folder(spark)
-    if shared is None:
+    path = cells_path(spark, folder, cadence)
+    if path is None:
         return table.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{_run_folder(shared, application, folder)}/cells/{cadence}"
-    write_snapshots(table, path)
+    write_snapshots(table, path, whole=True)
     return read_snapshots(spark, path, schema=FACTS)
 
 
@@ -200,6 +206,25 @@ def _population_sql(population: str) -> str:
     )
 
 
+def _stored_dates(days: list, spark: SparkSession, folder: str) -> DataFrame:
+    """Chosen dates of the stored table, the date list reaching the scan."""
+    facts = _month(spark, folder)
+    path = cells_path(spark, folder, MONTH.name)
+    if path is None:
+        chosen = facts.where(F.col("DATA_DT").isin(*days))
+    else:
+        chosen = read_snapshots(spark, path, days, rows.without_prefix, FACTS)
+    return _dates_as_text(sums.sum_by(rows.without_prefix(chosen), ["DATA_DT", "LIGHT"], ["CNT", "OD_AMT"]))
+
+
+def _stored_dates_sql(days: list) -> str:
+    shown = ", ".join(f"DATE '{d}'" for d in days)
+    return Reports(MONTH.name, "excl").sql(
+        "SELECT CAST(DATA_DT AS VARCHAR) AS DATA_DT, LIGHT, CAST(sum(CNT) AS BIGINT) AS CNT, "
+        f"CAST(sum(OD_AMT) AS BIGINT) AS OD_AMT FROM facts WHERE DATA_DT IN ({shown}) GROUP BY 1, 2"
+    )
+
+
 def _dimension_lookup(spark: SparkSession, folder: str) -> DataFrame:
     counts = sums.sum_by(_month(spark, folder), ["SHENGSHI_CD", "PROV_CD"], ["CNT"])
     dims = dimension(spark, folder)
@@ -355,6 +380,10 @@ def _operator_queries() -> tuple[dict[str, Query], dict[str, str]]:
     )
     queries = {f"snapshot_{c}": partial(_snapshot, c) for c in ("month", "week", "biweek", "day")}
     oracle = {f"snapshot_{c}": _snapshot_sql(c) for c in ("month", "week", "biweek", "day")}
+    days = reported(MONTH.name)
+    stored = {"stored_snapshot_dates": days[1::2], "stored_snapshot_day": days[-1:]}
+    queries |= {name: partial(_stored_dates, dates) for name, dates in stored.items()}
+    oracle |= {name: _stored_dates_sql(dates) for name, dates in stored.items()}
     queries |= {
         "population_exclude_prefix": partial(_population_sums, "excl"),
         "population_exclude_code": partial(_population_sums, "excl_code"),

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 
 from compare import dims, facts, spark_table
 
-from riskbook.operators.rows import without_prefix
+from riskbook.operators.rows import everyone, without_prefix
 from riskbook.plans import bundle, month_30, overdue, run
 from riskbook.plans.cadence import DAY, MONTH, Options
 from riskbook.schema import LEDGER
@@ -72,7 +72,7 @@ def test_cells_of_an_earlier_run_do_not_linger(spark, tmp_path):
     path, cells = str(tmp_path / "snapshots"), str(tmp_path / "cells")
     run.refresh(ledger(spark), PERIODS, path)
     for dates in (days(PERIODS), days(PERIODS)[2:]):
-        stored = run._store_cells(spark, path, dates, cells, without_prefix)
+        stored = run._store_cells(spark, path, dates, cells, everyone)
         assert stored.select("DATA_DT").distinct().count() == len(dates)
 
 

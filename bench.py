@@ -75,9 +75,10 @@ def main() -> None:
         times[f"snapshot_{cadence}"] = timed(
             lambda c=cadence: drop_rows(workload.snapshots(spark, FOLDER, c))
         )
-    times["cells_month"] = timed(
-        lambda: drop_rows(to_cells(workload.snapshots(spark, FOLDER, "month")))
-    )
+    for cadence in ("month", "history"):
+        times[f"cells_{cadence}"] = timed(
+            lambda c=cadence: drop_rows(to_cells(workload.snapshots(spark, FOLDER, c)))
+        )
     workload.cells(spark, FOLDER, "month")
     for name in REPORTS:
         times[name] = timed(lambda n=name: queries[n](spark, FOLDER).collect())

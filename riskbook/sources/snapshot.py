@@ -40,7 +40,7 @@ def _state(day: str) -> dict[str, str]:
     return {
         "BAL": _sum_where(_unpaid(day)),
         "OD_PRINCIPAL": _sum_where(_late(day)),
-        "OD_DAYS": f"coalesce(date_diff({day}, min(CASE WHEN {_late(day)} THEN DUE END)), 0)",
+        "LATE_SINCE": f"min(CASE WHEN {_late(day)} THEN DUE END)",
     }
 
 
@@ -52,9 +52,10 @@ def _flows(day: str, before: str) -> dict[str, str]:
     }
 
 
-def _status(prefix: str = "") -> dict[str, str]:
+def _status(day: str, prefix: str = "") -> dict[str, str]:
     """A loan's status on a date from its state on that date."""
-    bal, od_days, od_principal = f"{prefix}BAL", f"{prefix}OD_DAYS", f"{prefix}OD_PRINCIPAL"
+    bal, od_principal = f"{prefix}BAL", f"{prefix}OD_PRINCIPAL"
+    od_days = _od_days(day, prefix)
     return {
         "OD_AMT": f"{od_principal} + {od_principal} * 5 div 100",
         "OVERDUE_STATUS_3": f"CASE WHEN {bal} = 0 THEN 2 WHEN {od_days} > 0 THEN 1 ELSE 0 END",
@@ -66,7 +67,12 @@ def _status(prefix: str = "") -> dict[str, str]:
     }
 
 
+def _od_days(day: str, prefix: str = "") -> str:
+    return f"coalesce(date_diff({day}, {prefix}LATE_SINCE), 0)"
+
+
 PRIOR = "PRIOR_"
+OD_DAYS = _od_days("DATA_DT")
 SEEN_BEFORE = f"BD <= {PRIOR}DT"
 
 # Codes of a loan, the same on every date.
@@ -87,9 +93,9 @@ LOAN_CODES = {
 
 # Status and prior status of a loan on a date.
 STATUS = {
-    **_status(),
-    **{f"{PRIOR}{name}": rule for name, rule in _status(PRIOR).items()},
-    "OVERDUE_STATUS_3_30": "CASE WHEN BAL = 0 THEN 2 WHEN OD_DAYS >= 30 THEN 1 ELSE 0 END",
+    **_status("DATA_DT"),
+    **{f"{PRIOR}{name}": rule for name, rule in _status(f"{PRIOR}DT", PRIOR).items()},
+    "OVERDUE_STATUS_3_30": f"CASE WHEN BAL = 0 THEN 2 WHEN {OD_DAYS} >= 30 THEN 1 ELSE 0 END",
     "MATURITY_DAYS": "greatest(date_diff(DATA_DT, MATURITY), -1)",
     "NEW_LOAN": "CASE WHEN BD > BEFORE THEN 1 ELSE 0 END",
     "LOAN_M_CNT": "12 * (year(DATA_DT) - year(BD)) + month(DATA_DT) - month(BD)",
@@ -99,8 +105,8 @@ STATUS = {
 # Columns that build on those.
 DERIVED = {
     "NEW_AMT": "CASE WHEN NEW_LOAN = 1 THEN LOAN_PR ELSE 0 END",
-    "OD_AMT_30": "CASE WHEN OD_DAYS >= 30 THEN OD_AMT ELSE 0 END",
-    "OD_PRINCIPAL_30": "CASE WHEN OD_DAYS >= 30 THEN OD_PRINCIPAL ELSE 0 END",
+    "OD_AMT_30": f"CASE WHEN {OD_DAYS} >= 30 THEN OD_AMT ELSE 0 END",
+    "OD_PRINCIPAL_30": f"CASE WHEN {OD_DAYS} >= 30 THEN OD_PRINCIPAL ELSE 0 END",
     "OVERDUE_STATUS_3_LAST": f"CASE WHEN {SEEN_BEFORE} THEN {PRIOR}OVERDUE_STATUS_3 END",
     "OVERDUE_STATUS_5_LAST": f"CASE WHEN {SEEN_BEFORE} THEN {PRIOR}OVERDUE_STATUS_5 END",
     "STATUS_LAST_MONTH": f"CASE WHEN {SEEN_BEFORE} THEN {PRIOR}STATUS_THIS_MONTH END",
@@ -133,6 +139,8 @@ def build_snapshots(
     previous ones: a stored table gains its newest date from the last two dates
     of the list, without redoing the history.
     """
+    if not periods:
+        raise ValueError("no dates to evaluate")
     codes = {"BEGIN_DATE": "last_day(BD)" if cohort_by_month else "BD", **LOAN_CODES}
     coded = _states(ledger, periods, codes).selectExpr("*", *_named(STATUS))
     columns = {**ATTRIBUTES, **MEASURES}
@@ -156,19 +164,29 @@ def _states(ledger: DataFrame, periods: Sequence[Period], codes: dict[str, str])
     literal = ", ".join(
         _slot_dates(chunk, rows[n - 1][-1].day if n else None, size) for n, chunk in enumerate(rows)
     )
-    dated = ledger.selectExpr("*", f"inline(array({literal}))").where("BD <= newest")
+    dates = f"array({literal})"
+    dated = ledger.selectExpr("*", f"posexplode({dates}) AS (nth, dates)").where(
+        "BD <= dates.newest"
+    )
 
     totals = {"LOAN_PR": "sum(AMT)", "MATURITY": "max(DUE)"}
     for slot in (0, *slots):
-        state = _state(f"day_{slot}")
+        state = _state(f"dates.day_{slot}")
         if slot:
-            state |= _flows(f"day_{slot}", f"before_{slot}")
+            state |= _flows(f"dates.day_{slot}", f"dates.before_{slot}")
         totals |= {f"{name}_{slot}": rule for name, rule in state.items()}
-    dates = ["day_0", *[f"{d}_{slot}" for slot in slots for d in ("day", "before")]]
-    by_loan = dated.groupBy(LOAN_KEY, *LOAN_COLUMNS, *dates).agg(*map(F.expr, _named(totals)))
+    by_loan = (
+        dated.groupBy(LOAN_KEY, *LOAN_COLUMNS, "nth")
+        .agg(*map(F.expr, _named(totals)))
+        .selectExpr("*", f"get({dates}, nth) AS dates")
+    )
 
     def at(slot: int) -> str:
-        now = {"DATA_DT": f"day_{slot}", "BEFORE": f"before_{slot}", f"{PRIOR}DT": f"day_{slot - 1}"}
+        now = {
+            "DATA_DT": f"dates.day_{slot}",
+            "BEFORE": f"dates.before_{slot}",
+            f"{PRIOR}DT": f"dates.day_{slot - 1}",
+        }
         now |= {n: f"{n}_{slot}" for n in (*_state(""), *_flows("", ""))}
         now |= {f"{PRIOR}{n}": f"{n}_{slot - 1}" for n in _state("")}
         return "named_struct(" + ", ".join(f"'{n}', {c}" for n, c in now.items()) + ")"

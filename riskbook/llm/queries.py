@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import langid
+from riskbook.llm import jaccard_join, langid
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +27,13 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), models)
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similarity_join(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 SQL: dict[str, str] = {}

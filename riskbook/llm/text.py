@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,38 +78,40 @@ def scan(column: pa.Array) -> Words:
     return Words(raw, starts, ends, np.searchsorted(starts, places))
 
 
-@cache
-def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and its inverse, modulo 2 ** 64."""
-    up, down = np.full(length, BASE, np.uint64), np.full(length, pow(BASE, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread every input bit over 64 bits."""
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(29))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+#: A 64-bit code for each byte, and the powers of BASE, kept while a task runs.
+BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-@cache
-def _byte_codes() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** i and its inverse, modulo 2 ** 64, for i up to `length` at least."""
+    if not POWERS or len(POWERS[0][0]) <= length:
+        size = 1 << max(10, length.bit_length())
+        up, down = np.full(size, BASE, np.uint64), np.full(size, pow(BASE, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        POWERS[:] = [(np.multiply.accumulate(up), np.multiply.accumulate(down))]
+    return POWERS[0]
 
 
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of bytes, the same wherever the span stands."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = _powers(1 << max(10, int(len(raw)).bit_length()))
+    up, down = powers(len(raw))
     total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_byte_codes()[raw] * up[: len(raw)], out=total[1:])
+    np.cumsum(BYTE_CODES[raw] * up[: len(raw)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts])
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spread every input bit over 64 bits."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(29))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
 def windows(codes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `size` items, and each text's first place among them.
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import jaccard_join, langid
+from riskbook.llm import decontaminate, jaccard_join, langid, mixing
+from riskbook.llm.sql import MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,13 +28,23 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), models)
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key").distinct()
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similarity_join(table(spark, folder, "documents"))
 
 
+def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(mixing.takes(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_source_mix": op10_source_mix,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_source_mix": MIXING}

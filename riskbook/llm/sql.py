@@ -1,0 +1,43 @@
+"""DuckDB SQL for the dealt operators that SQL can express."""
+
+MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest, coalesce(text, '') AS body,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CAST(kind + 1 AS DOUBLE) AS weight, 3 * source_size AS cap FROM totals
+), -- the level: the least x with sum(min(cap, x * weight)) = all words, tried at every source's own stop
+tried AS (
+  SELECT a.cap / a.weight AS stop,
+         ((SELECT sum(source_size) FROM weighed) - coalesce(sum(b.cap) FILTER (WHERE b.cap / b.weight < a.cap / a.weight), 0))
+         / sum(b.weight) FILTER (WHERE b.cap / b.weight >= a.cap / a.weight) AS level
+  FROM weighed a, weighed b GROUP BY a.source, a.cap, a.weight
+), goals AS (
+  SELECT source, source_size, kind,
+         least(CAST(cap AS DOUBLE), (SELECT arg_min(level, stop) FROM tried WHERE level <= stop) * weight) AS target
+  FROM weighed
+), placed AS (
+  SELECT s.doc_id, s.size, g.source_size, g.target, g.kind,
+         CAST(CASE WHEN g.source_size > 0 THEN floor(g.target / g.source_size) ELSE 0 END AS BIGINT) AS passes,
+         CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.digest, s.size, md5(s.body)
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+), cut AS (
+  SELECT *, greatest(0, least(size, CAST(round(target - passes * source_size) AS BIGINT) - ahead)) AS part FROM placed
+), shared AS (
+  SELECT *, passes * size + part AS taken,
+         least(1.0, (ahead + (CASE WHEN passes > 0 THEN size ELSE part END) / 2.0) / target) AS share
+  FROM cut
+)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken > 0 THEN round(CASE kind
+         WHEN 0 THEN (sqrt(0.25 + 2 * share) - 0.5)            -- demand t/2 + t^2/2
+         WHEN 1 THEN share
+         ELSE 1.5 - sqrt(2.25 - 2 * share) END, 6) END AS first_position  -- demand 3t/2 - t^2/2
+FROM shared
+"""

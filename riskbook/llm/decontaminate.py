@@ -10,7 +10,7 @@ question asked again with other numbers or names is caught, and a chance templat
 A document leaks an item if matches on a diagonal with consistent slots number `run` or more (or all the
 item has), or if consistent matches cover `share` of the item's windows.
 
-Before the join, windows are held against a bitmap of the benchmark's window hashes: 2 MB whatever
+Before the join, windows are held against a bitmap of the benchmark's window hashes: 8 MB whatever
 the size of the benchmark, so it only saves work.  The join decides.
 
 Defined cases: null, empty and wordless texts have no window and never leak; a text of fewer than
@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskbook.llm.bitmap import BITS, bitmap, holds
 from riskbook.llm.storage import store
 from riskbook.llm.text import hash_spans, lower, scan, slices, windows
 
 SIZE = 8
-BITMAP_BITS = 24
 WORD, NUMBER, QUANTITY, UNIT, NAME = range(5)
 #: Units that become placeholders after a number.
 UNITS = (
@@ -115,7 +115,7 @@ class Tokens:
         ]
 
 
-def _template_rows(keys: list[str], size: int, least_words: int, bitmap: np.ndarray | None):
+def _template_rows(keys: list[str], size: int, least_words: int, wanted: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
@@ -127,9 +127,8 @@ def _template_rows(keys: list[str], size: int, least_words: int, bitmap: np.ndar
                 end = np.minimum(begin + size, tokens.offsets[owner + 1])
                 plain = np.concatenate([[0], np.cumsum(tokens.kinds == WORD)])
                 use = plain[end] - plain[begin] >= np.minimum(least_words, end - begin)
-                if bitmap is not None:
-                    bit = codes >> np.uint64(64 - BITMAP_BITS)
-                    use &= (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                if wanted is not None:
+                    use &= holds(wanted, (codes >> np.uint64(64 - BITS)).view(np.int64))
                 at = np.flatnonzero(use)
                 rows = pa.array(owner[at])
                 yield pa.RecordBatch.from_arrays(
@@ -145,29 +144,14 @@ def _template_rows(keys: list[str], size: int, least_words: int, bitmap: np.ndar
     return run
 
 
-def templates(rows: DataFrame, keys: list[str], size: int, least_words: int, bitmap: np.ndarray | None = None) -> DataFrame:
+def templates(rows: DataFrame, keys: list[str], size: int, least_words: int, wanted: np.ndarray | None = None) -> DataFrame:
     """Template windows of each text: `keys`, code, place, and the values in the window's slots."""
     types = ", ".join(f"{k} {t}" for k, t in rows.select(*keys).dtypes)
     return rows.select(*keys, "text").mapInArrow(
-        _template_rows(keys, size, least_words, bitmap), f"{types}, code long, place long, slots array<string>"
+        _template_rows(keys, size, least_words, wanted), f"{types}, code long, place long, slots array<string>"
     )
 
 
-def _bitmap(questions: DataFrame) -> np.ndarray:
-    """One bit for each 24-bit beginning of a window hash."""
-    bit = F.shiftrightunsigned("code", 64 - BITMAP_BITS)
-    found = (
-        questions.select(F.shiftright(bit, 6).alias("at"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        .groupBy("at")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-        .collect()  # at most 2 ** 18 rows
-    )
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for row in found:
-        out[row["at"]] = row["bits"]
-    return out.view(np.uint64)
-
-
 def leaks(
     docs: DataFrame, benchmark: DataFrame, size: int = SIZE, least_words: int = 4, run: int = 6, share: float = 0.5
 ) -> DataFrame:
@@ -179,7 +163,8 @@ def leaks(
     questions = store(templates(benchmark.select("item_id", "text"), ["item_id"], size, least_words), "questions")
     totals = questions.groupBy("item_id").agg(F.countDistinct("place").alias("item_windows"))
     keyed = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text")
-    found = templates(keyed, ["doc_id", "key"], size, least_words, _bitmap(questions))
+    wanted = bitmap(questions, F.shiftrightunsigned("code", 64 - BITS))
+    found = templates(keyed, ["doc_id", "key"], size, least_words, wanted)
     asked = questions.select("item_id", "code", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
     pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda x: F.struct(x["item_slots"].alias("item"), x["slots"].alias("doc")))
     diagonals = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import decontaminate, jaccard_join, langid, mixing
+from riskbook.llm import decontaminate, jaccard_join, langid, mixing, token_files
 from riskbook.llm.sql import MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key").distinct()
 
 
+def word_tokenizer() -> str:
+    """Path of the public word-level tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"), word_tokenizer())
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similarity_join(table(spark, folder, "documents"))
 
@@ -43,6 +54,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op5_token_files": op5_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mix": op10_source_mix,
 }

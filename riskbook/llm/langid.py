@@ -240,12 +240,14 @@ def _is_family(name: str) -> bool:
     return name in FAMILIES or name.startswith("only ")
 
 
-def predict(docs: DataFrame, models: list[Model], lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """All columns of `docs` but text, with each text's language and score.
+def predict(
+    docs: DataFrame, models: list[Model], lang: str = "lang_pred", score: str = "score", keep_text: bool = False
+) -> DataFrame:
+    """The columns of `docs` (text only on demand) with each text's language and score.
 
-    Only the columns given are carried to Python and back; select what is needed first.
+    All columns travel to Python and back; select what is needed first.
     """
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if keep_text or c != "text"]
     schema = docs.select(*rest).schema.add(lang, "string").add(score, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,3 +265,15 @@ def predict(docs: DataFrame, models: list[Model], lang: str = "lang_pred", score
 def rejected(lang: Column, score: Column, least: float = 0.26) -> Column:
     """Texts whose language can't be told: no letters, or nearly tied decisions in both steps."""
     return (lang == UNKNOWN) | (score < least)
+
+
+def identified(docs: DataFrame, per_language: int = 400) -> DataFrame:
+    """The documents whose language can be told, by models of their own labelled rows.
+
+    Where no row has a label, only texts without a letter go.
+    """
+    models = fit(docs, F.col("doc_id"), per_language)
+    if not models:
+        return docs.where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]"))
+    told = predict(docs, models, "__lang", "__score", keep_text=True)
+    return told.where(~rejected(F.col("__lang"), F.col("__score"))).select(*docs.columns)

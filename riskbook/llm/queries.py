@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import decontaminate, jaccard_join, langid, mixing, token_files
+from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, token_files
 from riskbook.llm.sql import MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key").distinct()
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.edited_likeness(table(spark, folder, "documents"))
+
+
 def word_tokenizer() -> str:
     """Path of the public word-level tokenizer file."""
     import public_tokenizers
@@ -54,6 +58,7 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_fingerprints": op3_fingerprints,
     "op5_token_files": op5_token_files,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mix": op10_source_mix,

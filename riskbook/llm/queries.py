@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, token_files, warc
+from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, pii, token_files, warc
 from riskbook.llm.sql import MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(table(spark, folder, "documents"), word_tokenizer())
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(table(spark, folder, "documents"))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op5_token_files": op5_token_files,
+    "op6_pii": op6_pii,
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mix": op10_source_mix,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, pii, token_files, warc
+from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, pii, token_files, toxicity, warc
 from riskbook.llm.sql import MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edited_likeness(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out(4, 2))
+    labels = table(spark, folder, "labels").where(~held_out(4, 2))
+    model = toxicity.fit(docs.where("NOT held_out"), labels, F.col("doc_id"))
+    return toxicity.score(docs.select("doc_id", "held_out", "text"), model)
+
+
 def word_tokenizer() -> str:
     """Path of the public word-level tokenizer file."""
     import public_tokenizers
@@ -67,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
+    "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_pii": op6_pii,
     "op8_warc": op8_warc,

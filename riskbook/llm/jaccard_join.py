@@ -22,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskbook.llm.bitmap import BITS, bitmap, holds
 from riskbook.llm.components import connected
 from riskbook.llm.storage import store
-from riskbook.llm.text import hash_spans, lower, mix, scan, shingles, slices, windows
+from riskbook.llm.text import mix, shingles, slices
 
 TREES = 24
 LONGEST = 12
@@ -91,6 +92,23 @@ def with_key(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.unhex(F.md5(text)).alias("key"), text.alias("text"))
 
 
+def _beginning(key: str) -> Column:
+    """The first bits of a digest."""
+    return F.shiftright(F.conv(F.hex(F.substring(key, 1, 4)), 16, 10).cast("long"), 32 - BITS)
+
+
+def _wanted(bits: np.ndarray):
+    """Rows whose key may be wanted, before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begins = b"".join([k[:4] for k in batch.column("k").to_pylist()])
+            slots = np.frombuffer(begins, ">u4").astype(np.int64) >> (32 - BITS)
+            yield batch.filter(pa.array(holds(bits, slots)))
+
+    return run
+
+
 # -- exact comparison of a block -------------------------------------------------
 
 
@@ -234,7 +252,8 @@ def similarity_classes(
         ),
         "dealt",
     )
-    texts = keyed.withColumnRenamed("key", "k").withColumnRenamed("doc_id", "d")
+    texts = keyed.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "text")
+    texts = texts.mapInArrow(_wanted(bitmap(dealt, _beginning("key"))), texts.schema)
     blocks = (
         dealt.join(texts, (F.col("k") == F.col("key")) & F.col("d").eqNullSafe(F.col("doc_id")))
         .select("root", "side", "key", "text", "copies", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other"))

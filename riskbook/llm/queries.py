@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, pii, token_files, toxicity, warc
+from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, line_dedup, mixing, pii, token_files, toxicity, warc
 from riskbook.llm.sql import MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(table(spark, folder, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.col("lines").alias("n_lines"), F.col("lines_removed").alias("n_removed"))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
     "op6_pii": op6_pii,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mix": op10_source_mix,

@@ -34,8 +34,13 @@ def without_code(facts: DataFrame, code: str = EXCLUDED_CODE) -> DataFrame:
     return facts.where(F.col("PROV_CD") != code)
 
 
-def latest(facts: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot."""
+def latest(facts: DataFrame, day: date | None = None) -> DataFrame:
+    """Rows of the newest snapshot: of ``day`` where the run knows it, else of the newest date found.
+
+    Finding it evaluates ``facts`` twice, so runs pass the last date they evaluate.
+    """
+    if day is not None:
+        return facts.where(F.col("DATA_DT") == F.lit(day))
     return facts.where(F.col("DATA_DT") == facts.agg(F.max("DATA_DT")).scalar())
 
 

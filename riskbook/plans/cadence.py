@@ -22,6 +22,8 @@ class Cadence:
     as_text: bool = True
     # Rows in presentation order: wanted when a table is written out.
     ordered: bool = False
+    # The last date a run evaluates, where the run says so.
+    newest: date | None = None
 
     def by_date(self, table: DataFrame) -> DataFrame:
         return arrange(table, "DATA_DT") if self.ordered else table

@@ -19,7 +19,7 @@ def _lending_by_place(
         Part("out_cnt", "CNT", OUTSTANDING),
         Part("bal", "BAL"),
     ]
-    sums = fused_sums(latest(facts), key, parts, fill=True)
+    sums = fused_sums(latest(facts, cadence.newest), key, parts, fill=True)
     rows = lookup(with_grand_total(sums, key, names(parts)), dims, key, key)
     return cadence.by_code(rows).select(*labels, *names(parts))
 

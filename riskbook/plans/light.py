@@ -39,6 +39,6 @@ def light_by_date(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFr
 
 
 def light_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    sums = _light_sums(latest(facts.where(OUTSTANDING)), "PROV_CD")
+    sums = _light_sums(latest(facts.where(OUTSTANDING), cadence.newest), "PROV_CD")
     rows = lookup(sums, dims, "PROV_CD", "PROV_CD")
     return cadence.by_code(rows).selectExpr("code", "name", *_light_columns())

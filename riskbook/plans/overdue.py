@@ -54,7 +54,7 @@ def overdue_by_province(facts: DataFrame, dims: DataFrame, cadence: Cadence) ->
         Part("bn_amt", "OD_AMT", BN),
         Part("od_bal", "BAL", OVERDUE),
     ]
-    sums = fused_sums(latest(facts), "PROV_CD", parts, fill=True)
+    sums = fused_sums(latest(facts, cadence.newest), "PROV_CD", parts, fill=True)
     rows = lookup(with_grand_total(sums, "PROV_CD", names(parts)), dims, "PROV_CD", "PROV_CD")
     return cadence.by_code(rows).selectExpr(
         "code",
@@ -83,7 +83,7 @@ def overdue_by_city(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Data
         Part("od_cnt", "CNT", OVERDUE),
         Part("od_amt", "OD_AMT", OVERDUE),
     ]
-    sums = fused_sums(latest(facts), key, parts, fill=True)
+    sums = fused_sums(latest(facts, cadence.newest), key, parts, fill=True)
     rows = lookup(with_grand_total(sums, key, names(parts)), dims, key, key)
     return cadence.by_code(rows).selectExpr(
         "code", "name", *names(parts), f"{rate('od_amt', 'bal')} AS od_rate"
@@ -100,7 +100,7 @@ def overdue_by_scope(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> Dat
         Part("od_cnt", "CNT", OVERDUE),
         Part("od_amt", "OD_AMT", OVERDUE),
     ]
-    rows = with_grand_total(fused_sums(latest(facts), key, parts), key, names(parts))
+    rows = with_grand_total(fused_sums(latest(facts, cadence.newest), key, parts), key, names(parts))
     return cadence.by_code(rows, key).selectExpr(
         f"{key} AS loan_pr_scope", *names(parts), f"{rate('od_amt', 'bal')} AS od_rate"
     )

@@ -76,7 +76,7 @@ def reloan_overdue_by_province(facts: DataFrame, dims: DataFrame, cadence: Caden
         Part("all_bn_amt", "OD_AMT", BANK_NON_PERFORMING),
     ]
     parts = [*FIRST, *REPEAT, *every]
-    sums = fused_sums(latest(facts), "PROV_CD", parts, fill=True)
+    sums = fused_sums(latest(facts, cadence.newest), "PROV_CD", parts, fill=True)
     rows = lookup(with_grand_total(sums, "PROV_CD", names(parts)), dims, "PROV_CD", "PROV_CD")
     return cadence.by_code(rows).selectExpr(
         "code",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskbook.operators.rows import everyone
 from riskbook.plans import bundle
 from riskbook.plans.cadence import Cadence, Options
-from riskbook.sources.calendar import Period
+from riskbook.sources.calendar import Period, months_spanned
 from riskbook.sources.snapshot import build_snapshots, to_cells
 from riskbook.sources.tables import Population, read_snapshots, write_snapshots
 
@@ -30,6 +31,11 @@ def refresh(
     write_snapshots(build_snapshots(ledger, periods, cohort_by_month, keep), path)
 
 
+def run_folder(folder: str, cadence: str, population: str) -> str:
+    """Where one kind of run writes; cells, tables and manifest lie below it by run date."""
+    return f"{folder}/cadence={cadence}/population={population}"
+
+
 def run_standard(
     spark: SparkSession,
     snapshots: str,
@@ -37,21 +43,25 @@ def run_standard(
     cadence: Cadence,
     dates: Sequence[date],
     folder: str,
+    name: str,
     population: Population = everyone,
     options: Options = Options(),
     fmt: str = "parquet",
 ) -> DataFrame:
     """All tables of a cadence over stored snapshots; returns the manifest.
 
-    The snapshots are read once, merged to cells and stored; every table then
+    ``name`` says which population this is; with the cadence and the last date it
+    is part of every path, so runs into one folder leave each other alone.  The snapshots are read once, merged to cells and stored; every table then
     reads the cells.
     """
-    run_date = max(dates)
-    cells = _store_cells(spark, snapshots, dates, f"{folder}/cells/run_date={run_date}", population)
-    tables = bundle.standard_bundle(cells, dims, cadence, len(dates), options)
-    layout, labels = bundle.standard_layout(cadence), bundle.standard_labels(cadence, len(dates))
+    run_date, ages = max(dates), months_spanned(dates)
+    target = run_folder(folder, cadence.name, name)
+    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", population)
+    cadence = replace(cadence, newest=run_date)
+    tables = bundle.standard_bundle(cells, dims, cadence, ages, options)
+    layout, labels = bundle.standard_layout(cadence), bundle.standard_labels(cadence, ages)
     return bundle.write_bundle(
-        spark, tables, layout, labels, folder, run_date, text=cadence.as_text, fmt=fmt
+        spark, tables, layout, labels, target, run_date, text=cadence.as_text, fmt=fmt
     )
 
 
@@ -65,9 +75,10 @@ def run_month_30(
 ) -> DataFrame:
     """The 30-day tables of both populations on both bases; returns the manifest."""
     run_date = max(dates)
-    cells = _store_cells(spark, snapshots, dates, f"{folder}/cells/run_date={run_date}", everyone)
-    tables, layout, labels = bundle.month_30_bundle(cells, len(dates), options)
-    return bundle.write_bundle(spark, tables, layout, labels, folder, run_date, fmt=fmt)
+    target = run_folder(folder, "month_30", "both")
+    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", everyone)
+    tables, layout, labels = bundle.month_30_bundle(cells, months_spanned(dates), options)
+    return bundle.write_bundle(spark, tables, layout, labels, target, run_date, fmt=fmt)
 
 
 def _store_cells(

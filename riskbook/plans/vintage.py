@@ -18,8 +18,9 @@ def vintage(
 ) -> DataFrame:
     """``begin_month``, ``new_amt`` and ``m0`` ... of cohorts begun within the snapshots.
 
-    ``ages`` is the number of snapshot dates, which bounds the months on book
-    of such cohorts and so fixes the columns.  A missing cell stays missing,
+    ``ages`` is the number of months the snapshots span (``months_spanned``), which
+    bounds the months on book of such cohorts and so fixes the columns, however
+    many of those months have a snapshot.  A missing cell stays missing,
     and a cohort with no cell at all is left out.
     """
     cells = pivot_parts("LOAN_M_CNT", range(ages), [measure], _age)

@@ -8,6 +8,7 @@ always ends at a given day: no function here reads the clock.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 
@@ -60,3 +61,9 @@ def _next_month(start: date) -> date:
 
 def _previous_month(start: date) -> date:
     return (start - timedelta(1)).replace(day=1)
+
+
+def months_spanned(dates: Sequence[date]) -> int:
+    """Months from the first date's to the last one's, both counted, whatever lies between."""
+    first, last = min(dates), max(dates)
+    return 12 * (last.year - first.year) + last.month - first.month + 1

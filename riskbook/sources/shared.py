@@ -2,28 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
-
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's folder, a new temporary one in local mode, else none.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names.
 
-    On a cluster without the setting there is no folder every executor sees,
-    and callers keep their tables as plans instead of writing them.
+    There is no other one that every executor is known to see, so without the setting this is an
+    error, on a cluster and in local mode alike.
     """
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    return None
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="riskbook-")
+    if not folder:
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
+    return folder.rstrip("/")

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from compare import dims, facts, rows_by
 
+from riskbook.sources.calendar import months_spanned
 from riskbook.plans import lending, light, migration, month_30, overdue, reloan, structure, vintage
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Options
 from workload import queries as workload
@@ -198,3 +199,19 @@ def test_loans_and_cells_give_equal_reports(spark, data):
                  lending.termination_maturity, reloan.reloan_new_vs_cumulative):
         both = [sorted(map(tuple, plan(f, codes, MONTH).collect()), key=repr) for f in (loans, cells)]
         assert both[0] == both[1]
+
+
+def test_vintage_keeps_every_age_when_dates_have_gaps(spark):
+    days = [date(2020, 1, 31), date(2020, 4, 30), date(2020, 10, 31)]
+    rows = [
+        {"DATA_DT": day, "BEGIN_DATE": begin, "OD_AMT": 10 + i, "NEW_AMT": 5, "LOAN_M_CNT": 12 * (day.year - begin.year) + day.month - begin.month}
+        for i, day in enumerate(days)
+        for begin in (date(2019, 12, 31), *days)
+        if begin <= day
+    ]
+    df = facts(spark, *rows)
+    ages = months_spanned(days)
+    assert ages == 10
+    amounts = vintage.vintage(df, ages)
+    total = sum(v or 0 for r in amounts.collect() for k, v in r.asDict().items() if k.startswith("m"))
+    assert total == sum(r["OD_AMT"] for r in rows if r["BEGIN_DATE"] >= days[0])

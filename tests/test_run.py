@@ -5,7 +5,7 @@ from compare import dims, facts, spark_table
 
 from riskbook.operators.rows import everyone, without_prefix
 from riskbook.plans import bundle, month_30, overdue, run
-from riskbook.plans.cadence import DAY, MONTH, Options
+from riskbook.plans.cadence import DAY, MONTH, WEEK, Options
 from riskbook.schema import LEDGER
 from riskbook.sources.calendar import days, month_ends
 from riskbook.sources.snapshot import build_snapshots, compact_ledger
@@ -41,7 +41,7 @@ def test_standard_run_over_stored_snapshots(spark, tmp_path):
     path, out = str(tmp_path / "snapshots"), str(tmp_path / "out")
     run.refresh(ledger(spark), PERIODS, path, cohort_by_month=True)
     last = days(PERIODS)[-1:]
-    manifest = run.run_standard(spark, path, dims(spark), DAY, last, out, without_prefix)
+    manifest = run.run_standard(spark, path, dims(spark), DAY, last, out, "without_prefix", without_prefix)
     rows = {r["table"]: r for r in manifest.collect() if r["table"]}
     assert set(rows) == set(bundle.standard_reports(DAY, 1))
     stored = spark.read.parquet(rows["overdue_by_date"]["path"]).first()
@@ -51,6 +51,33 @@ def test_standard_run_over_stored_snapshots(spark, tmp_path):
     assert (stored["data_dt"], stored["cnt"]) == ("2020-04-30", str(expected["cnt"])) == ("2020-04-30", "30")
 
 
+def test_runs_into_one_folder_leave_each_other_alone(spark, tmp_path, monkeypatch):
+    reports = bundle.standard_reports
+    monkeypatch.setattr(
+        bundle, "standard_reports", lambda *a: {k: v for k, v in reports(*a).items() if k in ("overdue_by_date", "overdue_by_scope")}
+    )
+    path, out = str(tmp_path / "snapshots"), str(tmp_path / "out")
+    run.refresh(ledger(spark), PERIODS, path, cohort_by_month=True)
+    last = days(PERIODS)[-1:]
+    populations = {"all": everyone, "without_prefix": without_prefix}
+    manifests = {
+        (cadence.name, name): run.run_standard(spark, path, dims(spark), cadence, dates, out, name, population)
+        for name, population in populations.items()
+        for cadence, dates in ((DAY, last), (WEEK, days(PERIODS)))
+    }
+    found = {}
+    for (cadence, name), manifest in manifests.items():
+        row = next(r for r in manifest.collect() if r["table"] == "overdue_by_date")
+        assert f"cadence={cadence}/population={name}/" in row["path"] and row["path"].endswith("run_date=2020-04-30")
+        stored = spark.read.parquet(row["path"])
+        found[cadence, name] = (stored.count(), stored.agg({"data_dt": "max"}).first()[0], row["path"])
+        newest = stored.where("data_dt = '2020-04-30'").first()
+        assert newest["cnt"] == {"all": "40", "without_prefix": "30"}[name]
+    assert [found[c, "all"][0] for c in ("day", "week")] == [1, len(PERIODS)]
+    assert len({f[2] for f in found.values()}) == 4
+    assert len(list((tmp_path / "out").glob("cadence=*/population=*/manifest/run_date=2020-04-30"))) == 4
+
+
 def test_month_30_run_over_stored_snapshots(spark, tmp_path, monkeypatch):
     def two_sheets(*args):
         tables, layout, labels = bundle.month_30_bundle(*args)

@@ -99,12 +99,23 @@ def test_cells_are_fewer_than_loans(spark, data):
     assert to_cells(snapshots(spark, data, "month")).count() == cells(spark, data, "month").count()
 
 
-def test_shared_folder_is_the_clusters_when_it_names_one():
-    def session(master, **conf):
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-    named = session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/run/"})
-    assert shared_folder(named) == "hdfs://shared/run"
-    # A cluster without the setting has no folder all executors see.
-    assert shared_folder(session("yarn")) is None
-    assert shared_folder(session("local[8]"))
+def test_shared_folder_is_the_one_the_cluster_names():
+    def session(**conf):
+        return SimpleNamespace(conf=conf)
+
+    assert shared_folder(session(**{"spark.checkpoint.dir": "hdfs://shared/run/"})) == "hdfs://shared/run"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session())
+
+
+def test_latest_of_a_known_date_reads_the_tables_once(spark, data, large_sides):
+    plan = "\n".join(physical(QUERIES["latest_snapshot"](spark, data)))
+    assert plan.count("lineitem.parquet") == 1
+    # The ledger itself reads orders for day counts and for the orders: no more than that.
+    ledger = "\n".join(physical(snapshots(spark, data, "month")))
+    assert plan.count("orders.parquet") == ledger.count("orders.parquet")
+
+
+def test_newest_province_report_has_no_scan_for_the_maximum(spark, data):
+    plan = "\n".join(physical(QUERIES["light_by_province"](spark, data)))
+    assert "max(" not in plan and "Subquery" not in plan

@@ -425,7 +425,7 @@ class Reports:
             f"{self.rate('cnt_3', f'({whole})')} AS collection_share, "
             f"{self.rate('cnt_4', f'({whole})')} AS serious_share FROM f",
             f"m AS ({self._stock()})",
-            f"f AS (SELECT DATA_DT, {self.fill(*counts)} FROM m)",
+            f"f AS (SELECT DATA_DT, {', '.join(counts) if self.cadence == 'day' else self.fill(*counts)} FROM m)",
         )
 
     def structure_amount_share(self) -> str:
@@ -561,7 +561,8 @@ class Reports:
     # -- vintage -----------------------------------------------------------
 
     def _vintage(self, measure: str, which: str, as_rate: bool) -> str:
-        ages = range(len(periods(self.cadence)))
+        days = [p.day for p in periods(self.cadence)]
+        ages = range((days[-1].year * 12 + days[-1].month) - (days[0].year * 12 + days[0].month) + 1)
         k = "BEGIN_DATE"
         begun = "BEGIN_DATE >= (SELECT min(DATA_DT) FROM facts)"
         cells = self.outer(

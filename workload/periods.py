@@ -13,8 +13,9 @@ from riskbook.sources.calendar import Period, biweekly, daily, month_ends, weekl
 
 DETAIL_FROM = date(2001, 5, 1)
 
-# A month run over every month-end since the first order.
+# A month run over every month-end since the first order, and over every third of them.
 HISTORY = "history"
+GAPS = "gaps"
 
 
 def periods(cadence: str) -> list[Period]:
@@ -22,6 +23,8 @@ def periods(cadence: str) -> list[Period]:
         return month_ends(date(2001, 3, 1), date(2001, 9, 1))
     if cadence == HISTORY:
         return month_ends(date(1995, 2, 1), date(2001, 9, 1))
+    if cadence == GAPS:
+        return periods(HISTORY)[1::3]
     if cadence == WEEK.name:
         return weekly(date(2001, 6, 14), date(2001, 8, 2))
     if cadence == BIWEEK.name:
@@ -33,7 +36,7 @@ def periods(cadence: str) -> list[Period]:
 
 
 def by_month(cadence: str) -> bool:
-    return cadence in (MONTH.name, HISTORY)
+    return cadence in (MONTH.name, HISTORY, GAPS)
 
 
 def reported(cadence: str) -> list[date]:

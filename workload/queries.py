@@ -7,21 +7,22 @@ from dataclasses import replace
 from functools import cache, partial
 from hashlib import sha256
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import unite
 from riskbook.operators import rows, sums
 from riskbook.plans import bundle, month_30, overdue, structure
+from riskbook.plans.run import run_folder
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Cadence, Options
-from riskbook.schema import ATTRIBUTES, FACTS, MEASURES
-from riskbook.sources.shared import shared_folder
+from riskbook.schema import ATTRIBUTES, MEASURES
+from riskbook.sources.calendar import months_spanned
 from riskbook.sources.snapshot import build_snapshots, to_cells
 from riskbook.sources.tables import read_snapshots, write_snapshots
 from workload import book
+from workload.folder import ensure_folder
 from workload.oracle import LATEST, Reports
-from workload.periods import DETAIL_FROM, HISTORY, by_month, periods, reported
+from workload.periods import DETAIL_FROM, GAPS, HISTORY, by_month, periods, reported
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,32 +50,21 @@ def cells(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
     return _cells(spark, spark.sparkContext.applicationId, folder, cadence)
 
 
-def cells_path(spark: SparkSession, folder: str, cadence: str) -> str | None:
-    shared = shared_folder(spark)
-    if shared is None:
-        return None
-    return f"{_run_folder(shared, spark.sparkContext.applicationId, folder)}/cells/{cadence}"
+def cells_path(spark: SparkSession, folder: str, cadence: str) -> str:
+    return f"{_run_folder(spark, folder)}/cells/{cadence}"
 
 
 @cache
 def _cells(spark: SparkSession, application: str, folder: str, cadence: str) -> DataFrame:
     table = to_cells(snapshots(spark, folder, cadence))
     path = cells_path(spark, folder, cadence)
-    if path is None:
-        return table.persist(StorageLevel.MEMORY_AND_DISK)
     write_snapshots(table, path, whole=True)
-    return read_snapshots(spark, path, schema=FACTS)
+    return read_snapshots(spark, path, schema=table.schema)
 
 
-def _run_folder(shared: str, application: str, folder: str) -> str:
-    return f"{shared}/riskbook/{application}/{sha256(folder.encode()).hexdigest()[:16]}"
-
-
-def _output_folder(spark: SparkSession, folder: str) -> str:
-    shared = shared_folder(spark)
-    if shared is None:
-        raise RuntimeError("writing a bundle needs spark.checkpoint.dir on a cluster")
-    return f"{_run_folder(shared, spark.sparkContext.applicationId, folder)}/bundles"
+def _run_folder(spark: SparkSession, folder: str) -> str:
+    application, tables = spark.sparkContext.applicationId, sha256(folder.encode()).hexdigest()[:16]
+    return f"{ensure_folder(spark)}/riskbook/{application}/{tables}"
 
 
 def dimension(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,9 +76,13 @@ def _dimension(spark: SparkSession, application: str, folder: str) -> DataFrame:
     return book.dimension(spark, folder)
 
 
+def _ages(cadence: str) -> int:
+    return months_spanned([p.day for p in periods(cadence)])
+
+
 def report(plan, cadence: Cadence, population: str, spark: SparkSession, folder: str) -> DataFrame:
     facts = POPULATIONS[population](cells(spark, folder, cadence.name))
-    return plan(facts, dimension(spark, folder), cadence)
+    return plan(facts, dimension(spark, folder), replace(cadence, newest=reported(cadence.name)[-1]))
 
 
 # -- reports -----------------------------------------------------------------
@@ -99,7 +93,7 @@ structure_detail_as_written = partial(
 
 
 def report_plans(cadence: Cadence) -> dict[str, Callable]:
-    plans = bundle.standard_reports(cadence, len(periods(cadence.name)), OPTIONS)
+    plans = bundle.standard_reports(cadence, _ages(cadence.name), OPTIONS)
     if cadence.compares_periods:
         plans["structure_detail_as_written"] = structure_detail_as_written
     return plans
@@ -116,6 +110,8 @@ ALONG_TIME = (
     "vintage_rate",
 )
 
+CHOSEN = {HISTORY: ALONG_TIME, GAPS: ("vintage_amount", "vintage_rate")}
+
 
 def _report_queries() -> tuple[dict[str, Query], dict[str, str]]:
     queries, oracle = {}, {}
@@ -128,11 +124,12 @@ def _report_queries() -> tuple[dict[str, Query], dict[str, str]]:
         (DAY, "all", "_day"),
         (DAY, "excl", "_day_excl"),
         (replace(MONTH, name=HISTORY), "all", "_history"),
+        (replace(MONTH, name=GAPS), "all", "_gaps"),
     ]
     for cadence, population, suffix in runs:
         sql = Reports(cadence.name, population)
         for name, plan in report_plans(cadence).items():
-            if cadence.name == HISTORY and name not in ALONG_TIME:
+            if name not in CHOSEN.get(cadence.name, (name,)):
                 continue
             queries[name + suffix] = partial(report, plan, cadence, population)
             oracle[name + suffix] = getattr(sql, name)()
@@ -141,7 +138,7 @@ def _report_queries() -> tuple[dict[str, Query], dict[str, str]]:
 
 def _month_30_queries() -> tuple[dict[str, Query], dict[str, str]]:
     queries, oracle = {}, {}
-    ages = len(periods(MONTH.name))
+    ages = _ages(MONTH.name)
 
     def index(basis, population, options, spark, folder):
         return month_30.overdue_index(
@@ -164,6 +161,12 @@ def _month_30_queries() -> tuple[dict[str, Query], dict[str, str]]:
                     name = f"m30_{table}_{basis.name}{suffix}"
                     queries[name] = partial(capital, basis, population, table)
                     oracle[name] = sql.month_30_vintage(basis.overdue, repeats, kind == "rate")
+    def gaps(spark, folder):
+        facts = cells(spark, folder, GAPS)
+        return month_30.capital_tables(facts, month_30.INTEREST, _ages(GAPS))["vintage_amount"]
+
+    queries["m30_vintage_amount_interest_gaps"] = gaps
+    oracle["m30_vintage_amount_interest_gaps"] = Reports(GAPS).month_30_vintage("OD_AMT_30", False, False)
     name = "m30_overdue_interest_first_bn"
     queries[name] = partial(index, month_30.INTEREST, "all", Options(first_bn_of_first_loans=True))
     oracle[name] = Reports(MONTH.name).month_30_index("OD_AMT_30", "LOAN_PR_FEE", "RELOAN = 1")
@@ -208,13 +211,9 @@ def _population_sql(population: str) -> str:
 
 def _stored_dates(days: list, spark: SparkSession, folder: str) -> DataFrame:
     """Chosen dates of the stored table, the date list reaching the scan."""
-    facts = _month(spark, folder)
-    path = cells_path(spark, folder, MONTH.name)
-    if path is None:
-        chosen = facts.where(F.col("DATA_DT").isin(*days))
-    else:
-        chosen = read_snapshots(spark, path, days, rows.without_prefix, FACTS)
-    return _dates_as_text(sums.sum_by(rows.without_prefix(chosen), ["DATA_DT", "LIGHT"], ["CNT", "OD_AMT"]))
+    stored = _month(spark, folder).schema
+    chosen = read_snapshots(spark, cells_path(spark, folder, MONTH.name), days, rows.without_prefix, stored)
+    return _dates_as_text(sums.sum_by(chosen, ["DATA_DT", "LIGHT"], ["CNT", "OD_AMT"]))
 
 
 def _stored_dates_sql(days: list) -> str:
@@ -237,7 +236,7 @@ def _dimension_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    newest = rows.latest(snapshots(spark, folder, MONTH.name))
+    newest = rows.latest(snapshots(spark, folder, MONTH.name), reported(MONTH.name)[-1])
     return _dates_as_text(newest.select("LOAN_ID", "DATA_DT", "PROV_CD", "BAL", "OD_AMT"))
 
 
@@ -277,7 +276,7 @@ def _full_outer_fold(spark: SparkSession, folder: str) -> DataFrame:
     """City sums of three cadences, side by side."""
     frames = [
         sums.fused_sums(
-            rows.latest(cells(spark, folder, c)),
+            rows.latest(cells(spark, folder, c), reported(c)[-1]),
             "SHENGSHI_CD",
             [
                 sums.Part(f"{c}_new_cnt", "CNT", "NEW_LOAN = 1"),
@@ -344,7 +343,7 @@ def _natural_right_join(spark: SparkSession, folder: str) -> DataFrame:
     """New lending per cohort beside the cohort's newest balance, cohorts in range only."""
     facts = _month(spark, folder)
     new = sums.sum_by(facts, ["BEGIN_DATE"], ["NEW_AMT"])
-    begun = rows.begun_in_range(rows.latest(facts), facts)
+    begun = rows.begun_in_range(rows.latest(facts, reported(MONTH.name)[-1]), facts)
     balances = sums.sum_by(begun, ["BEGIN_DATE"], ["BAL"])
     return _dates_as_text(rows.natural_outer([new, balances], "right"))
 
@@ -358,6 +357,30 @@ def _natural_right_sql() -> str:
     )
 
 
+def _natural_full_outer(spark: SparkSession, folder: str) -> DataFrame:
+    """Loans lent and loans overdue by date and size class, three sums side by side, joined on what they share."""
+    facts = _month(spark, folder)
+    key = ["DATA_DT", "LOAN_PR_SCOPE"]
+    frames = [
+        sums.sum_by(facts.where(which).withColumnRenamed("CNT", name), key, [name])
+        for which, name in (("NEW_LOAN = 1", "new_cnt"), ("OVERDUE_STATUS_5 = 3", "late_cnt"), ("LIGHT = 1", "light_cnt"))
+    ]
+    return _dates_as_text(rows.natural_outer(frames))
+
+
+def _natural_full_sql() -> str:
+    heads = [
+        f"(SELECT DATA_DT, LOAN_PR_SCOPE, CAST(sum(CNT) AS BIGINT) AS {name} FROM facts WHERE {which} GROUP BY 1, 2) {name[0]}"
+        for which, name in (("NEW_LOAN = 1", "new_cnt"), ("OVERDUE_STATUS_5 = 3", "late_cnt"), ("LIGHT = 1", "light_cnt"))
+    ]
+    heads[2] = heads[2].removesuffix(" l") + " k"
+    using = " USING (DATA_DT, LOAN_PR_SCOPE)"
+    return Reports(MONTH.name).sql(
+        "SELECT CAST(DATA_DT AS VARCHAR) AS DATA_DT, LOAN_PR_SCOPE, new_cnt, late_cnt, light_cnt FROM "
+        f"{heads[0]} FULL OUTER JOIN {heads[1]}{using} FULL OUTER JOIN {heads[2]}{using}"
+    )
+
+
 def _text_output(spark: SparkSession, folder: str) -> DataFrame:
     """The weekly overdue report with every cell as text and rates as percents."""
     table = overdue.overdue_by_date(cells(spark, folder, WEEK.name), None, WEEK)
@@ -396,6 +419,7 @@ def _operator_queries() -> tuple[dict[str, Query], dict[str, str]]:
         "grand_total": _grand_total,
         "full_outer_fold": _full_outer_fold,
         "natural_right_join": _natural_right_join,
+        "natural_full_outer": _natural_full_outer,
         "union_rows": _union_rows,
         "set_difference_rows": _set_difference_rows,
         "arrange_rows": _arrange_rows,
@@ -431,6 +455,7 @@ def _operator_queries() -> tuple[dict[str, Query], dict[str, str]]:
         ),
         "full_outer_fold": _fold_sql(),
         "natural_right_join": _natural_right_sql(),
+        "natural_full_outer": _natural_full_sql(),
         "union_rows": (
             "SELECT DATA_DT, CAST(sum(CNT) AS BIGINT) AS CNT, CAST(sum(BAL) AS BIGINT) AS BAL FROM ("
             + " UNION ALL ".join(
@@ -452,16 +477,15 @@ MANIFEST_COLUMNS = ("seq", "sheet", "table", "text", "start_row", "start_column"
 
 def _bundle(cadence: Cadence, spark: SparkSession, folder: str) -> DataFrame:
     """Writes all tables of a cadence to the shared folder; shows the manifest."""
-    ages = len(periods(cadence.name))
-    tables = bundle.standard_bundle(
-        cells(spark, folder, cadence.name), dimension(spark, folder), cadence, ages, OPTIONS
-    )
+    ages = _ages(cadence.name)
+    dated = replace(cadence, newest=reported(cadence.name)[-1])
+    tables = bundle.standard_bundle(cells(spark, folder, cadence.name), dimension(spark, folder), dated, ages, OPTIONS)
     manifest = bundle.write_bundle(
         spark,
         tables,
         bundle.standard_layout(cadence),
         bundle.standard_labels(cadence, ages),
-        f"{_output_folder(spark, folder)}/{cadence.name}",
+        run_folder(f"{_run_folder(spark, folder)}/bundles", cadence.name, "all"),
         reported(cadence.name)[-1],
         text=cadence.as_text,
     )

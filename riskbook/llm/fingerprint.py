@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from riskbook.llm.text import SLICE_BYTES, shingles
 
 #: One in FRACTION hashes is kept.
-FRACTION = 8
+FRACTION = 4
 SIZE = 5
 
 

@@ -2,7 +2,8 @@
 
 A text becomes a row of tokens: white-space-separated words without punctuation, in lower case.
 Numbers, numbers joined to letters (``5km``), units after a number, and names (capitalised words that do
-not begin a sentence or line) become typed placeholders.  Windows of `size` tokens are hashed and
+not begin a sentence or line) become typed placeholders.  The benchmark is also read with its names as
+words, for copies in capitals or in other places of a sentence.  Windows of `size` tokens are hashed and
 joined with the benchmark's windows.  Matches of one document and item on one diagonal (the same
 shift between the two texts) must fill each benchmark value by one value of the document, so that a
 question asked again with other numbers or names is caught, and a chance template is not.
@@ -61,9 +62,12 @@ PLACEHOLDERS = hash_spans(*_spans(["<word>", "<number>", "<quantity>", "<unit>",
 
 
 class Tokens:
-    """Template tokens of a column of texts: codes, kinds, their spans of bytes, each text's first token."""
+    """Template tokens of a column of texts: codes, kinds, their spans of bytes, each text's first token.
 
-    def __init__(self, column: pa.Array):
+    Without `names`, names are ordinary words.
+    """
+
+    def __init__(self, column: pa.Array, names: bool = True):
         found = scan(column)
         raw, starts, ends = found.raw, found.starts, found.ends
         kept = KEPT[raw]
@@ -96,7 +100,8 @@ class Tokens:
         small = np.append(~upper & ~DIGIT[original], True)
         step = 1 + (original[self.starts] == 0xC3)
         capital = upper[self.starts] & (length > step) & small[np.minimum(self.starts + step, len(original))]
-        self.kinds[capital & ~begins] = NAME
+        if names:
+            self.kinds[capital & ~begins] = NAME
         self.kinds[(number > 0) & DIGIT[self.raw[self.starts]]] = QUANTITY
         self.kinds[number == length] = NUMBER
         at = np.searchsorted(UNIT_CODES, self.codes)
@@ -115,11 +120,11 @@ class Tokens:
         ]
 
 
-def _template_rows(keys: list[str], size: int, least_words: int, wanted: np.ndarray | None):
+def _template_rows(keys: list[str], size: int, least_words: int, wanted: np.ndarray | None, names: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
-                tokens = Tokens(piece.column("text"))
+                tokens = Tokens(piece.column("text"), names)
                 codes, first = windows(tokens.codes, tokens.offsets, size)
                 owner = np.repeat(np.arange(piece.num_rows), np.diff(first))
                 place = np.arange(len(codes)) - first[owner]
@@ -144,11 +149,13 @@ def _template_rows(keys: list[str], size: int, least_words: int, wanted: np.ndar
     return run
 
 
-def templates(rows: DataFrame, keys: list[str], size: int, least_words: int, wanted: np.ndarray | None = None) -> DataFrame:
+def templates(
+    rows: DataFrame, keys: list[str], size: int, least_words: int, wanted: np.ndarray | None = None, names: bool = True
+) -> DataFrame:
     """Template windows of each text: `keys`, code, place, and the values in the window's slots."""
     types = ", ".join(f"{k} {t}" for k, t in rows.select(*keys).dtypes)
     return rows.select(*keys, "text").mapInArrow(
-        _template_rows(keys, size, least_words, wanted), f"{types}, code long, place long, slots array<string>"
+        _template_rows(keys, size, least_words, wanted, names), f"{types}, code long, place long, slots array<string>"
     )
 
 
@@ -160,7 +167,9 @@ def leaks(
     key is the text's digest.  matched counts the item's windows found, longest those on one diagonal;
     changed says that some slot holds another value than the item's.
     """
-    questions = store(templates(benchmark.select("item_id", "text"), ["item_id"], size, least_words), "questions")
+    items = benchmark.select("item_id", "text")
+    forms = [templates(items, ["item_id"], size, least_words, names=names) for names in (True, False)]
+    questions = store(forms[0].union(forms[1]).distinct(), "questions")
     totals = questions.groupBy("item_id").agg(F.countDistinct("place").alias("item_windows"))
     keyed = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text")
     wanted = bitmap(questions, F.shiftrightunsigned("code", 64 - BITS))

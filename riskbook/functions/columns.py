@@ -17,8 +17,8 @@ EXCLUDED_CODE = "3502"
 SETTLED = "OVERDUE_STATUS_3 = 2"
 OUTSTANDING = "OVERDUE_STATUS_3 <> 2"
 OVERDUE = "OVERDUE_STATUS_3 = 1"
-BANK_OVERDUE = "MATURITY_DAYS > 0"
-BANK_NON_PERFORMING = "MATURITY_DAYS >= 3"
+BANK_OVERDUE = "MATURITY_CLASS > 0"
+BANK_NON_PERFORMING = "MATURITY_CLASS >= 3"
 
 
 def both(*conditions: str) -> str:

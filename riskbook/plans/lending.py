@@ -59,7 +59,7 @@ def repayment(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
 
 
 def termination_maturity(facts: DataFrame, dims: DataFrame, cadence: Cadence) -> DataFrame:
-    matured = both("MATURITY_DAYS <> -1", OUTSTANDING)
+    matured = both("MATURITY_CLASS <> -1", OUTSTANDING)
     terminated = "STATUS_THIS_MONTH = 1"
     parts = [
         Part("od_cnt", "CNT", OVERDUE),

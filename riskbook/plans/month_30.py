@@ -24,7 +24,7 @@ INTEREST = Basis("interest", "OD_AMT_30", "LOAN_PR_FEE")
 PRINCIPAL = Basis("principal", "OD_PRINCIPAL_30", "LOAN_PR")
 BASES = (INTEREST, PRINCIPAL)
 
-FIRST, REPEAT, EVERY = "RELOAN = 1", "RELOAN <> 1", "TRUE"
+FIRST, REPEAT, EVERY = "RELOAN_CLASS = 1", "RELOAN_CLASS <> 1", "TRUE"
 
 
 def overdue_index(
@@ -69,7 +69,7 @@ def capital_tables(
 ) -> dict[str, DataFrame]:
     """Cohort matrices, amounts and rates, of all loans and of repeat loans."""
     everyone = vintage(facts, ages, basis.overdue, ordered=ordered)
-    repeats = vintage(facts, ages, basis.overdue, "BRELOAN <> 1", ordered)
+    repeats = vintage(facts, ages, basis.overdue, "BRELOAN_CLASS <> 1", ordered)
     return {
         "vintage_amount": everyone,
         "vintage_rate": vintage_rates(everyone),

@@ -27,11 +27,11 @@ def _ordinal_parts(prefix: str, which: str) -> list[Part]:
     ]
 
 
-FIRST = _ordinal_parts("first", "RELOAN = 1")
-REPEAT = _ordinal_parts("repeat", "RELOAN <> 1")
+FIRST = _ordinal_parts("first", "RELOAN_CLASS = 1")
+REPEAT = _ordinal_parts("repeat", "RELOAN_CLASS <> 1")
 REPEAT_RATE = [
-    Part("second_cnt", "CNT", "RELOANTIMES = 2"),
-    Part("settled_first_cnt", "CNT", both("RELOANTIMES = 1", SETTLED)),
+    Part("second_cnt", "CNT", "RELOANTIMES_CLASS = 2"),
+    Part("settled_first_cnt", "CNT", both("RELOANTIMES_CLASS = 1", SETTLED)),
 ]
 
 
@@ -126,6 +126,6 @@ def reloan_new_vs_cumulative(facts: DataFrame, dims: DataFrame, cadence: Cadence
         parts = [Part(f"{kind}_cnt", "CNT"), Part(f"{kind}_loan_pr", "LOAN_PR")]
         return fused_sums(shown, "data_dt", parts)
 
-    begun = sums("new", "BEGIN_DATE", both("NEW_LOAN = 1", "RELOAN > 1"))
-    standing = sums("cum", "DATA_DT", "RELOANTIMES <> 1")
+    begun = sums("new", "REPEAT_BEGIN_DATE", "REPEAT_BEGIN_DATE IS NOT NULL")
+    standing = sums("cum", "DATA_DT", "RELOANTIMES_CLASS <> 1")
     return cadence.by_date(begun.join(standing, "data_dt", "full_outer"))

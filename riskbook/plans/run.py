@@ -13,7 +13,7 @@ from riskbook.plans import bundle
 from riskbook.plans.cadence import Cadence, Options
 from riskbook.sources.calendar import Period, months_spanned
 from riskbook.sources.snapshot import build_snapshots, to_cells
-from riskbook.sources.tables import Population, read_snapshots, write_snapshots
+from riskbook.sources.tables import Population, read_cells, read_snapshots, write_snapshots
 
 
 def refresh(
@@ -56,7 +56,7 @@ def run_standard(
     """
     run_date, ages = max(dates), months_spanned(dates)
     target = run_folder(folder, cadence.name, name)
-    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", population)
+    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", population, cadence.vintages)
     cadence = replace(cadence, newest=run_date)
     tables = bundle.standard_bundle(cells, dims, cadence, ages, options)
     layout, labels = bundle.standard_layout(cadence), bundle.standard_labels(cadence, ages)
@@ -76,14 +76,15 @@ def run_month_30(
     """The 30-day tables of both populations on both bases; returns the manifest."""
     run_date = max(dates)
     target = run_folder(folder, "month_30", "both")
-    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", everyone)
+    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", everyone, True)
     tables, layout, labels = bundle.month_30_bundle(cells, months_spanned(dates), options)
     return bundle.write_bundle(spark, tables, layout, labels, target, run_date, fmt=fmt)
 
 
 def _store_cells(
-    spark: SparkSession, snapshots: str, dates: Sequence[date], path: str, population: Population
+    spark: SparkSession, snapshots: str, dates: Sequence[date], path: str, population: Population, cohorts: bool
 ) -> DataFrame:
-    cells = to_cells(read_snapshots(spark, snapshots, dates, population))
+    loans = read_snapshots(spark, snapshots, dates, population)
+    cells = to_cells(loans, cohorts)
     write_snapshots(cells, path, whole=True)
-    return read_snapshots(spark, path, schema=cells.schema)
+    return read_cells(spark, path, cells.schema)

@@ -1,9 +1,10 @@
 """Column contracts of the tables the reports read.
 
-``FACTS`` is the snapshot table: one row per evaluated date and loan, or per
-evaluated date and cell of loans (``CNT`` loans with equal attributes).  Every
-report adds up ``CNT`` and the money columns, so both grains give equal
-results.  Money is whole cents in the schemas below; decimals work as well.
+``FACTS`` is the snapshot table: one row per evaluated date and loan.  ``cell_columns``
+are those of its cells: ``CNT`` loans that agree in what reports distinguish.  Reports read
+``CLASSES`` where they look at an attribute only by class, and add up ``CNT`` and the money
+columns, so loans (through ``classified``) and cells give equal results.  Money is whole cents
+in the schemas below; decimals work as well.
 """
 
 from __future__ import annotations
@@ -34,6 +35,22 @@ ATTRIBUTES = {
     "LOAN_M_CNT": T.IntegerType(),
 }
 
+# Classes of attributes, by the rule on the attributes; a missing attribute has a missing class.
+CLASSES = {
+    # Not matured, matured that day, one or two days past, three or more days past.
+    "MATURITY_CLASS": "CASE WHEN MATURITY_DAYS >= 3 THEN 3 WHEN MATURITY_DAYS > 0 THEN 1 ELSE MATURITY_DAYS END",
+    # A customer's first loan and later ones; for repeat rates also the second.
+    "RELOAN_CLASS": "CASE WHEN RELOAN > 2 THEN 2 ELSE RELOAN END",
+    "RELOANTIMES_CLASS": "CASE WHEN RELOANTIMES > 3 THEN 3 ELSE RELOANTIMES END",
+    "BRELOAN_CLASS": "CASE WHEN BRELOAN > 2 THEN 2 ELSE BRELOAN END",
+    # The begin date of what repeat lending reports show by it.
+    "REPEAT_BEGIN_DATE": "CASE WHEN NEW_LOAN = 1 AND RELOAN > 1 THEN BEGIN_DATE END",
+}
+
+# Attributes that cells have by class only, and those that only cohort matrices read.
+ONLY_BY_CLASS = ("MATURITY_DAYS", "RELOAN", "RELOANTIMES", "BRELOAN")
+OF_COHORTS = ("BEGIN_DATE", "LOAN_M_CNT")
+
 # Additive columns: what reports sum.
 MEASURES = {
     "CNT": T.LongType(),
@@ -54,6 +71,18 @@ LOAN_KEY = "LOAN_ID"
 
 FACTS = T.StructType([T.StructField(n, t) for n, t in {**ATTRIBUTES, **MEASURES}.items()])
 
+def cell_columns(cohorts: bool) -> list[str]:
+    """Attributes and classes that distinguish cells."""
+    left_out = ONLY_BY_CLASS if cohorts else (*ONLY_BY_CLASS, *OF_COHORTS)
+    return [*(a for a in ATTRIBUTES if a not in left_out), *CLASSES]
+
+
+def classified(facts: DataFrame) -> DataFrame:
+    """Loan rows with their classes, as reports read them."""
+    loans = facts.drop(*CLASSES)
+    return loans.selectExpr("*", *[f"{rule} AS {name}" for name, rule in CLASSES.items()])
+
+
 DIMENSION = T.StructType([T.StructField(n, T.StringType()) for n in ("COL", "CODE", "NAME")])
 
 LEDGER = T.StructType(

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskbook.schema import ATTRIBUTES, LOAN_KEY, MEASURES
+from riskbook.schema import ATTRIBUTES, LOAN_KEY, MEASURES, cell_columns, classified
 from riskbook.sources.calendar import Period
 
 LOAN_COLUMNS = ("CUST", "NATION", "REGION", "BD", "K")
@@ -214,18 +214,15 @@ def _slot_dates(chunk: Sequence[Period], previous: date | None, size: int) -> st
     ) + ")"
 
 
-def to_cells(snapshots: DataFrame) -> DataFrame:
-    """Loans of a snapshot with equal attributes as one row.
+def to_cells(snapshots: DataFrame, cohorts: bool = True) -> DataFrame:
+    """Loans of a snapshot that reports don't distinguish, as one row.
 
-    Reports look at maturity only as "not matured", "past", "3 days or more
-    past", and at the loan ordinal only as first, second or later, so both are
-    cut there.  The number of cells is bounded by the attributes' value ranges,
-    not by the number of loans, and all reports then read this small table.
+    Attributes that reports look at by class only are there as classes, under the classes' names;
+    begin date and months on book only with ``cohorts``, for runs that have cohort matrices.
     """
-    cut = ("MATURITY_DAYS", "RELOAN", "RELOANTIMES", "BRELOAN")
-    shown = [f"CASE WHEN {c} > 3 THEN 3 ELSE {c} END AS {c}" if c in cut else c for c in ATTRIBUTES]
+    keys = cell_columns(cohorts)
     return (
-        snapshots.selectExpr(*shown, *MEASURES)
-        .groupBy(*ATTRIBUTES)
+        classified(snapshots)
+        .groupBy(*keys)
         .agg(*[F.expr(f"sum({m}) AS {m}") for m in MEASURES])
     )

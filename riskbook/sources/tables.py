@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskbook.operators.rows import everyone
-from riskbook.schema import DIMENSION, FACTS, require_columns
+from riskbook.schema import DIMENSION, FACTS, classified, require_columns
 
 Population = Callable[[DataFrame], DataFrame]
 
@@ -20,15 +20,25 @@ def read_snapshots(
     path: str,
     dates: Sequence[date] | None = None,
     population: Population = everyone,
-    schema: StructType | None = None,
 ) -> DataFrame:
-    """Snapshots of the given dates (all dates when none are given).
+    """Loan snapshots of the given dates (all dates when none are given), with their classes.
 
     The date list reaches the scan as a partition filter, the population as a
     pushed row filter, and each report's columns as the read schema.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return _chosen(reader.parquet(path), dates, population)
+    stored = require_columns(spark.read.parquet(path), FACTS)
+    return classified(_chosen(stored, dates, population))
+
+
+def read_cells(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    dates: Sequence[date] | None = None,
+    population: Population = everyone,
+) -> DataFrame:
+    """Stored cells of the given dates, read like snapshots."""
+    return _chosen(spark.read.schema(schema).parquet(path), dates, population)
 
 
 def read_snapshots_jdbc(
@@ -47,7 +57,7 @@ def read_snapshots_jdbc(
         properties=properties,
     )
     dated = {c: F.to_date(c) for c in ("DATA_DT", "BEGIN_DATE")}
-    return _chosen(stored.withColumns(dated), None, population)
+    return classified(_chosen(require_columns(stored.withColumns(dated), FACTS), None, population))
 
 
 def write_snapshots(snapshots: DataFrame, path: str, whole: bool = False) -> None:
@@ -77,7 +87,6 @@ def family(dimension: DataFrame, name: str) -> DataFrame:
 
 
 def _chosen(facts: DataFrame, dates: Sequence[date] | None, population: Population) -> DataFrame:
-    require_columns(facts, FACTS)
     if dates is not None:
         facts = facts.where(F.col("DATA_DT").isin(*dates))
     return population(facts)

@@ -8,7 +8,7 @@ from pathlib import Path
 
 import duckdb
 
-from riskbook.schema import ATTRIBUTES, FACTS, MEASURES
+from riskbook.schema import ATTRIBUTES, FACTS, MEASURES, classified
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -68,7 +68,7 @@ def facts(spark, *rows):
     """Fact rows given as the columns that matter; the rest take plain defaults."""
     columns = [*ATTRIBUTES, *MEASURES]
     values = [tuple(r.get(c, DEFAULTS.get(c, 0)) for c in columns) for r in rows]
-    return spark.createDataFrame(values, FACTS)
+    return classified(spark.createDataFrame(values, FACTS))
 
 
 def dims(spark):

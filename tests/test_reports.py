@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from compare import dims, facts, rows_by
 
+from riskbook.schema import classified
 from riskbook.sources.calendar import months_spanned
 from riskbook.plans import lending, light, migration, month_30, overdue, reloan, structure, vintage
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Options
@@ -155,7 +156,7 @@ def test_vintage_cells_and_cohort_floor(spark):
     assert (by_cohort["2020-01"]["m0"], by_cohort["2020-01"]["m1"], by_cohort["2020-02"]["m1"]) == (0, 25, None)
     rates = rows_by(vintage.vintage_rates(amounts), "begin_month")
     assert (rates["2020-01"]["m1"], rates["2020-02"]["m0"]) == (0.25, None)
-    repeats = vintage.vintage(df, 2, which="BRELOAN <> 1")
+    repeats = vintage.vintage(df, 2, which="BRELOAN_CLASS <> 1")
     assert [r["begin_month"] for r in repeats.collect()] == ["2020-02"]
     assert vintage.age_labels(3) == ["当月", "第2个月", "第3个月"]
 
@@ -193,7 +194,7 @@ def test_reports_agree_with_each_other(spark, data, population):
 
 
 def test_loans_and_cells_give_equal_reports(spark, data):
-    loans, cells = workload.snapshots(spark, data, "month"), workload.cells(spark, data, "month")
+    loans, cells = classified(workload.snapshots(spark, data, "month")), workload.cells(spark, data, "month")
     codes = workload.dimension(spark, data)
     for plan in (overdue.overdue_by_province, reloan.reloan_overdue_by_date, reloan.reloan_rate_by_province,
                  lending.termination_maturity, reloan.reloan_new_vs_cumulative):

@@ -99,7 +99,7 @@ def test_cells_of_an_earlier_run_do_not_linger(spark, tmp_path):
     path, cells = str(tmp_path / "snapshots"), str(tmp_path / "cells")
     run.refresh(ledger(spark), PERIODS, path)
     for dates in (days(PERIODS), days(PERIODS)[2:]):
-        stored = run._store_cells(spark, path, dates, cells, everyone)
+        stored = run._store_cells(spark, path, dates, cells, everyone, True)
         assert stored.select("DATA_DT").distinct().count() == len(dates)
 
 

@@ -18,7 +18,7 @@ from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Cadence, Options
 from riskbook.schema import ATTRIBUTES, MEASURES
 from riskbook.sources.calendar import months_spanned
 from riskbook.sources.snapshot import build_snapshots, to_cells
-from riskbook.sources.tables import read_snapshots, write_snapshots
+from riskbook.sources.tables import read_cells, write_snapshots
 from workload import book
 from workload.folder import ensure_folder
 from workload.oracle import LATEST, Reports
@@ -56,10 +56,10 @@ def cells_path(spark: SparkSession, folder: str, cadence: str) -> str:
 
 @cache
 def _cells(spark: SparkSession, application: str, folder: str, cadence: str) -> DataFrame:
-    table = to_cells(snapshots(spark, folder, cadence))
+    table = to_cells(snapshots(spark, folder, cadence), cohorts=by_month(cadence))
     path = cells_path(spark, folder, cadence)
     write_snapshots(table, path, whole=True)
-    return read_snapshots(spark, path, schema=table.schema)
+    return read_cells(spark, path, table.schema)
 
 
 def _run_folder(spark: SparkSession, folder: str) -> str:
@@ -212,7 +212,7 @@ def _population_sql(population: str) -> str:
 def _stored_dates(days: list, spark: SparkSession, folder: str) -> DataFrame:
     """Chosen dates of the stored table, the date list reaching the scan."""
     stored = _month(spark, folder).schema
-    chosen = read_snapshots(spark, cells_path(spark, folder, MONTH.name), days, rows.without_prefix, stored)
+    chosen = read_cells(spark, cells_path(spark, folder, MONTH.name), stored, days, rows.without_prefix)
     return _dates_as_text(sums.sum_by(chosen, ["DATA_DT", "LIGHT"], ["CNT", "OD_AMT"]))
 
 

@@ -519,7 +519,8 @@ def _bundle_sql(cadence: Cadence) -> str:
 
 
 def _bundle_queries() -> tuple[dict[str, Query], dict[str, str]]:
-    return {"report_bundle_day": partial(_bundle, DAY)}, {"report_bundle_day": _bundle_sql(DAY)}
+    runs = {f"report_bundle_{c.name}": c for c in (DAY, WEEK, MONTH)}
+    return {n: partial(_bundle, c) for n, c in runs.items()}, {n: _bundle_sql(c) for n, c in runs.items()}
 
 
 def registered() -> tuple[dict[str, Query], dict[str, str]]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once, so that a task's arrays stay small for any batch.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = 0xD1342543DE82EF95

@@ -19,7 +19,7 @@ def scratch(spark: SparkSession) -> str:
     """
     root = spark.conf.get(SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="riskbook-llm-")
         spark.conf.set(SETTING, root)

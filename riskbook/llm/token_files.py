@@ -28,7 +28,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +40,7 @@ HEAD = "<8s6Q"
 SHARD_TOKENS = 1 << 19
 #: Symbols fit in 16 bits as long as rules do not use up what the vocabulary leaves of them.
 SYMBOLS = 1 << 16
-ROUNDS = 7
+ROUNDS = 6
 RULES_A_ROUND = 2048
 LEAST = 8
 SLOT_BITS = 19
@@ -72,7 +71,8 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int) -> tuple[np.ndarra
         best = np.flatnonzero(times >= LEAST)
         if not len(best):
             break
-        best = best[np.lexsort((stands[best], -times[best]))[: min(RULES_A_ROUND, room)]]
+        # equally frequent pairs go in the order of their hash, so that neighbours seldom wait for each other
+        best = best[np.argsort(-times[best], kind="stable")[: min(RULES_A_ROUND, room)]]
         rank = np.full(none + 1, len(best), np.int32)
         rank[best] = np.arange(len(best), dtype=np.int32)
         mine = rank[slot]
@@ -187,98 +187,118 @@ class Shard:
         return expand(symbols, self.rules, self.base)[start:stop].astype("<u4")
 
     def every(self) -> np.ndarray:
-        """Ids of all documents in a row."""
-        return expand(self.symbols.astype(np.int64), self.rules, self.base).astype("<u4")
+        """Ids of all documents in a row, each rule expanded once."""
+        rules = expand(np.arange(self.base, self.base + len(self.rules)), self.rules, self.base)
+        table = np.concatenate([np.arange(self.base), rules]).astype("<u4")
+        size = np.concatenate([np.ones(self.base, np.int64), self.lengths])
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        symbols = self.symbols.astype(np.int64)
+        count = size[symbols]
+        ends = np.cumsum(count)
+        return table[np.repeat(start[symbols] - ends + count, count) + np.arange(self.n_ids)]
 
 
 # -- encoding --------------------------------------------------------------------------
 
-#: A word of Latin letters and what follows it, which the tokenizer splits and lower-cases apart.
-PLAIN = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?)\]}\"%&$#*|-]*)")
+#: What may follow a word's letters and is split from them by the tokenizer (no apostrophe: it may begin a token).
+MARKS = ".,;:!?)]}\"%&$#*|-"
 
 
 def byte_letters() -> dict[int, str]:
-    """Byte-level BPE's character for each byte: printable Latin-1 as it is, the rest from U+0100 on."""
+    """Byte-level BPE's character for each byte: printable Latin-1 as it is, the rest from U+0100 on.
+
+    A table for `str.translate`, on bytes read as Latin-1.
+    """
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in set(shown)]
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Places(dict):
+    """Place of each word in an encoder's table; a new word is put there when it is first looked up."""
+
+    def __init__(self, add):
+        self.add = add
+
+    def __missing__(self, word: str) -> int:
+        at = self[word] = self.add(word)
+        return at
+
+
 class Encoder:
     """Ids of texts by the tokenizer, each different word encoded once.
 
     The tokenizer drops white space and never joins what white space parts, so a text's ids are its
-    words' ids in a row.  Texts that may hold one of its special tokens are encoded whole.  A word of
+    words' ids in a row.  Texts that hold one of `special` are encoded whole.  A word of
     Latin letters with marks after it is split as the tokenizer would, and its letters go straight to the
     tokenizer's model.  The table of words is emptied when it holds `MOST` words.
     """
 
-    MOST = 1_000_000
+    MOST = 700_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # besides special tokens, the four separators that Python takes for white space and the tokenizer doesn't
+        self.special = [*(t.content for t in self.tokenizer.get_added_tokens_decoder().values()), *"\x1c\x1d\x1e\x1f"]
         self.size = self.tokenizer.get_vocab_size()
         self.letters = byte_letters()
         self.empty()
 
     def empty(self) -> None:
-        self.places: dict[str, int] = {}  # of words in the table
+        self.places = Places(self.add)
         self.starts, self.counts, self.ids = array("q"), array("q"), array("I")
-        self.cores: dict[str, list[int]] = {}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def core(self, letters: str) -> list[int]:
-        """Ids of lower-case Latin letters."""
-        if letters not in self.cores:
-            shown = letters if letters.isascii() else "".join(map(self.letters.__getitem__, letters.encode()))
-            self.cores[letters] = [t.id for t in self.model.tokenize(shown)]
-        return self.cores[letters]
-
-    def word(self, word: str) -> list[int]:
-        if word.isascii() and word.isalpha():
-            return self.core(word.lower())
-        found = PLAIN.fullmatch(word)
-        if not found:
-            return self.whole(word)
-        letters, marks = found.groups()
-        if marks and marks not in self.cores:
-            self.cores[marks] = self.whole(marks)
-        return self.core(letters.lower()) + self.cores[marks] if marks else self.core(letters.lower())
-
-    def place(self, word: str) -> int:
-        ids = self.word(word)
-        at = self.places[word] = len(self.starts)
+    def known(self, word: str) -> array:
+        """Ids of a word by way of the table."""
+        at = self.places[word]
+        return self.ids[self.starts[at] : self.starts[at] + self.counts[at]]
+
+    def add(self, word: str) -> int:
+        """Put a word's ids into the table, and first those of its letters and marks if they are words of their own."""
+        core = word.rstrip(MARKS)
+        if not core.isalpha() or not (core.isascii() or max(core) <= "\xff"):
+            ids = self.whole(word)
+        elif word == (letters := core.lower()):
+            shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(shown)]
+        elif core == word:
+            ids = self.known(letters)
+        else:
+            ids = self.known(letters) + self.known(word[len(core) :])
         self.starts.append(len(self.ids))
         self.counts.append(len(ids))
         self.ids.extend(ids)
-        return at
+        return len(self.starts) - 1
+
+    def has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.places) > self.MOST:
             self.empty()
-        known, codes, lengths = self.places, [], []
-        for text in texts:
-            words = [] if any(s in text for s in self.special) else text.split()
+        codes, lengths = [], []
+        whole = {i for i, text in enumerate(texts) if self.has_special(text)}
+        for i, text in enumerate(texts):
+            words = [] if i in whole else text.split()
             lengths.append(len(words))
-            codes += [known[w] if w in known else self.place(w) for w in words]
+            codes += map(self.places.__getitem__, words)
         code = np.array(codes, np.int64)
-        count = np.array(self.counts, np.int64)[code]
+        count = np.frombuffer(self.counts, np.int64)[code] if len(code) else code
         ends = np.concatenate([[0], np.cumsum(count)])
-        at = np.repeat(np.array(self.starts, np.int64)[code] - ends[:-1], count) + np.arange(ends[-1])
-        flat = np.array(self.ids, np.int64)[at]
+        at = np.repeat((np.frombuffer(self.starts, np.int64)[code] if len(code) else code) - ends[:-1], count) + np.arange(ends[-1])
+        flat = np.frombuffer(self.ids, np.uint32)[at].astype(np.int64) if len(at) else at
         cuts = ends[np.cumsum(lengths)] if lengths else []
         out = np.split(flat, cuts[:-1])
-        return [
-            np.array(self.whole(text), np.int64) if any(s in text for s in self.special) else ids
-            for text, ids in zip(texts, out, strict=True)
-        ]
+        for i in whole:
+            out[i] = np.array(self.whole(texts[i]), np.int64)
+        return out
 
 
 # -- Spark ---------------------------------------------------------------------------------

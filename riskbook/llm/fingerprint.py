@@ -94,16 +94,29 @@ def fingerprints(docs: DataFrame, fraction: int = FRACTION, size: int = SIZE) ->
 # -- each document beside the next one -------------------------------------------------
 
 
-def _places(splitters: np.ndarray, has_null: bool, null_tie: int | None):
-    """Part of an identifier, and the part that needs the row after its own last one (or null)."""
-    parts = len(splitters)
+def _part(splitters: np.ndarray):
+    """Part of an identifier that is not null."""
+
+    @F.pandas_udf("int")
+    def part(doc_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(splitters, doc_id.to_numpy("int64")).astype("int32"))
+
+    return part
+
+
+def _places(tops: np.ndarray, has_null: bool, null_tie: int | None):
+    """Part of an identifier, and the part that needs the row after its own last one (or null).
+
+    `tops` are the largest identifiers of the parts, as they stand in the table, ascending.
+    """
+    parts = len(tops)
 
     @F.pandas_udf("struct<part: int, tail: int>")
-    def place(doc_id: pd.Series, tie: pd.Series) -> pd.DataFrame:
-        null = doc_id.isna().to_numpy()
-        ids = doc_id.fillna(0).astype("int64").to_numpy()
-        part = np.searchsorted(splitters, ids)
-        top = splitters[np.minimum(part, parts - 1)] == ids if parts else np.zeros(len(ids), bool)
+    def place(known: pd.Series, doc_id: pd.Series, tie: pd.Series) -> pd.DataFrame:
+        null = ~known.to_numpy(bool)
+        ids = doc_id.to_numpy("int64")
+        part = np.searchsorted(tops, ids)
+        top = tops[np.minimum(part, parts - 1)] == ids if parts else np.zeros(len(ids), bool)
         after = np.where(part + 1 < parts, part + 1, -1 if has_null else 0)
         tail = np.where(null, null_tie == tie.to_numpy(), top)
         after = np.where(null, 0 if parts else -1, after)
@@ -116,7 +129,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """Rows (part, is_tail, doc_id, tie, text), each part sorted so that a row's next document follows it.
 
     Identifiers descend; after the last document comes the first.  A part is a range of identifiers
-    between values found by approximate quantiles; the first row of each part is also sent to the part
+    found by approximate quantiles, up to the largest identifier in it; the first row of each part is also sent to the part
     before it, as its tail, so that no text moves twice and no task holds more than some parts.
     """
     spark = docs.sparkSession
@@ -130,9 +143,15 @@ def neighbours(docs: DataFrame) -> DataFrame:
     if facts["known"]:
         asked = [i / parts for i in range(1, parts)]
         found = docs.stat.approxQuantile("doc_id", asked, 0.2 / parts) if asked else []
-        splitters = np.unique(np.array([*map(int, found), facts["last"]], np.int64))
+        # quantiles are doubles, which need not be identifiers of the table: each part's largest one is looked up
+        splitters = np.unique(np.array([*(min(int(x), facts["last"]) for x in found), facts["last"]], np.int64))
+        known = docs.where("doc_id IS NOT NULL").select("doc_id")
+        largest = known.groupBy(_part(splitters)("doc_id").alias("part")).agg(F.max("doc_id").alias("top")).collect()
+        splitters = np.array(sorted(r["top"] for r in largest), np.int64)
     has_null = facts["known"] < facts["n"]
-    placed = rows.withColumn("at", _places(splitters, has_null, facts["tie"])("doc_id", "tie"))
+    # a column with nulls reaches pandas as doubles, so nulls go as a flag of their own
+    place = _places(splitters, has_null, facts["tie"])
+    placed = rows.withColumn("at", place(F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0).cast("long")), "tie"))
     spread = placed.withColumn(
         "to",
         F.explode(
@@ -177,12 +196,17 @@ def _compared(fraction: int, size: int):
             }
         )
 
+    def ended(part: int | None, held: list, done: bool) -> None:
+        if held and not done:
+            raise RuntimeError(f"part {part} ended without the document after its last one")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held, total, done = None, [], 0, False
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("part", "is_tail", "doc_id", "text"))
             for here, is_tail, doc_id, text in zip(*columns, strict=True):
                 if here != part:
+                    ended(part, held, done)
                     part, held, total, done = here, [], 0, False
                 if done:  # the tail's other copies
                     continue
@@ -196,6 +220,7 @@ def _compared(fraction: int, size: int):
                     held, total = [], 0
                 held.append((doc_id, text))
                 total += len(text)
+        ended(part, held, done)
 
     return run
 

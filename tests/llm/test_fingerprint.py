@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import words
 
@@ -70,3 +71,17 @@ def test_merge_is_exact_and_containment_holds_for_unequal_texts():
     assert [len(t) for t in tiny] == [1, 1, 0] and len(P.merge(tiny[0], tiny[1])) >= 1
     assert (P.from_string(P.to_string(a)) == a).all()
     assert 0.2 < len(a) / 3996 < 0.3
+
+
+@pytest.mark.parametrize("null", [False, True])
+def test_identifiers_that_are_no_doubles(table, null):
+    rows = [((1 << 62) + 1 + 2_003 * i, " ".join(words(12, i))) for i in range(400)] + [(None, "no identifier")] * null
+    hand = brute(rows)
+    found = {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in P.edited_likeness(table(*rows)).collect()}
+    assert found == {d: v[:2] for d, v in hand.items()}
+
+
+def test_a_part_without_its_tail_is_an_error():
+    batch = pa.RecordBatch.from_pydict({"part": [0, 1], "is_tail": [False, False], "doc_id": [2, 1], "text": ["a", "b"]})
+    with pytest.raises(RuntimeError, match="part 0"):
+        list(P._compared(4, 5)(iter([batch])))

@@ -7,7 +7,7 @@ text of any length costs one pass and no per-text feature table.
 Fitting reads a bounded sample of labelled rows (about `per_language` for each language, chosen by a
 hash of the identifier); every text is predicted whole.  Each model is fitted by one task.
 
-Defined cases: a null, empty or letterless text is `und` with score 0; repeated rows are predicted
+Defined cases: a null or empty text and one without a Unicode letter is `und` with score 0; repeated rows are predicted
 alike; an empty table gives an empty result; without any labelled row every text is `und`.
 """
 
@@ -20,6 +20,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +72,11 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (key * np.uint32(2654435761)) >> np.uint32(32 - BITS), letter, places
 
 
+def lettered(column: pa.Array) -> np.ndarray:
+    """Whether each text has a Unicode letter; the search stops at a text's first one."""
+    return pc.match_substring_regex(column, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
+
+
 def sums(values: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Sum of each text's values."""
     total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
@@ -82,11 +88,11 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for piece in slices(batch):
             buckets, counts, places = trigrams(piece.column("text"))
-            rows = []
+            letters, rows = lettered(piece.column("text")), []
             for i, lang in enumerate(piece.column("lang").to_pylist()):
                 own = slice(places[i], places[i + 1])
                 found = np.bincount(buckets[own][counts[own]], minlength=1 << BITS)
-                if total := found.sum():
+                if letters[i] and (total := found.sum()):
                     at = np.flatnonzero(found)
                     rows.append((lang, at.astype(np.int32), (found[at] / total).astype(np.float32)))
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +237,7 @@ def predict_texts(column: pa.Array, models: list[Model]) -> tuple[list[str], np.
         here = family == i
         out[here] = np.array(members, dtype=object)[best[here]]
         score = np.where(here, score * chance, score)
-    unknown = number == 0
+    unknown = ~lettered(column)
     out[unknown] = UNKNOWN
     return out.tolist(), np.where(unknown, 0.0, np.clip(score, 0.0, 1.0))
 
@@ -274,6 +280,6 @@ def identified(docs: DataFrame, per_language: int = 400) -> DataFrame:
     """
     models = fit(docs, F.col("doc_id"), per_language)
     if not models:
-        return docs.where(F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]"))
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     told = predict(docs, models, "__lang", "__score", keep_text=True)
     return told.where(~rejected(F.col("__lang"), F.col("__score"))).select(*docs.columns)

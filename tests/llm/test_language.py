@@ -58,3 +58,14 @@ def test_trigrams_do_not_cross_texts():
 def test_clean_documents_stay(documents):
     kept = langid.identified(documents)
     assert kept.count() >= 0.98 * documents.count()
+
+
+def test_texts_without_a_unicode_letter_have_no_language(table):
+    letterless = ["\u2014 \u201c\u201d \u20ac 5", "\U0001f600\U0001f680", "\u3002\u3001\uff01", "\u00a0\u00a0", "\u0661\u0662", "12 !?", "", None]
+    lettered = ["\u043c\u0438\u0440", "\u65e5\u672c", "\u00e9", "\u20ac x"]
+    model = langid.Model("de", "en", np.zeros(1 << langid.BITS), 1.0)
+    names, scores = langid.predict_texts(pa.array(letterless + lettered, pa.string()), [model])
+    assert names == [langid.UNKNOWN] * len(letterless) + ["de"] * len(lettered)
+    assert not scores[: len(letterless)].any() and scores[len(letterless) :].all()
+    kept = langid.identified(table(*enumerate(letterless + lettered)))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(len(letterless), len(letterless + lettered)))

@@ -5,8 +5,11 @@ Numbers, numbers joined to letters (``5km``), units after a number, and names (c
 not begin a sentence or line) become typed placeholders.  The benchmark is also read with its names as
 words, for copies in capitals or in other places of a sentence.  Windows of `size` tokens are hashed and
 joined with the benchmark's windows.  Matches of one document and item on one diagonal (the same
-shift between the two texts) must fill each benchmark value by one value of the document, so that a
-question asked again with other numbers or names is caught, and a chance template is not.
+shift between the two texts) should fill each benchmark value by one value of the document, so that a
+question asked again with other numbers or names is caught, and a chance template is not.  Equal values
+may stand in an item by chance, so a diagonal may fill equal numbers, or those of one name, differently.
+If it does so for several values, a name among them, its windows with such a value count only where they are
+the item's own words and values; its other windows always count.
 
 A document leaks an item if matches on a diagonal with consistent slots number `run` or more (or all the
 item has), or if consistent matches cover `share` of the item's windows.
@@ -43,6 +46,8 @@ UNITS = (
     "l ml liter liters litre litres gallon gallons s ms sec second seconds min minute minutes h hour hours day days "
     "week weeks month months year years percent degrees dollar dollars cent cents euro euros"
 ).split()
+#: Some slot of a window w holds another value than the item's.
+CHANGED = "exists(w.pairs, p -> p.item <> p.doc)"
 KEPT = np.zeros(256, bool)
 KEPT[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 DIGIT = np.zeros(256, bool)
@@ -112,9 +117,9 @@ class Tokens:
         self.codes = np.where(self.kinds == WORD, self.codes, PLACEHOLDERS[self.kinds])
 
     def slots(self, start: int, end: int) -> list[str]:
-        """Values in the placeholders of some tokens."""
+        """Values in the placeholders of some tokens, those of names after an @."""
         return [
-            self.raw[self.starts[i] : self.ends[i]].tobytes().decode(errors="replace")
+            "@" * int(self.kinds[i] == NAME) + self.raw[self.starts[i] : self.ends[i]].tobytes().decode(errors="replace")
             for i in range(start, end)
             if self.kinds[i] != WORD
         ]
@@ -181,15 +186,21 @@ def leaks(
         .where("size(item_slots) = size(slots)")
         .withColumn("pairs", pairs)
         .groupBy("doc_id", "key", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-        .where("size(array_distinct(transform(pairs, p -> p.item))) = size(pairs)")
+        .agg(F.collect_set(F.struct(F.col("item_place").alias("place"), "pairs")).alias("held"))
+        .withColumn("pairs", F.expr("array_distinct(flatten(held.pairs))"))
+        .withColumn("torn", F.expr("filter(array_distinct(pairs.item), v -> size(filter(pairs, p -> p.item = v)) > 1)"))
+        .withColumn("tangled", F.expr("size(torn) > 1 AND exists(torn, v -> startswith(v, '@'))"))
+        .withColumn("held", F.expr(f"filter(held, w -> NOT tangled OR NOT ({CHANGED}) OR NOT exists(w.pairs, p -> array_contains(torn, p.item)))"))
+        .withColumn("places", F.expr("array_distinct(held.place)"))
+        .withColumn("changed", F.expr(f"exists(held, w -> {CHANGED})"))
+        .where("size(places) > 0")
     )
     return (
         diagonals.groupBy("doc_id", "key", "item_id")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
             F.max(F.size("places")).cast("long").alias("longest"),
-            F.max(F.expr("exists(pairs, p -> p.item <> p.doc)")).alias("changed"),
+            F.max("changed").alias("changed"),
         )
         .join(totals, "item_id")
         .where((F.col("longest") >= F.least(F.lit(run), "item_windows")) | (F.col("matched") >= share * F.col("item_windows")))

@@ -52,3 +52,18 @@ def test_tokens_and_kinds():
     assert [kinds[w] for w in ("bob", "he", "word", "x", "apples")] == [D.WORD] * 5
     assert [k for w, k in zip(shown, t.kinds, strict=True) if w == "érasmus"] == [D.WORD, D.NAME]
     assert t.offsets.tolist() == [0, 13, 13, 20]
+
+
+def test_values_that_are_equal_by_chance_may_differ(spark, table):
+    boxes = "a clerk puts 3 boxes of 3 pens on each of the long shelves and then counts all of the pens again"
+    passage = f"in all there are 12 rows here, {' '.join(words(40, 9))}, and at the very end of it 12 rows are there again"
+    named = boxes.replace("a clerk puts", "so Tom puts").replace("counts all", "tells Tom all")
+    items = benchmark(spark, boxes, passage, named)
+    docs = table(
+        (1, boxes.replace("3 boxes of 3", "4 boxes of 5")),
+        (2, passage.replace("it 12 rows", "it 13 rows")),
+        (3, named.replace("tells Tom", "tells Ann").replace("3 boxes of 3", "4 boxes of 4")),
+        (4, QUESTION.replace("spend on all of", "lose by most of")),
+    )
+    found = {(r["doc_id"], r["item_id"]): r["changed"] for r in D.leaks(docs, items).collect()}
+    assert found[1, 0] and found[2, 1] and found[3, 2] and not any(d == 4 for d, _ in found)

@@ -2,8 +2,9 @@
 
 A text becomes a row of tokens: white-space-separated words without punctuation, in lower case.
 Numbers, numbers joined to letters (``5km``), units after a number, and names (capitalised words that do
-not begin a sentence or line) become typed placeholders.  The benchmark is also read with its names as
-words, for copies in capitals or in other places of a sentence.  Windows of `size` tokens are hashed and
+not begin a sentence or line) become typed placeholders.  All texts are also read with their names as
+words, for copies in capitals or in other places of a sentence, and word by word without placeholders, for exact
+copies of items that are mostly numbers, units or names.  Windows of `size` tokens are hashed and
 joined with the benchmark's windows.  Matches of one document and item on one diagonal (the same
 shift between the two texts) should fill each benchmark value by one value of the document, so that a
 question asked again with other numbers or names is caught, and a chance template is not.  Equal values
@@ -12,14 +13,15 @@ If it does so for several values, a name among them, its windows with such a val
 the item's own words and values; its other windows always count.
 
 A document leaks an item if matches on a diagonal with consistent slots number `run` or more (or all the
-item has), or if consistent matches cover `share` of the item's windows.
+item has), or if consistent matches cover `share` of the item's windows; template windows are also counted
+alone.  An item of `least_words` or more tokens, but fewer than `size`, is one window of its own length, found anywhere in a text.
 
 Before the join, windows are held against a bitmap of the benchmark's window hashes: 8 MB whatever
 the size of the benchmark, so it only saves work.  The join decides.
 
-Defined cases: null, empty and wordless texts have no window and never leak; a text of fewer than
-`size` tokens has one window, which only an equally short text shares; windows with fewer than
-`least_words` ordinary words are not used (of a short text, all its tokens must be ordinary words);
+Defined cases: null, empty and wordless texts have no window and never leak; an item of fewer than
+`least_words` tokens has one window, which only a text of the same tokens shares, since so few words
+stand in any text; windows with fewer than `least_words` ordinary words are found by exact copies only;
 repeated rows leak alike and a pair is reported once for each identifier and text; an empty
 benchmark leaks nothing.
 """
@@ -63,11 +65,13 @@ def _spans(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 UNIT_CODES = np.sort(hash_spans(*_spans(UNITS)))
+#: Keeps the codes of exact windows apart from those of templates.
+EXACT = np.uint64(0xD6E8FEB86659FD93)
 PLACEHOLDERS = hash_spans(*_spans(["<word>", "<number>", "<quantity>", "<unit>", "<name>"]))
 
 
 class Tokens:
-    """Template tokens of a column of texts: codes, kinds, their spans of bytes, each text's first token.
+    """Template tokens of a column of texts: codes, codes of the words themselves, kinds, their spans of bytes, each text's first token.
 
     Without `names`, names are ordinary words.
     """
@@ -93,7 +97,7 @@ class Tokens:
         self.offsets = np.concatenate([[0], np.cumsum(real)])[found.offsets]
         n = len(self.starts)
         self.kinds = np.full(n, WORD, np.int8)
-        self.codes = hash_spans(self.raw, self.starts, self.ends)
+        self.codes = self.words = hash_spans(self.raw, self.starts, self.ends)
         if not n:
             return
         digits = np.concatenate([[0], np.cumsum(DIGIT[self.raw])])
@@ -125,42 +129,60 @@ class Tokens:
         ]
 
 
-def _template_rows(keys: list[str], size: int, least_words: int, wanted: np.ndarray | None, names: bool):
+def _template_rows(keys: list[str], size: int, least_words: int, wanted: np.ndarray | None, short: list[int]):
+    def held(piece: pa.RecordBatch, tokens: Tokens, exact: bool, long: int) -> pa.RecordBatch:
+        """Windows of `long` tokens: templates, or the words and values themselves."""
+        codes, first = windows(tokens.words * EXACT if exact else tokens.codes, tokens.offsets, long)
+        owner = np.repeat(np.arange(piece.num_rows), np.diff(first))
+        place = np.arange(len(codes)) - first[owner]
+        begin = tokens.offsets[owner] + place
+        end = np.minimum(begin + long, tokens.offsets[owner + 1])
+        use = (end - begin == long) if long < size else np.ones(len(codes), bool)
+        if not exact:
+            plain = np.concatenate([[0], np.cumsum(tokens.kinds == WORD)])
+            use &= plain[end] - plain[begin] >= np.minimum(least_words, end - begin)
+        if wanted is not None:
+            use &= holds(wanted, (codes >> np.uint64(64 - BITS)).view(np.int64))
+        at = np.flatnonzero(use)
+        rows = pa.array(owner[at])
+        return pa.RecordBatch.from_arrays(
+            [
+                *(piece.column(k).take(rows) for k in keys),
+                pa.array(codes[at].view(np.int64)),
+                pa.array(place[at]),
+                pa.array([[] if exact else tokens.slots(begin[i], end[i]) for i in at], pa.list_(pa.string())),
+                pa.array(np.full(len(at), exact)),
+                pa.array((end - begin)[at].astype(np.int32)),
+            ],
+            names=[*keys, "code", "place", "slots", "exact", "tokens"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
-                tokens = Tokens(piece.column("text"), names)
-                codes, first = windows(tokens.codes, tokens.offsets, size)
-                owner = np.repeat(np.arange(piece.num_rows), np.diff(first))
-                place = np.arange(len(codes)) - first[owner]
-                begin = tokens.offsets[owner] + place
-                end = np.minimum(begin + size, tokens.offsets[owner + 1])
-                plain = np.concatenate([[0], np.cumsum(tokens.kinds == WORD)])
-                use = plain[end] - plain[begin] >= np.minimum(least_words, end - begin)
-                if wanted is not None:
-                    use &= holds(wanted, (codes >> np.uint64(64 - BITS)).view(np.int64))
-                at = np.flatnonzero(use)
-                rows = pa.array(owner[at])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(piece.column(k).take(rows) for k in keys),
-                        pa.array(codes[at].view(np.int64)),
-                        pa.array(place[at]),
-                        pa.array([tokens.slots(begin[i], end[i]) for i in at], pa.list_(pa.string())),
-                    ],
-                    names=[*keys, "code", "place", "slots"],
-                )
+                for names in (True, False):
+                    tokens = Tokens(piece.column("text"), names)
+                    for long in (size, *short):
+                        yield held(piece, tokens, False, long)
+                        if names:
+                            yield held(piece, tokens, True, long)
 
     return run
 
 
 def templates(
-    rows: DataFrame, keys: list[str], size: int, least_words: int, wanted: np.ndarray | None = None, names: bool = True
+    rows: DataFrame, keys: list[str], size: int, least_words: int, wanted: np.ndarray | None = None, short: list[int] | None = None
 ) -> DataFrame:
-    """Template windows of each text: `keys`, code, place, and the values in the window's slots."""
+    """Windows of each text, with and without names: `keys`, code, place, the values in the window's slots, whether
+    it is exact (the words and values themselves) and its number of tokens.
+
+    Besides those of `size` tokens there are windows of each number in `short`.  The window of a text of
+    fewer tokens has the code of a window of just those tokens.
+    """
     types = ", ".join(f"{k} {t}" for k, t in rows.select(*keys).dtypes)
     return rows.select(*keys, "text").mapInArrow(
-        _template_rows(keys, size, least_words, wanted, names), f"{types}, code long, place long, slots array<string>"
+        _template_rows(keys, size, least_words, wanted, short or []),
+        f"{types}, code long, place long, slots array<string>, exact boolean, tokens int",
     )
 
 
@@ -173,25 +195,28 @@ def leaks(
     changed says that some slot holds another value than the item's.
     """
     items = benchmark.select("item_id", "text")
-    forms = [templates(items, ["item_id"], size, least_words, names=names) for names in (True, False)]
-    questions = store(forms[0].union(forms[1]).distinct(), "questions")
-    totals = questions.groupBy("item_id").agg(F.countDistinct("place").alias("item_windows"))
+    questions = store(templates(items, ["item_id"], size, least_words).distinct(), "questions")
+    totals = questions.groupBy("item_id").agg(
+        F.countDistinct("place").alias("item_windows"), F.countDistinct(F.when(~F.col("exact"), F.col("place"))).alias("item_typed")
+    )
+    short = sorted(r["tokens"] for r in questions.where(F.col("tokens").between(least_words, size - 1)).select("tokens").distinct().collect())
     keyed = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key"), "text")
     wanted = bitmap(questions, F.shiftrightunsigned("code", 64 - BITS))
-    found = templates(keyed, ["doc_id", "key"], size, least_words, wanted)
-    asked = questions.select("item_id", "code", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"))
+    found = templates(keyed, ["doc_id", "key"], size, least_words, wanted, short).drop("exact", "tokens")
+    asked = questions.select("item_id", "code", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "exact")
     pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda x: F.struct(x["item_slots"].alias("item"), x["slots"].alias("doc")))
     diagonals = (
         found.join(asked, "code")
         .where("size(item_slots) = size(slots)")
         .withColumn("pairs", pairs)
         .groupBy("doc_id", "key", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set(F.struct(F.col("item_place").alias("place"), "pairs")).alias("held"))
+        .agg(F.collect_set(F.struct(F.col("item_place").alias("place"), "pairs", "exact")).alias("held"))
         .withColumn("pairs", F.expr("array_distinct(flatten(held.pairs))"))
         .withColumn("torn", F.expr("filter(array_distinct(pairs.item), v -> size(filter(pairs, p -> p.item = v)) > 1)"))
         .withColumn("tangled", F.expr("size(torn) > 1 AND exists(torn, v -> startswith(v, '@'))"))
         .withColumn("held", F.expr(f"filter(held, w -> NOT tangled OR NOT ({CHANGED}) OR NOT exists(w.pairs, p -> array_contains(torn, p.item)))"))
         .withColumn("places", F.expr("array_distinct(held.place)"))
+        .withColumn("typed", F.expr("array_distinct(filter(held, w -> NOT w.exact).place)"))
         .withColumn("changed", F.expr(f"exists(held, w -> {CHANGED})"))
         .where("size(places) > 0")
     )
@@ -200,10 +225,17 @@ def leaks(
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
             F.max(F.size("places")).cast("long").alias("longest"),
+            F.size(F.array_distinct(F.flatten(F.collect_set("typed")))).alias("typed"),
+            F.max(F.size("typed")).alias("longest_typed"),
             F.max("changed").alias("changed"),
         )
         .join(totals, "item_id")
-        .where((F.col("longest") >= F.least(F.lit(run), "item_windows")) | (F.col("matched") >= share * F.col("item_windows")))
+        .where(
+            (F.col("longest") >= F.least(F.lit(run), "item_windows"))
+            | (F.col("matched") >= share * F.col("item_windows"))
+            | (F.col("item_typed") > 0) & (F.col("longest_typed") >= F.least(F.lit(run), "item_typed"))
+            | (F.col("item_typed") > 0) & (F.col("typed") >= share * F.col("item_typed"))
+        )
         .select("doc_id", "key", "item_id", "matched", "item_windows", "longest", "changed")
     )
 

@@ -67,3 +67,19 @@ def test_values_that_are_equal_by_chance_may_differ(spark, table):
     )
     found = {(r["doc_id"], r["item_id"]): r["changed"] for r in D.leaks(docs, items).collect()}
     assert found[1, 0] and found[2, 1] and found[3, 2] and not any(d == 4 for d, _ in found)
+
+
+def test_short_dense_and_title_case_items_are_found(spark, table):
+    short, dense, sums = "What colour is the evening sky?", "Compute 12 + 15 - 3 * 4 / 2", "add 3 km 4 km 5 km 6 km 7 km 8 km 9 km"
+    items = benchmark(spark, short, dense, sums, QUESTION, "yes")
+    around = lambda t, k: " ".join([*words(30, k), t, *words(30, k + 1)])
+    docs = table(
+        (1, around(short, 1)),
+        (2, around(dense, 2)),
+        (3, around(sums, 3)),
+        (4, around(" ".join(w.capitalize() for w in QUESTION.split()), 4)),
+        (5, around("yes", 5)),
+        (6, around(dense.replace("15", "16"), 6)),
+        (7, "Yes!"),
+    )
+    assert {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, items).collect()} == {(1, 0), (2, 1), (3, 2), (4, 3), (7, 4)}

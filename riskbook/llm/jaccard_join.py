@@ -1,9 +1,9 @@
-"""Similarity join on word shingles: MinHash LSH forest for candidates, exact Jaccard for the result.
+"""Similarity join on word shingles: MinHash banding for candidates, exact Jaccard for the result.
 
-Each text has a MinHash signature that is cut into `trees` paths.  Sorted by path, texts that share
-a prefix stand together (a prefix tree); `depth_for` shortens the prefix from the full path until a
-pair at the threshold is found with the target probability.  Texts that share a prefix in any tree
-are candidates of each other.
+Each text has `trees` keys, each a hash of as many MinHash values as `depth_for` gives: the most, up to
+LONGEST, at which a pair at the threshold is found with the target probability.  The depth is the same
+for all texts, so this is fixed banding and not an LSH forest: no longer paths are kept, sorted or
+shortened.  Texts that share a key (below: a prefix) in any tree are candidates of each other.
 
 Pairs are never listed.  Equal texts are one node; a prefix links its members to its smallest one,
 and the components of these links hold every candidate pair.  Members of a component are dealt into

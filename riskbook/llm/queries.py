@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import decontaminate, fingerprint, jaccard_join, langid, line_dedup, mixing, pii, token_files, toxicity, warc
-from riskbook.llm.sql import MIXING
+from riskbook.llm import centroids, decontaminate, fingerprint, jaccard_join, langid, line_dedup, mixing, packing, pii, token_files, toxicity, warc
+from riskbook.llm.sql import CLUSTERING, MIXING
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,21 @@ def op10_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(mixing.takes(table(spark, folder, "documents")))
 
 
+def byte_tokenizer() -> str:
+    """Path of the public byte-level tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digests(packing.packed(table(spark, folder, "documents"), byte_tokenizer()))
+
+
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.report(*centroids.cluster(table(spark, folder, "embeddings"))).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -86,6 +101,8 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mix": op10_source_mix,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
-SQL: dict[str, str] = {"op10_source_mix": MIXING}
+SQL: dict[str, str] = {"op10_source_mix": MIXING, "op13_centroid_clustering": CLUSTERING}

@@ -41,3 +41,38 @@ SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
          ELSE 1.5 - sqrt(2.25 - 2 * share) END, 6) END AS first_position  -- demand 3t/2 - t^2/2
 FROM shared
 """
+
+
+def _clustering(centroids: int = 16, components: int = 64, scale: int = 64, rounds: int = 3, salt: str = "1") -> str:
+    """Every distance to every centroid, round by round."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {components} AND len(list_filter(embedding, lambda x: isfinite(x))) = {components}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS n, v FROM (
+    SELECT sha256('{salt}:' || vec_id) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT {centroids}))"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, n, d FROM (
+    SELECT r, n, d, row_number() OVER (PARTITION BY r ORDER BY d, n) AS place FROM (
+      SELECT r, n, CAST(list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+      FROM kept k, c{i} c)) WHERE place = 1)"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.n, coalesce(f.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT n, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY j) AS v FROM (
+      SELECT n, j, sum(x) AS s, count(*) AS m FROM (
+        SELECT n, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM kept JOIN a{i} USING (r)) GROUP BY n, j) GROUP BY n) f ON c.n = f.n)"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(a.n AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.n) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (r) JOIN c{rounds} c ON a.n = c.n"""
+
+
+CLUSTERING = _clustering()

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskbook.llm import centroids, decontaminate, fingerprint, jaccard_join, langid, line_dedup, mixing, packing, pii, token_files, toxicity, warc
-from riskbook.llm.sql import CLUSTERING, MIXING
+from riskbook.llm import centroids, decontaminate, fingerprint, importance, jaccard_join, langid, line_dedup, mixing, packing, pii, token_files, toxicity, warc
+from riskbook.llm.sql import CLUSTERING, MIXING, RESAMPLING
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +86,10 @@ def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digests(packing.packed(table(spark, folder, "documents"), byte_tokenizer()))
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.report(*centroids.cluster(table(spark, folder, "embeddings"))).withColumnRenamed("id", "vec_id")
 
@@ -102,7 +106,12 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_source_mix": op10_source_mix,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
-SQL: dict[str, str] = {"op10_source_mix": MIXING, "op13_centroid_clustering": CLUSTERING}
+SQL: dict[str, str] = {
+    "op10_source_mix": MIXING,
+    "op12_importance_resampling": RESAMPLING,
+    "op13_centroid_clustering": CLUSTERING,
+}

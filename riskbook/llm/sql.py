@@ -76,3 +76,45 @@ FROM a{rounds} a JOIN kept USING (r) JOIN c{rounds} c ON a.n = c.n"""
 
 
 CLUSTERING = _clustering()
+
+
+RESAMPLING = r"""
+WITH codes AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+              lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS code
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+), texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
+), words AS MATERIALIZED (
+  SELECT side, r, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM texts
+), buckets AS MATERIALIZED (  -- crc32 of each word, byte by byte from its hexadecimal digits
+  SELECT w, xor(list_reduce(
+           list_concat([4294967295], list_transform(range(1, CAST(length(h) AS BIGINT), 2),
+             lambda i: CAST((strpos('0123456789ABCDEF', substr(h, i, 1)) - 1) * 16 + strpos('0123456789ABCDEF', substr(h, i + 1, 1)) - 1 AS BIGINT))),
+           lambda c, b: xor(c >> 8, code[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w, hex(encode(w)) AS h FROM words), codes
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM words JOIN buckets USING (w) GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM counts, totals
+), weights AS (
+  SELECT r, count(*) AS n_features, sum(gain) AS weight FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM texts LEFT JOIN weights USING (r) WHERE side = 'd'
+), placed AS (
+  SELECT doc_id, n_features, weight, CAST(weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) FILTER (n_features >= 20) OVER () AS many
+  FROM placed
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * many // 100 THEN place END AS "rank" FROM ranked
+"""

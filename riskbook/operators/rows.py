@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import EXCLUDED_CODE, EXCLUDED_PREFIX
@@ -99,6 +99,41 @@ def insert_columns(df: DataFrame, after: str, **columns: Column) -> DataFrame:
     return df.select(*old[:at], *new, *old[at:])
 
 
+def numbered(
+    df: DataFrame,
+    keys: Sequence[str],
+    levels: Sequence[Sequence[str]],
+    order: Sequence[str],
+    name: str,
+    beside: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` with each row's number among the rows of its keys, for keys of any size.
+
+    ``levels`` cut a key's rows into parts, each level finer than the one before and in step with
+    ``order``.  Only the parts' row counts meet by key, level by level; the rows themselves meet in the finest part.
+    A row's number is the rows in the parts before, on every level, and its place in its own part.
+    ``beside`` has one row per key; its columns are joined to the parts, so that a large key does not meet there either.
+    Rows with a missing key or level, or without a row in ``beside``, are left out.
+    """
+    cuts = [*keys, *(c for level in levels for c in level)]
+    df = df.where(" AND ".join(f"{c} IS NOT NULL" for c in cuts))
+    counts = df.groupBy(*cuts).agg(F.count("*").alias("__n"))
+    ahead = None
+    for depth in reversed(range(len(levels))):
+        outer = [*keys, *(c for level in levels[:depth] for c in level)]
+        before = Window.partitionBy(*outer).orderBy(*levels[depth]).rowsBetween(Window.unboundedPreceding, -1)
+        within = [*outer, *levels[depth]]
+        parts = counts if ahead is None else counts.groupBy(*within).agg(F.sum("__n").alias("__n"))
+        parts = parts.select(*within, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(f"__ahead_{depth}"))
+        ahead = parts if ahead is None else ahead.join(parts, within)
+    own = F.row_number().over(Window.partitionBy(*cuts).orderBy(*order))
+    total = reduce(lambda a, b: a + b, [F.col(f"__ahead_{i}") for i in range(len(levels))], own)
+    if beside is not None:
+        ahead = ahead.join(beside, list(keys))
+    extra = [c for c in beside.columns if c not in keys] if beside is not None else []
+    return df.join(ahead, cuts).select(*df.columns, *extra, total.alias(name))
+
+
 def arrange(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Rows in order, for presentation."""
     return df.orderBy(*keys)

@@ -141,14 +141,22 @@ def build_snapshots(
     """
     if not periods:
         raise ValueError("no dates to evaluate")
-    codes = {"BEGIN_DATE": "last_day(BD)" if cohort_by_month else "BD", **LOAN_CODES}
-    coded = _states(ledger, periods, codes).selectExpr("*", *_named(STATUS))
+    snapshots = snapshot_rows(_states(ledger, periods, loan_codes(cohort_by_month)))
+    return snapshots if keep is None else snapshots.where(F.col("DATA_DT").isin(*keep))
+
+
+def loan_codes(cohort_by_month: bool) -> dict[str, str]:
+    """Codes of a loan; cohorts are months or days."""
+    return {"BEGIN_DATE": "last_day(BD)" if cohort_by_month else "BD", **LOAN_CODES}
+
+
+def snapshot_rows(states: DataFrame) -> DataFrame:
+    """The snapshot's columns from a loan's codes and its state on a date and on the one before."""
     columns = {**ATTRIBUTES, **MEASURES}
-    snapshots = coded.selectExpr(
+    return states.selectExpr("*", *named(STATUS)).selectExpr(
         LOAN_KEY,
         *[f"CAST({DERIVED.get(c, c)} AS {t.simpleString()}) AS {c}" for c, t in columns.items()],
     )
-    return snapshots if keep is None else snapshots.where(F.col("DATA_DT").isin(*keep))
 
 
 def _states(ledger: DataFrame, periods: Sequence[Period], codes: dict[str, str]) -> DataFrame:
@@ -177,7 +185,7 @@ def _states(ledger: DataFrame, periods: Sequence[Period], codes: dict[str, str])
         totals |= {f"{name}_{slot}": rule for name, rule in state.items()}
     by_loan = (
         dated.groupBy(LOAN_KEY, *LOAN_COLUMNS, "nth")
-        .agg(*map(F.expr, _named(totals)))
+        .agg(*map(F.expr, named(totals)))
         .selectExpr("*", f"get({dates}, nth) AS dates")
     )
 
@@ -193,13 +201,13 @@ def _states(ledger: DataFrame, periods: Sequence[Period], codes: dict[str, str])
 
     kept = (LOAN_KEY, "BD", "LOAN_PR", "MATURITY", *codes)
     return (
-        by_loan.selectExpr("*", *_named(codes))
+        by_loan.selectExpr("*", *named(codes))
         .selectExpr(*kept, f"inline(array({', '.join(map(at, slots))}))")
         .where("BD <= DATA_DT")
     )
 
 
-def _named(rules: dict[str, str]) -> list[str]:
+def named(rules: dict[str, str]) -> list[str]:
     return [f"{rule} AS {name}" for name, rule in rules.items()]
 
 

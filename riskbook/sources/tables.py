@@ -76,6 +76,16 @@ def write_snapshots(snapshots: DataFrame, path: str, whole: bool = False) -> Non
     )
 
 
+def stored_dates(spark: SparkSession, path: str) -> list[date]:
+    """Dates that a table stored by date has, from its folders' names: no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(folder)]
+    return sorted(date.fromisoformat(n.removeprefix("DATA_DT=")) for n in names if n.startswith("DATA_DT="))
+
+
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     stored = require_columns(spark.read.parquet(path), DIMENSION)
     return stored.select(*[F.col(f.name).cast(f.dataType) for f in DIMENSION.fields])

@@ -119,3 +119,16 @@ def test_insert_arrange_subset(spark):
     assert out.columns == ["k", "twice", "v"]
     assert [r["k"] for r in rows.arrange(df, F.desc("k")).collect()] == [3, 2, 1]
     assert [tuple(r) for r in rows.subset(df, "v <> 7", ["k"]).collect()] == [(2,)]
+
+
+def test_numbers_of_rows_by_levels(spark):
+    values = [(k, d, t, i) for i, (k, d, t) in enumerate((k, d, t) for k in (1, 2, None) for d in (3, 1, 2) for t in (5, 4, None) for _ in range(3))]
+    df = spark.createDataFrame(values, "k int, d int, t int, i int").withColumn("part", F.expr("i div 2"))
+    beside = spark.createDataFrame([(1, "one"), (2, "two"), (None, "none")], "k int, who string")
+    found = {r["i"]: (r["n"], r["who"]) for r in rows.numbered(df, ["k"], [["d"], ["t", "part"]], ["i"], "n", beside).collect()}
+    kept = [v for v in values if v[0] is not None and v[2] is not None]
+    want = {}
+    for k, who in ((1, "one"), (2, "two")):
+        mine = sorted((v for v in kept if v[0] == k), key=lambda v: v[1:])
+        want |= {v[3]: (n, who) for n, v in enumerate(mine, 1)}
+    assert found == want

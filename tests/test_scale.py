@@ -1,5 +1,6 @@
 """Plan shapes that must hold on a cluster, and very uneven keys."""
 
+from datetime import date, datetime, timedelta
 from types import SimpleNamespace
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from compare import connect, spark_table, sql_table
 from riskbook.sources.shared import shared_folder
 from riskbook.schema import ATTRIBUTES, FACTS, require_columns
 from riskbook.sources.tables import read_snapshots
+from workload import book
 from workload.queries import cells, registered, snapshots
 
 QUERIES, ORACLE = registered()
@@ -87,6 +89,45 @@ def test_uneven_keys_give_the_same_results(spark, uneven, large_sides, name):
     assert spark_table(QUERIES[name](spark, uneven)) == sql_table(connect(uneven), ORACLE[name])
 
 
+@pytest.fixture(scope="module")
+def uneven_day(data, uneven, tmp_path_factory):
+    """The tables with a third of all orders on one customer and one day, a few of them at other times of that day."""
+    folder = tmp_path_factory.mktemp("uneven_day")
+    for name in ("nation", "customer", "lineitem"):
+        pq.write_table(pq.read_table(f"{data}/{name}.parquet"), folder / f"{name}.parquet")
+    orders = pq.read_table(f"{data}/orders.parquet")
+    chosen = pa.array([i % 3 == 0 for i in range(len(orders))])
+    customer = pc.if_else(chosen, pa.scalar(7, pa.int64()), orders["o_custkey"])
+    times = [datetime(2001, 5, 9) + timedelta(minutes=i % 7 if i % 5 == 0 else 0) for i in range(len(orders))]
+    day = pc.if_else(chosen, pa.array(times, orders.schema.field("o_orderdate").type), orders["o_orderdate"])
+    orders = orders.set_column(orders.schema.get_field_index("o_custkey"), "o_custkey", customer)
+    orders = orders.set_column(orders.schema.get_field_index("o_orderdate"), "o_orderdate", day)
+    pq.write_table(orders, folder / "orders.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["snapshot_month", "reloan_overdue_by_date"])
+def test_uneven_day_gives_the_same_results(spark, uneven_day, large_sides, monkeypatch, name):
+    monkeypatch.setattr(book, "KEYS_IN_A_PART", 64)
+    assert spark_table(QUERIES[name](spark, uneven_day)) == sql_table(connect(uneven_day), ORACLE[name])
+
+
+def test_orders_of_an_uneven_day_meet_in_bounded_parts(spark, uneven_day, large_sides, monkeypatch):
+    monkeypatch.setattr(book, "KEYS_IN_A_PART", 64)
+    loans = book._loans(spark, uneven_day, date(2001, 8, 31))
+    day = spark.read.parquet(f"{uneven_day}/orders.parquet").groupBy("o_custkey", "o_orderdate").count()
+    assert day.agg({"count": "max"}).first()[0] > 64 * 3
+    plan = physical(loans)
+    windows = [line.split("windowspecdefinition(")[1] for line in plan if "Window [" in line]
+    ranked = [w for w in windows if w.split(" ASC")[0].count("#") >= 5]
+    # rows are numbered by customer, day, time and part; the other windows run over counts
+    assert len(windows) == 3 and len(ranked) == 1 and "row_number" in "".join(line for line in plan if "Window [" in line)
+    parts = spark.read.parquet(f"{uneven_day}/orders.parquet").selectExpr("o_custkey", "o_orderdate", "floor(o_orderkey / 64) AS part")
+    assert parts.groupBy(*parts.columns).count().agg({"count": "max"}).first()[0] <= 64
+    joins = [line for line in plan if "SortMergeJoin" in line and "part" in line]
+    assert joins and "part" in joins[0]  # the orders' own join is by part as well
+
+
 def test_uneven_order_is_one_row_per_line_number_when_joined(spark, uneven):
     from workload.book import _lines
 

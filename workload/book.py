@@ -13,6 +13,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskbook.operators.rows import numbered
 from riskbook.schema import LEDGER
 
 
@@ -73,42 +74,33 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Order keys that may lie in one part of a customer's day: no more orders than that meet in one task.
+KEYS_IN_A_PART = 1 << 20
+
+
 def _loans(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
     """One row per order, with its customer's place and its number among the customer's orders.
 
-    The number is the customer's orders on earlier days plus the rank within
-    the day.  Orders meet per customer and day; per customer only the day
-    counts meet, at most one row per calendar day.  Orders after ``as_of``
-    cannot change the number of an earlier one, so the scan leaves them out.
+    Orders meet per customer, time and range of order keys, so even a customer's single day with
+    a third of all orders is spread; per customer only the counts of days meet, and per customer and day the
+    counts of its times and key ranges.  Orders after ``as_of`` cannot change the number
+    of an earlier one, so the scan leaves them out.
     """
     orders = table(spark, folder, "orders")
     cutoff = F.lit(str(as_of + timedelta(1))).cast(orders.schema["o_orderdate"].dataType)
     orders = orders.where(F.col("o_orderdate") < cutoff).selectExpr(
-        "o_orderkey", "o_custkey", "o_orderdate", "to_date(o_orderdate) AS BD"
-    )
-    per_day = (
-        orders.groupBy("o_custkey", "BD")
-        .agg(F.expr("count(1) AS n"))
-        .selectExpr(
-            "o_custkey",
-            "BD",
-            """coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY BD
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier""",
-        )
+        "o_orderkey AS LOAN_ID",
+        "o_custkey AS CUST",
+        "o_orderdate",
+        "to_date(o_orderdate) AS BD",
+        f"floor(o_orderkey / {KEYS_IN_A_PART}) AS part",
     )
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    nations = table(spark, folder, "nation").selectExpr("n_nationkey AS NATION", "n_regionkey AS REGION")
     places = (
         table(spark, folder, "customer")
-        .select("c_custkey", "c_nationkey")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    per_day = per_day.join(places, F.col("o_custkey") == F.col("c_custkey"))
-    return orders.join(per_day, ["o_custkey", "BD"]).selectExpr(
-        "o_orderkey AS LOAN_ID",
-        "o_custkey AS CUST",
-        "c_nationkey AS NATION",
-        "n_regionkey AS REGION",
-        "BD",
-        """earlier + row_number() OVER (PARTITION BY o_custkey, BD
-                                        ORDER BY o_orderdate, o_orderkey) AS K""",
+        .selectExpr("c_custkey AS CUST", "c_nationkey AS NATION")
+        .join(nations, "NATION")
     )
+    levels = [["BD"], ["o_orderdate", "part"]]
+    placed = numbered(orders, ["CUST"], levels, ["LOAN_ID"], "K", beside=places)
+    return placed.select("LOAN_ID", "CUST", "NATION", "REGION", "BD", "K")

@@ -18,13 +18,13 @@ left out.
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -42,10 +42,13 @@ BROADCAST_ROWS = 200_000
 
 # -- encoding ----------------------------------------------------------------------
 
+# Letters, numbers and white space up to U+024F, the same in every library and release.
+LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "\t\n\x0b\x0c\r \x85\xa0"
+PLAIN = re.compile("[\x00-ɏ]*")
 #: Byte-level BPE splits a text like this before it merges anything.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters whose classes are the same for every library and release: up to U+024F, without four separators.
-PLAIN = regex.compile("[\x00-\x1b\x20-ɏ]*")
+WORDS = re.compile(
+    f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
+)
 
 
 def byte_letters() -> dict[int, str]:
@@ -55,14 +58,27 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Places(dict):
+    """Place of each piece of text in an encoder's table; a new one is put there when it is first looked up."""
+
+    def __init__(self, add):
+        self.add = add
+
+    def __missing__(self, piece: str) -> int:
+        at = self[piece] = self.add(piece)
+        return at
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer; each different word goes through its model once.
 
-    Texts with characters beyond `PLAIN` or one of the tokenizer's own tokens are encoded whole by
-    the tokenizer.  The table of words is emptied when it holds `MOST` words.
+    A space between two characters that are no white space always begins a word, so a text is cut at its
+    spaces, and the ids of what stands between two spaces are looked up together.  Texts with other white space
+    next to a space are split word by word, and texts with characters beyond `PLAIN` or one of the
+    tokenizer's own tokens are encoded whole by the tokenizer.  The table is emptied when it holds `MOST` pieces.
     """
 
-    MOST = 500_000
+    MOST = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -70,38 +86,58 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.own = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(WORDS).findall
         self.letters = byte_letters()
+        self.edges = frozenset(SPACES)
         self.empty()
 
     def empty(self) -> None:
-        self.places: dict[str, int] = {}
+        self.words, self.firsts, self.others = Places(self.add_word), Places(self.add_first), Places(self.add_other)
         self.starts, self.ids = array("q", [0]), array("I")
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def add(self, word: str) -> int:
-        at = self.places[word] = len(self.places)
-        shown = word.encode().decode("latin-1").translate(self.letters)
-        self.ids.extend([t.id for t in self.model.tokenize(shown)])
+    def add(self, ids) -> int:
+        self.ids.extend(ids)
         self.starts.append(len(self.ids))
-        return at
+        return len(self.starts) - 2
+
+    def add_word(self, word: str) -> int:
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        return self.add([t.id for t in self.model.tokenize(shown)])
+
+    def add_words(self, places: list[int]) -> int:
+        """Place of the ids of several words in a row."""
+        return self.add([i for at in places for i in self.ids[self.starts[at] : self.starts[at + 1]]])
+
+    def add_first(self, run: str) -> int:
+        """Place of what a text begins with; -1 if white space stands at its end."""
+        return -1 if run and run[-1] in self.edges else self.add_words([self.words[w] for w in WORDS.findall(run)])
+
+    def add_other(self, run: str) -> int:
+        """Place of what follows a space, with that space; -1 if other white space stands next to it."""
+        if run.isalpha():
+            return self.add_word(f" {run}")
+        if not run or run[0] in self.edges or run[-1] in self.edges:
+            return -1
+        if run[:-1].isalpha() and run[-1] in ".,;:!?":
+            return self.add_words([self.others[run[:-1]], self.words[run[-1]]])
+        return self.add_words([self.words[w] for w in WORDS.findall(f" {run}")])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's number of ids."""
-        if len(self.places) > self.MOST:
+        if len(self.starts) > self.MOST:
             self.empty()
-        known, add = self.places, self.add
-        codes: list[int] = []
+        others, codes = self.others.__getitem__, []
         words, whole = np.zeros(len(texts), np.int64), {}
         for i, text in enumerate(texts):
-            if PLAIN.fullmatch(text) and not any(t in text for t in self.own):
-                found = self.split(text)
+            if (text.isascii() or PLAIN.fullmatch(text)) and not any(t in text for t in self.own):
+                first, *rest = text.split(" ")
+                found = [self.firsts[first], *map(others, rest)]
+                if -1 in found:
+                    found = list(map(self.words.__getitem__, WORDS.findall(text)))
                 words[i] = len(found)
-                for word in found:
-                    at = known.get(word)
-                    codes.append(add(word) if at is None else at)
+                codes += found
             else:
                 whole[i] = self.whole(text)
         code = np.array(codes, np.int64)

@@ -39,8 +39,11 @@ def test_ids_equal_the_tokenizers(tokenizer, encoder, documents):
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids, text[:60]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=60))
+SPACED = st.text(st.sampled_from("aé1,' \n\t\x85\xa0\x1c"), max_size=30)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text(max_size=60) | SPACED)
 def test_ids_of_any_text(encoder, text):
     assert ids_of(encoder, [text])[0] == list(encoder.whole(text))
 

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbook.llm.storage import store
-from riskbook.llm.text import slices
+from riskbook.llm.text import as_text
 
 CAPACITY = 1024
 END_ID = 2
@@ -44,11 +45,15 @@ BROADCAST_ROWS = 200_000
 
 # Letters, numbers and white space up to U+024F, the same in every library and release.
 LETTERS, NUMBERS, SPACES = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "\t\n\x0b\x0c\r \x85\xa0"
-PLAIN = re.compile("[\x00-ɏ]*")
+BEYOND = "[^\x00-ɏ]"
 #: Byte-level BPE splits a text like this before it merges anything.
 WORDS = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
+#: What often stands at the end of a word and is a word of its own there.
+MARKS = frozenset(".,;:!?")
+#: Bytes of text that are encoded at once.
+SLICE_BYTES = 4_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -72,13 +77,13 @@ class Places(dict):
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer; each different word goes through its model once.
 
-    A space between two characters that are no white space always begins a word, so a text is cut at its
+    A space between two characters that are no white space always begins a word, so texts are cut at their
     spaces, and the ids of what stands between two spaces are looked up together.  Texts with other white space
-    next to a space are split word by word, and texts with characters beyond `PLAIN` or one of the
-    tokenizer's own tokens are encoded whole by the tokenizer.  The table is emptied when it holds `MOST` pieces.
+    next to a space, with characters beyond U+024F, or with one of the tokenizer's own tokens are
+    encoded whole by the tokenizer.  The table is emptied when it holds `MOST` pieces.
     """
 
-    MOST = 600_000
+    MOST = 500_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -97,7 +102,7 @@ class Encoder:
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def add(self, ids) -> int:
+    def add(self, ids: list[int]) -> int:
         self.ids.extend(ids)
         self.starts.append(len(self.ids))
         return len(self.starts) - 2
@@ -120,40 +125,82 @@ class Encoder:
             return self.add_word(f" {run}")
         if not run or run[0] in self.edges or run[-1] in self.edges:
             return -1
-        if run[:-1].isalpha() and run[-1] in ".,;:!?":
-            return self.add_words([self.others[run[:-1]], self.words[run[-1]]])
         return self.add_words([self.words[w] for w in WORDS.findall(f" {run}")])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def learn(self, runs: list[str]) -> None:
+        """Put all new words of letters, and those with a mark after them, into the table together."""
+        known = self.others
+        fresh = [run for run in runs if run not in known]
+        cores = (run if run.isalpha() else run[:-1] for run in fresh)
+        words = list(dict.fromkeys(core for core in cores if core.isalpha() and core not in known))
+        shown = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
+        space, first = self.letters[32], len(self.starts) - 1
+        tokens = [self.model.tokenize(space + word) for word in shown] if words else []
+        ids, lengths = [t.id for found in tokens for t in found], [len(found) for found in tokens]
+        self.append(np.array(ids, np.uint32), np.array(lengths, np.int64))
+        known.update(zip(words, range(first, first + len(words)), strict=True))
+
+        marked = [run for run in fresh if run[-1:] in MARKS and run[:-1].isalpha()]
+        if marked:
+            core = np.fromiter((known[run[:-1]] for run in marked), np.int64, len(marked))
+            mark = np.fromiter((self.words[run[-1]] for run in marked), np.int64, len(marked))
+            first = len(self.starts) - 1
+            ids, lengths = self.gathered(np.stack([core, mark], 1).ravel())
+            self.append(ids, lengths.reshape(-1, 2).sum(1))
+            known.update(zip(marked, range(first, first + len(marked)), strict=True))
+
+    def append(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        end = len(self.ids)
+        self.ids.frombytes(ids.tobytes())
+        self.starts.frombytes((np.cumsum(lengths) + end).tobytes())
+
+    def gathered(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of places in a row, and each place's number of ids."""
+        starts, table = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
+        count = starts[code + 1] - starts[code]
+        at = np.repeat(starts[code] - np.cumsum(count) + count, count)
+        at += np.arange(len(at))
+        return table[at], count
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's number of ids."""
         if len(self.starts) > self.MOST:
             self.empty()
-        others, codes = self.others.__getitem__, []
-        words, whole = np.zeros(len(texts), np.int64), {}
-        for i, text in enumerate(texts):
-            if (text.isascii() or PLAIN.fullmatch(text)) and not any(t in text for t in self.own):
-                first, *rest = text.split(" ")
-                found = [self.firsts[first], *map(others, rest)]
-                if -1 in found:
-                    found = list(map(self.words.__getitem__, WORDS.findall(text)))
-                words[i] = len(found)
-                codes += found
-            else:
-                whole[i] = self.whole(text)
-        code = np.array(codes, np.int64)
-        starts, table = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
-        count = (starts[code + 1] - starts[code]) if len(code) else code
-        ends = np.concatenate([[0], np.cumsum(count)])
-        at = np.repeat((starts[code] if len(code) else code) - ends[:-1], count) + np.arange(ends[-1])
-        ids = table[at] if len(at) else np.zeros(0, np.uint32)
-        lengths = np.diff(ends[np.concatenate([[0], np.cumsum(words)])])
-        if whole:
+        texts = as_text(column)
+        odd = pc.match_substring_regex(texts, BEYOND)
+        for token in self.own:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        runs = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
+        cuts = runs.offsets.to_numpy() - runs.offsets[0].as_py()
+        flat = runs.flatten()
+        coded = flat.dictionary_encode()
+        values = coded.dictionary.to_pylist()
+        self.learn(values)
+        places = np.fromiter(map(self.others.__getitem__, values), np.int64, len(values))
+        code = places[coded.indices.to_numpy()]
+        firsts = flat.take(pa.array(cuts[:-1])).to_pylist()
+        code[cuts[:-1]] = np.fromiter(map(self.firsts.__getitem__, firsts), np.int64, len(firsts))
+        odd = odd.to_numpy(zero_copy_only=False)
+        odd[np.searchsorted(cuts, np.flatnonzero(code < 0), "right") - 1] = True
+        code[np.repeat(odd, np.diff(cuts))] = self.firsts[""]  # without ids
+        ids, count = self.gathered(code)
+        lengths = np.diff(np.concatenate([[0], np.cumsum(count)])[cuts])
+        if odd.any():
             parts = np.split(ids, np.cumsum(lengths)[:-1])
-            for i, found in whole.items():
-                parts[i] = np.array(found, np.uint32)
-                lengths[i] = len(found)
+            for i in np.flatnonzero(odd):
+                parts[i] = np.array(self.whole(texts[i].as_py()), np.uint32)
+                lengths[i] = len(parts[i])
             ids = np.concatenate(parts)
-        return ids.astype(np.uint32), lengths
+        return ids, lengths
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about SLICE_BYTES of text; a longer text is a piece alone."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES)) + 1
+    for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        if end > start:
+            yield batch.slice(start, end - start)
 
 
 # -- the plan ----------------------------------------------------------------------
@@ -225,8 +272,8 @@ def _cut(tokenizer: str, capacity: int, end_id: int):
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for rows in slices(batch):
-                ids, lengths = encoder.encode([t or "" for t in rows.column("text").to_pylist()])
+            for rows in _slices(batch):
+                ids, lengths = encoder.encode(rows.column("text"))
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 lengths = lengths + 1
                 many = -(-lengths // capacity)

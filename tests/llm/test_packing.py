@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -29,7 +30,7 @@ def encoder():
 
 
 def ids_of(encoder, texts):
-    ids, lengths = encoder.encode(texts)
+    ids, lengths = encoder.encode(pa.array(texts, pa.string()))
     return [part.tolist() for part in np.split(ids, np.cumsum(lengths)[:-1])]
 
 

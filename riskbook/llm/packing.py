@@ -19,7 +19,6 @@ left out.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,9 +50,9 @@ WORDS = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
 #: What often stands at the end of a word and is a word of its own there.
-MARKS = frozenset(".,;:!?")
+MARKS = [".", ",", ";", ":", "!", "?"]
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 16_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -63,28 +62,37 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class Places(dict):
-    """Place of each piece of text in an encoder's table; a new one is put there when it is first looked up."""
+class Rows:
+    """Rows of ids, one after the other."""
 
-    def __init__(self, add):
-        self.add = add
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray):
+        self.ids, self.lengths = ids, lengths
+        self.starts = np.cumsum(lengths) - lengths
 
-    def __missing__(self, piece: str) -> int:
-        at = self[piece] = self.add(piece)
-        return at
+    @classmethod
+    def of(cls, rows: list[list[int]]) -> Rows:
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        return cls(np.fromiter((i for row in rows for i in row), np.uint32, int(lengths.sum())), lengths)
+
+    def __add__(self, other: Rows) -> Rows:
+        return Rows(np.concatenate([self.ids, other.ids]), np.concatenate([self.lengths, other.lengths]))
+
+    def take(self, which: np.ndarray) -> Rows:
+        lengths = self.lengths[which]
+        at = np.repeat(self.starts[which] - np.cumsum(lengths) + lengths, lengths)
+        at += np.arange(len(at))
+        return Rows(self.ids[at], lengths)
 
 
 class Encoder:
-    """Ids of texts by a byte-level BPE tokenizer; each different word goes through its model once.
+    """Ids of texts by a byte-level BPE tokenizer; each different word of a slice goes through its model once.
 
     A space between two characters that are no white space always begins a word, so texts are cut at their
-    spaces, and the ids of what stands between two spaces are looked up together.  Texts with other white space
+    spaces, and equal runs between two spaces are encoded once.  Texts with other white space
     next to a space, with characters beyond U+024F, or with one of the tokenizer's own tokens are
-    encoded whole by the tokenizer.  The table is emptied when it holds `MOST` pieces.
+    encoded whole by the tokenizer.
     """
 
-    MOST = 500_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -93,105 +101,89 @@ class Encoder:
         self.own = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.edges = frozenset(SPACES)
-        self.empty()
-
-    def empty(self) -> None:
-        self.words, self.firsts, self.others = Places(self.add_word), Places(self.add_first), Places(self.add_other)
-        self.starts, self.ids = array("q", [0]), array("I")
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def add(self, ids: list[int]) -> int:
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
-        return len(self.starts) - 2
-
-    def add_word(self, word: str) -> int:
-        shown = word.encode().decode("latin-1").translate(self.letters)
-        return self.add([t.id for t in self.model.tokenize(shown)])
-
-    def add_words(self, places: list[int]) -> int:
-        """Place of the ids of several words in a row."""
-        return self.add([i for at in places for i in self.ids[self.starts[at] : self.starts[at + 1]]])
-
-    def add_first(self, run: str) -> int:
-        """Place of what a text begins with; -1 if white space stands at its end."""
-        return -1 if run and run[-1] in self.edges else self.add_words([self.words[w] for w in WORDS.findall(run)])
-
-    def add_other(self, run: str) -> int:
-        """Place of what follows a space, with that space; -1 if other white space stands next to it."""
-        if run.isalpha():
-            return self.add_word(f" {run}")
-        if not run or run[0] in self.edges or run[-1] in self.edges:
-            return -1
-        return self.add_words([self.words[w] for w in WORDS.findall(f" {run}")])
-
-    def learn(self, runs: list[str]) -> None:
-        """Put all new words of letters, and those with a mark after them, into the table together."""
-        known = self.others
-        fresh = [run for run in runs if run not in known]
-        cores = (run if run.isalpha() else run[:-1] for run in fresh)
-        words = list(dict.fromkeys(core for core in cores if core.isalpha() and core not in known))
-        shown = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
-        space, first = self.letters[32], len(self.starts) - 1
-        tokens = [self.model.tokenize(space + word) for word in shown] if words else []
-        ids, lengths = [t.id for found in tokens for t in found], [len(found) for found in tokens]
-        self.append(np.array(ids, np.uint32), np.array(lengths, np.int64))
-        known.update(zip(words, range(first, first + len(words)), strict=True))
-
-        marked = [run for run in fresh if run[-1:] in MARKS and run[:-1].isalpha()]
-        if marked:
-            core = np.fromiter((known[run[:-1]] for run in marked), np.int64, len(marked))
-            mark = np.fromiter((self.words[run[-1]] for run in marked), np.int64, len(marked))
-            first = len(self.starts) - 1
-            ids, lengths = self.gathered(np.stack([core, mark], 1).ravel())
-            self.append(ids, lengths.reshape(-1, 2).sum(1))
-            known.update(zip(marked, range(first, first + len(marked)), strict=True))
-
-    def append(self, ids: np.ndarray, lengths: np.ndarray) -> None:
-        end = len(self.ids)
-        self.ids.frombytes(ids.tobytes())
-        self.starts.frombytes((np.cumsum(lengths) + end).tobytes())
-
-    def gathered(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of places in a row, and each place's number of ids."""
-        starts, table = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
-        count = starts[code + 1] - starts[code]
-        at = np.repeat(starts[code] - np.cumsum(count) + count, count)
-        at += np.arange(len(at))
-        return table[at], count
+    def shown(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
+
+    def words(self, text: str) -> list[int]:
+        """Ids of a short text, split into words."""
+        return [t.id for word in WORDS.findall(text) for t in self.model.tokenize(self.shown(word))]
+
+    def runs(self, runs: pa.Array) -> tuple[Rows, np.ndarray]:
+        """Ids of different runs between spaces, each with the space before it, and which of them do not stand for
+        themselves because other white space is next to a space.
+
+        Most are a word of letters, or one with a mark after it; those are told from the rest, and the words' ids found,
+        for all runs together.
+        """
+        stem, last = pc.utf8_slice_codeunits(runs, 0, -1), pc.utf8_slice_codeunits(runs, -1)
+        alone = pc.utf8_is_alpha(runs)
+        marked = pc.and_(pc.is_in(last, pa.array(MARKS, last.type)), pc.utf8_is_alpha(stem))
+        core = pc.if_else(alone, runs, pc.if_else(marked, stem, pa.scalar(None, runs.type))).dictionary_encode()
+        words = self.shown("\n".join(core.dictionary.to_pylist())).split(self.letters[10])
+        words = words[: len(core.dictionary)]
+        space, tokenize = self.letters[32], self.model.tokenize
+        table = Rows.of([[t.id for t in tokenize(space + word)] for word in words])
+        first = pc.fill_null(core.indices, -1).to_numpy().astype(np.int64)
+
+        alone, marked = (x.to_numpy(zero_copy_only=False) for x in (alone, marked))
+        rest = np.flatnonzero(~alone & ~marked)
+        texts = runs.take(pa.array(rest)).to_pylist()
+        torn = [not t or t[0] in self.edges or t[-1] in self.edges for t in texts]
+        marks = len(table.lengths)
+        table += Rows.of([self.words(mark) for mark in MARKS])
+        others = len(table.lengths)
+        table += Rows.of([[] if bad else self.words(f" {t}") for t, bad in zip(texts, torn, strict=True)])
+        nothing = len(table.lengths)
+        table += Rows.of([[]])
+
+        first[rest] = others + np.arange(len(rest))
+        second = np.full(len(runs), nothing)
+        second[marked] = marks + pc.index_in(last, pa.array(MARKS, last.type)).to_numpy(zero_copy_only=False)[marked].astype(np.int64)
+        both = table.take(np.stack([first, second], 1).ravel())
+        lost = np.zeros(len(runs), bool)
+        lost[rest] = torn
+        return Rows(both.ids, both.lengths.reshape(-1, 2).sum(1)), lost
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's number of ids."""
-        if len(self.starts) > self.MOST:
-            self.empty()
         texts = as_text(column)
         odd = pc.match_substring_regex(texts, BEYOND)
         for token in self.own:
             odd = pc.or_(odd, pc.match_substring(texts, token))
-        runs = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
-        cuts = runs.offsets.to_numpy() - runs.offsets[0].as_py()
-        flat = runs.flatten()
-        coded = flat.dictionary_encode()
-        values = coded.dictionary.to_pylist()
-        self.learn(values)
-        places = np.fromiter(map(self.others.__getitem__, values), np.int64, len(values))
-        code = places[coded.indices.to_numpy()]
-        firsts = flat.take(pa.array(cuts[:-1])).to_pylist()
-        code[cuts[:-1]] = np.fromiter(map(self.firsts.__getitem__, firsts), np.int64, len(firsts))
-        odd = odd.to_numpy(zero_copy_only=False)
-        odd[np.searchsorted(cuts, np.flatnonzero(code < 0), "right") - 1] = True
-        code[np.repeat(odd, np.diff(cuts))] = self.firsts[""]  # without ids
-        ids, count = self.gathered(code)
-        lengths = np.diff(np.concatenate([[0], np.cumsum(count)])[cuts])
-        if odd.any():
-            parts = np.split(ids, np.cumsum(lengths)[:-1])
-            for i in np.flatnonzero(odd):
-                parts[i] = np.array(self.whole(texts[i].as_py()), np.uint32)
-                lengths[i] = len(parts[i])
-            ids = np.concatenate(parts)
-        return ids, lengths
+        split = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
+        cuts = split.offsets.to_numpy().astype(np.int64)
+        cuts -= cuts[0]
+        coded = split.flatten().dictionary_encode()
+        heads = coded.dictionary.take(coded.indices.take(pa.array(cuts[:-1]))).to_pylist()  # no space before them
+        table, lost = self.runs(coded.dictionary)
+        code = coded.indices.to_numpy().astype(np.int64)
+        bad = lost[code]
+        bad[cuts[:-1]] = [bool(h) and h[-1] in self.edges for h in heads]
+        code[cuts[:-1]] = len(table.lengths) + np.arange(len(heads))
+        table += Rows.of([self.words(h) for h in heads])
+        odd = odd.to_numpy(zero_copy_only=False).copy()
+        odd[np.searchsorted(cuts, np.flatnonzero(bad), "right") - 1] = True
+        out, lengths = [], np.zeros(len(texts), np.int64)
+        for i, j in self.parts(cuts, odd):
+            if odd[i]:
+                out.append(np.array(self.whole(texts[i].as_py()), np.uint32))
+                lengths[i] = len(out[-1])
+            else:
+                found = table.take(code[cuts[i] : cuts[j]])
+                out.append(found.ids)
+                lengths[i:j] = np.diff(np.concatenate([[0], np.cumsum(found.lengths)])[cuts[i : j + 1] - cuts[i]])
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), lengths
+
+    @staticmethod
+    def parts(cuts: np.ndarray, odd: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Spans of texts that are gathered together: odd ones alone, the others up to about 2 ** 19 runs."""
+        change = odd[1:] | odd[:-1] | (np.diff(cuts[:-1] >> 19) > 0)
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), len(odd)]
+        yield from ((i, j) for i, j in zip(edges[:-1], edges[1:], strict=True) if j > i)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -256,19 +248,25 @@ def slots(runs: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.nd
 # -- Spark -------------------------------------------------------------------------
 
 
-def _bytes_of(ids: np.ndarray) -> bytes:
-    """Ids as a compressed block."""
-    narrow = ids.astype("<u2") if len(ids) and ids.max() < 1 << 16 else ids.astype("<u4")
-    return bytes([narrow.itemsize]) + zstandard.compress(narrow.tobytes(), 1)
+class Blocks:
+    """Ids as compressed blocks, and back."""
+
+    def __init__(self):
+        self.shrink, self.grow = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
 
+    def of(self, ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        """A block for each part of the ids between two cuts."""
+        narrow = ids.astype("<u2") if not len(ids) or ids.max() < 1 << 16 else ids.astype("<u4")
+        mark = bytes([narrow.itemsize])
+        return [mark + self.shrink(narrow[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
-def _ids_of(block: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(block[1:]), f"<u{block[0]}").astype("<u4")
+    def ids(self, block: bytes) -> np.ndarray:
+        return np.frombuffer(self.grow(memoryview(block)[1:]), f"<u{block[0]}").astype("<u4")
 
 
 def _cut(tokenizer: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder, blocks = Encoder(tokenizer), Blocks()
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
@@ -296,7 +294,7 @@ def _cut(tokenizer: str, capacity: int, end_id: int):
                         "length": pa.array(size, pa.int32()),
                         "task": pa.array(np.full(len(size), task), pa.int32()),
                         "nth": pa.array(nth),
-                        "ids": pa.array([_bytes_of(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                        "ids": pa.array(blocks.of(ids, cuts), pa.binary()),
                     }
                 )
 
@@ -339,6 +337,7 @@ def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sequences from pieces in the order of sequence and offset."""
     held: pa.RecordBatch | None = None
+    blocks = Blocks()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -347,16 +346,16 @@ def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(np.searchsorted(sequence, sequence[-1]))  # the last sequence may go on in the next batch
         held = rows.slice(last)
         if last:
-            yield _rows_of(rows.slice(0, last))
+            yield _rows_of(rows.slice(0, last), blocks)
     if held is not None:
-        yield _rows_of(held)
+        yield _rows_of(held, blocks)
 
 
-def _rows_of(rows: pa.RecordBatch) -> pa.RecordBatch:
+def _rows_of(rows: pa.RecordBatch, compressed: Blocks) -> pa.RecordBatch:
     sequence = rows.column("sequence_id").to_numpy()
     firsts = np.flatnonzero(np.concatenate([[True], sequence[1:] != sequence[:-1]]))
     ends = np.concatenate([firsts, [len(sequence)]])
-    blocks = [_ids_of(block) for block in rows.column("ids").to_pylist()]
+    blocks = [compressed.ids(block) for block in rows.column("ids").to_pylist()]
     names = ["doc_id", "piece", "start", "length", "offset"]
     members = pa.StructArray.from_arrays([rows.column(n) for n in names], names)
     return pa.RecordBatch.from_pydict(
@@ -385,9 +384,10 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
 
 def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    blocks = Blocks()
     for batch in batches:
         if batch.num_rows:
-            yield _rows_of(batch)
+            yield _rows_of(batch, blocks)
 
 
 def digests(sequences: DataFrame) -> DataFrame:

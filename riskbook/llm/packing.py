@@ -22,7 +22,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -51,8 +50,10 @@ WORDS = re.compile(
 )
 #: What often stands at the end of a word and is a word of its own there.
 MARKS = [".", ",", ";", ":", "!", "?"]
+#: Words whose ids are Python objects at once.
+CHUNK = 20_000
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 3_000_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -74,8 +75,9 @@ class Rows:
         lengths = np.fromiter(map(len, rows), np.int64, len(rows))
         return cls(np.fromiter((i for row in rows for i in row), np.uint32, int(lengths.sum())), lengths)
 
-    def __add__(self, other: Rows) -> Rows:
-        return Rows(np.concatenate([self.ids, other.ids]), np.concatenate([self.lengths, other.lengths]))
+    @classmethod
+    def joined(cls, parts: list[Rows]) -> Rows:
+        return cls(np.concatenate([p.ids for p in parts]), np.concatenate([p.lengths for p in parts]))
 
     def take(self, which: np.ndarray) -> Rows:
         lengths = self.lengths[which]
@@ -126,7 +128,8 @@ class Encoder:
         words = self.shown("\n".join(core.dictionary.to_pylist())).split(self.letters[10])
         words = words[: len(core.dictionary)]
         space, tokenize = self.letters[32], self.model.tokenize
-        table = Rows.of([[t.id for t in tokenize(space + word)] for word in words])
+        found = [Rows.of([[t.id for t in tokenize(space + w)] for w in words[i : i + CHUNK]]) for i in range(0, len(words), CHUNK)]
+        table = Rows.joined([Rows.of([]), *found])
         first = pc.fill_null(core.indices, -1).to_numpy().astype(np.int64)
 
         alone, marked = (x.to_numpy(zero_copy_only=False) for x in (alone, marked))
@@ -134,11 +137,10 @@ class Encoder:
         texts = runs.take(pa.array(rest)).to_pylist()
         torn = [not t or t[0] in self.edges or t[-1] in self.edges for t in texts]
         marks = len(table.lengths)
-        table += Rows.of([self.words(mark) for mark in MARKS])
-        others = len(table.lengths)
-        table += Rows.of([[] if bad else self.words(f" {t}") for t, bad in zip(texts, torn, strict=True)])
-        nothing = len(table.lengths)
-        table += Rows.of([[]])
+        others, nothing = marks + len(MARKS), marks + len(MARKS) + len(rest)
+        seconds = Rows.of([self.words(mark) for mark in MARKS])
+        found = Rows.of([[] if bad else self.words(f" {t}") for t, bad in zip(texts, torn, strict=True)])
+        table = Rows.joined([table, seconds, found, Rows.of([[]])])
 
         first[rest] = others + np.arange(len(rest))
         second = np.full(len(runs), nothing)
@@ -164,7 +166,7 @@ class Encoder:
         bad = lost[code]
         bad[cuts[:-1]] = [bool(h) and h[-1] in self.edges for h in heads]
         code[cuts[:-1]] = len(table.lengths) + np.arange(len(heads))
-        table += Rows.of([self.words(h) for h in heads])
+        table = Rows.joined([table, Rows.of([self.words(h) for h in heads])])
         odd = odd.to_numpy(zero_copy_only=False).copy()
         odd[np.searchsorted(cuts, np.flatnonzero(bad), "right") - 1] = True
         out, lengths = [], np.zeros(len(texts), np.int64)
@@ -309,29 +311,39 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     return store(docs.select("doc_id", "text").mapInArrow(_cut(tokenizer, capacity, end_id), schema), "pieces")
 
 
-def placed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Stored pieces with the sequence and the offset that the plan gives them."""
+def ranked(cut: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Stored pieces with their rank among all pieces of their length, and the plan that gives each rank its slot."""
     counted = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     ahead = store(counted.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0))), "ahead")
-    found = ahead.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
-    counts = np.zeros(capacity + 1, np.int64)
+    found = ahead.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most one row for each length
+    counts = np.zeros(max((row["length"] for row in found), default=0) + 1, np.int64)
     for row in found:
         counts[row["length"]] = row["n"]
-    runs = plan(counts)
-    columns = [runs[name] for name in RUN.names]
-
-    @F.pandas_udf("sequence_id long, offset int")
-    def slot(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        planned = np.rec.fromarrays(columns, RUN)
-        sequence, offset = slots(planned, length.to_numpy(np.int64), rank.to_numpy(np.int64))
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset.astype(np.int32)})
-
     ahead = ahead.select("task", "length", "ahead")
     if ahead.count() <= BROADCAST_ROWS:
         ahead = F.broadcast(ahead)
-    ranked = cut.join(ahead, ["task", "length"]).withColumn("slot", slot("length", F.col("nth") + F.col("ahead")))
-    return ranked.select("doc_id", "piece", "start", "length", "ids", "slot.sequence_id", "slot.offset")
+    rows = cut.join(ahead, ["task", "length"])
+    return rows.select("doc_id", "piece", "start", "length", "ids", (F.col("nth") + F.col("ahead")).alias("rank")), counts
+
+
+def _slotted(runs: np.ndarray, whole: bool):
+    """Pieces with their sequence and offset; `whole` ones as the sequences that they are."""
+    columns = [runs[name] for name in RUN.names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planned, blocks = np.rec.fromarrays(columns, RUN), Blocks()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            length, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "rank"))
+            sequence, offset = slots(planned, length, rank)
+            names = ["doc_id", "piece", "start", "length", "ids"]
+            arrays = [*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset, pa.int32())]
+            rows = pa.RecordBatch.from_arrays(arrays, names=[*names, "sequence_id", "offset"])
+            yield _rows_of(rows, blocks) if whole else rows
+
+    return run
 
 
 def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,20 +386,16 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     `pieces` is an array of (doc_id, piece, start, length, offset) in the order of offset.  A piece that
     fills a sequence alone is not moved.
     """
-    rows = placed(pieces(docs, tokenizer, capacity, end_id), capacity)
+    rows, counts = ranked(pieces(docs, tokenizer, capacity, end_id))
+    runs = plan(np.concatenate([counts, np.zeros(capacity + 1 - len(counts), np.int64)]))
     kind = docs.schema["doc_id"].dataType
     member = T.StructType().add("doc_id", kind).add("piece", "integer").add("start", "long").add("length", "integer").add("offset", "integer")
     schema = T.StructType().add("sequence_id", "long").add("n_tokens", "integer").add("ids", "binary").add("pieces", T.ArrayType(member))
-    shared = rows.where(F.col("length") < capacity).repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
-    alone = rows.where(F.col("length") == capacity)
-    return alone.mapInArrow(_alone, schema).unionByName(shared.mapInArrow(_assembled, schema))
-
-
-def _alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    blocks = Blocks()
-    for batch in batches:
-        if batch.num_rows:
-            yield _rows_of(batch, blocks)
+    slotted = f"doc_id {kind.simpleString()}, piece int, start long, length int, ids binary, sequence_id long, offset int"
+    shared = rows.where(F.col("length") < capacity).mapInArrow(_slotted(runs, whole=False), slotted)
+    shared = shared.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+    alone = rows.where(F.col("length") == capacity).mapInArrow(_slotted(runs, whole=True), schema)
+    return alone.unionByName(shared.mapInArrow(_assembled, schema))
 
 
 def digests(sequences: DataFrame) -> DataFrame:

@@ -53,13 +53,24 @@ def on_or_after(facts: DataFrame, floor: date) -> DataFrame:
     return facts.where(F.col("DATA_DT") >= F.lit(floor))
 
 
+def one_per_code(dimension: DataFrame, family: str) -> DataFrame:
+    """Codes of a family with one label each (``CODE``, ``NAME``): of several labels of a code the first in order."""
+    return dimension.where(F.col("COL") == family).groupBy("CODE").agg(F.min("NAME").alias("NAME"))
+
+
+def repeated_codes(dimension: DataFrame) -> DataFrame:
+    """Codes that the table lists more than once, with how often and under how many labels."""
+    listed = dimension.groupBy("COL", "CODE").agg(F.count("*").alias("listed"), F.count_distinct("NAME").alias("names"))
+    return listed.where("listed > 1")
+
+
 def lookup(df: DataFrame, dimension: DataFrame, family: str, key: str) -> DataFrame:
     """``df`` with ``code`` (the key) and ``name``, null where the code has no name.
 
-    No broadcast is forced: Spark broadcasts the code table when its measured
-    size is under the session's threshold and joins by shuffle beyond it.
+    A code that the table repeats adds no row.  No broadcast is forced: Spark broadcasts the
+    code table when its measured size is under the session's threshold and joins by shuffle beyond it.
     """
-    labels = dimension.where(F.col("COL") == family).selectExpr("CODE AS code", "NAME AS name")
+    labels = one_per_code(dimension, family).selectExpr("CODE AS code", "NAME AS name")
     return df.withColumnRenamed(key, "code").join(labels, "code", "left")
 
 

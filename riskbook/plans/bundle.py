@@ -7,20 +7,21 @@ report results, bounded by periods times codes; nothing here collects them.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import date
 from functools import partial
 from typing import NamedTuple
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from riskbook.functions.columns import percent_text
-from riskbook.operators.rows import everyone, without_code
 from riskbook.plans import lending, light, migration, month_30, overdue, reloan, structure, vintage
-from riskbook.plans.cadence import MONTH, Cadence, Options
-from riskbook.sources.tables import Population
+from riskbook.plans.cadence import Cadence, Options
+from riskbook.plans.sheets import Block, body_rows, places, read_sheets, sheet_rows, write_sheets
 
 
 class Place(NamedTuple):
@@ -139,8 +140,10 @@ def standard_reports(cadence: Cadence, ages: int, options: Options = Options())
         }
     if cadence.vintages:
         reports |= {
-            "vintage_amount": lambda f, d, c: vintage.vintage(f, ages, ordered=c.ordered),
-            "vintage_rate": lambda f, d, c: vintage.vintage_rates(vintage.vintage(f, ages, ordered=c.ordered)),
+            "vintage_amount": lambda f, d, c: vintage.vintage(f, ages, ordered=c.ordered, oldest=c.oldest),
+            "vintage_rate": lambda f, d, c: vintage.vintage_rates(
+                vintage.vintage(f, ages, ordered=c.ordered, oldest=c.oldest)
+            ),
         }
     return reports | {
         "reloan_overdue_by_date": reloan.reloan_overdue_by_date,
@@ -198,29 +201,80 @@ def standard_labels(cadence: Cadence, ages: int) -> dict[str, tuple[str, ...]]:
     }
 
 
-def month_30_bundle(
-    facts: DataFrame, ages: int, options: Options = Options(), excluded: Population = without_code
-) -> tuple[dict[str, DataFrame], list[Place], dict[str, tuple[str, ...]]]:
-    """The 30-day tables of both populations on both bases, stacked sheet by sheet."""
-    tables, layout, labels = {}, [], {}
-    runs = [(p, b) for p in (everyone, excluded) for b in month_30.BASES]
-    for n, (population, basis) in enumerate(runs, 1):
-        name = f"overdue_index_{n}"
-        tables[name] = month_30.overdue_index(population(facts), basis, options, ordered=True)
-        layout.append(Place(f"{INDEX_SHEET}{n}", name, 4))
-    for n, (population, basis) in enumerate(runs, 1):
-        sheet = f"{CAPITAL_SHEET}{n}"
-        above: list[str] = []
-        capital = month_30.capital_tables(population(facts), basis, ages, ordered=True)
-        for i, (kind, table) in enumerate(capital.items()):
-            name, row = f"{kind}_{n}", 3 + 3 * i
-            if i == 2:
-                layout.append(Place(sheet, None, row - 1, below=tuple(above), text=REPEAT_HEADING))
-            layout.append(Place(sheet, name, row, header=True, below=tuple(above)))
-            tables[name] = table
-            labels[name] = (*VINTAGE_LABELS, *vintage.age_labels(ages))
-            above.append(name)
-    return tables, layout, labels
+# First rows of the 30-day sheets and the rows between their blocks.
+INDEX_ROW, CAPITAL_ROW, BLOCK_GAP = 4, 3, 3
+
+
+def month_30_blocks(ages: int) -> list[Block]:
+    """The blocks of the 30-day sheets: an index for each run, and its four cohort tables one below the other."""
+    runs = range(1, len(month_30.RUNS) + 1)
+    labels = (*VINTAGE_LABELS, *vintage.age_labels(ages))
+    index = [Block(f"{INDEX_SHEET}{n}", 1, f"overdue_index_{n}", INDEX_ROW) for n in runs]
+    headings = {"reloan_vintage_amount": REPEAT_HEADING}
+    return index + [
+        Block(f"{CAPITAL_SHEET}{n}", place, f"{kind}_{n}", CAPITAL_ROW, labels, headings.get(kind))
+        for n in runs
+        for place, kind in enumerate(month_30.CAPITAL, 1)
+    ]
+
+
+def write_month_30(
+    spark: SparkSession, sums: DataFrame, ages: int, folder: str, run_date: date, options: Options = Options()
+) -> DataFrame:
+    """Writes the 30-day tables of all runs and their sheets; returns the manifest.
+
+    ``sums`` is the stored result of :func:`riskbook.plans.month_30.core`.  The index of all runs is one dataset by run,
+    amounts and rates are one each by run and loans; the sheets are written from those, and the manifest
+    from the sheets' places.
+    """
+    version = new_version()
+    base, runs = f"{folder}/version={version}", month_30.by_run(sums)
+    index, capital = month_30.overdue_index_of_runs(runs, options), month_30.capital_of_runs(runs, ages)
+    cells = {"amount": [f"m{a}" for a in range(ages)], "rate": [f"r{a} AS m{a}" for a in range(ages)]}
+    stored = {"overdue_index": _stored(index, f"{base}/report=overdue_index/run_date={run_date}", ["RUN"])}
+    for place, kind in enumerate(("amount", "rate"), 1):
+        of_kind = capital.where(f"block % 2 = {place % 2}").selectExpr(
+            "RUN", "CASE WHEN block > 2 THEN 'repeat' ELSE 'all' END AS loans", "day", "begin_month", "new_amt", *cells[kind]
+        )
+        path = f"{base}/report=vintage_{kind}/run_date={run_date}"
+        stored[f"vintage_{kind}"] = _stored(of_kind, path, ["RUN", "loans"])
+
+    columns = {name: [c for c in df.columns if c not in ("RUN", "loans", "day")] for name, df in stored.items()}
+    block = {"vintage_amount": "CASE loans WHEN 'all' THEN 1 ELSE 3 END", "vintage_rate": "CASE loans WHEN 'all' THEN 2 ELSE 4 END"}
+    bodies = [
+        body_rows(
+            df,
+            f"concat('{INDEX_SHEET if name == 'overdue_index' else CAPITAL_SHEET}', RUN)",
+            block.get(name, "1"),
+            "day",
+            [f"({percent_text(c)})" if kind == "double" else c for c, kind in df.select(*columns[name]).dtypes],
+        )
+        for name, df in stored.items()
+    ]
+    body = bodies[0].unionByName(bodies[1]).unionByName(bodies[2])
+    placed = places(spark, month_30_blocks(ages), body, BLOCK_GAP)
+    write_sheets(sheet_rows(placed, body), f"{base}/sheets/run_date={run_date}")
+
+    def path_of(table: str, run: str) -> str:
+        kind = table.rpartition("_")[0]
+        name = kind.removeprefix("reloan_")
+        loans = "" if name == "overdue_index" else f"/loans={'repeat' if kind != name else 'all'}"
+        return f"{base}/report={name}/run_date={run_date}/RUN={run}{loans}"
+
+    rows, width = [], {name: len(c) for name, c in columns.items()}
+    for r in sorted(placed.collect(), key=lambda r: (r["table"].startswith("overdue_index") is False, r["sheet"], r["block"])):
+        run, name = r["sheet"][-1], r["table"].rpartition("_")[0].removeprefix("reloan_")
+        if r["heading"]:
+            rows.append((r["sheet"], None, r["heading"], r["start_row"] - 1, 1, False, None, 1, 1, None))
+        header = r["labels"] is not None
+        rows.append((r["sheet"], r["table"], None, r["start_row"], 1, header, r["labels"], r["n_rows"], width[name], path_of(r["table"], run)))
+    return _commit(spark, [(i, *row) for i, row in enumerate(rows, 1)], folder, run_date, version)
+
+
+def _stored(table: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """A small table stored by its keys, rows in order within them."""
+    table.repartition(1).sortWithinPartitions(*keys, "day").write.mode("overwrite").partitionBy(*keys).parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def as_text(table: DataFrame) -> DataFrame:
@@ -243,24 +297,56 @@ def write_bundle(
     text: bool = False,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Writes each table under ``folder/report=<name>/run_date=<day>`` and returns the manifest.
+    """Writes each table into a new version of the run and returns the manifest.
 
-    The manifest is stored as well, under ``folder/manifest/run_date=<day>``.
-    Row counts come from the written files.
+    Tables lie under ``folder/version=<version>/report=<name>/run_date=<day>``.  The manifest, which names
+    them, is the last thing written and appears at once (``read_manifest``); until then, and if a write
+    fails, readers see the whole of the version before.  Row counts come from the written files.
     """
     options = {"header": "true"} if fmt == "csv" else {}
-    paths, shapes = {}, {}
+    paths, shapes, version = {}, {}, new_version()
     for name in dict.fromkeys(p.table for p in layout if p.table):
         table = as_text(tables[name]) if text else tables[name]
-        paths[name] = f"{folder}/report={name}/run_date={run_date}"
-        table.write.mode("overwrite").format(fmt).options(**options).save(paths[name])
+        paths[name] = f"{folder}/version={version}/report={name}/run_date={run_date}"
+        table.write.format(fmt).options(**options).save(paths[name])
         stored = spark.read.format(fmt).options(**options).schema(table.schema).load(paths[name])
         shapes[name] = (stored.count(), len(table.columns))
     rows = [_manifest_row(i, p, shapes, paths, labels) for i, p in enumerate(layout, 1)]
-    manifest = spark.createDataFrame(rows, MANIFEST)
-    target = f"{folder}/manifest/run_date={run_date}"
-    manifest.coalesce(1).write.mode("overwrite").parquet(target)
-    return spark.read.schema(MANIFEST).parquet(target)
+    return _commit(spark, rows, folder, run_date, version)
+
+
+def new_version() -> str:
+    """A name for a run's version; later ones sort after earlier ones."""
+    return f"{time.time_ns():020d}-{uuid4().hex[:8]}"
+
+
+def _commit(spark: SparkSession, rows: list[tuple], folder: str, run_date: date, version: str) -> DataFrame:
+    """Writes the manifest beside its place and moves it there, which makes the version the one that is read."""
+    passing, parent = f"{folder}/_manifest/{version}", f"{folder}/manifest/run_date={run_date}"
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(passing)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(parent))
+    if not files.rename(path(passing), path(f"{parent}/version={version}")):
+        raise OSError(f"the manifest of version {version} could not be moved to its place")
+    return read_manifest(spark, folder, run_date)
+
+
+def read_manifest(spark: SparkSession, folder: str, run_date: date) -> DataFrame:
+    """The manifest of the newest whole version of a run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest/run_date={run_date}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    versions = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    if not versions:
+        raise FileNotFoundError(f"no run of {run_date} in {folder}")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest/run_date={run_date}/{max(versions)}")
+
+
+def read_run_sheets(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """The sheet rows of the run that a 30-day manifest belongs to."""
+    table = manifest.where("path IS NOT NULL").select("path").first()["path"]
+    version, _, run_date = table.partition("/report=")[0], *table.rpartition("run_date=")[1:]
+    return read_sheets(spark, f"{version}/sheets/run_date={run_date.split('/')[0]}")
 
 
 def _manifest_row(seq, place: Place, shapes, paths, labels) -> tuple:

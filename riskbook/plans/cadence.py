@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.functions.columns import REPAID_LABEL, day_text, month_span_text, month_text
+from riskbook.operators.checks import WARN
 from riskbook.operators.rows import arrange
 
 
@@ -24,6 +25,8 @@ class Cadence:
     ordered: bool = False
     # The last date a run evaluates, where the run says so.
     newest: date | None = None
+    # The first date that the stored cells of the run have.
+    oldest: date | None = None
 
     def by_date(self, table: DataFrame) -> DataFrame:
         return arrange(table, "DATA_DT") if self.ordered else table
@@ -65,3 +68,6 @@ class Options:
     true_increments: bool = True
     # Loan ordinal class of the first-loan non-performing sum in the 30-day index.
     first_bn_of_first_loans: bool = False
+    # Rows with values that no table shows, and codes listed more than once: "fail", "warn" or "ignore".
+    unlisted: str = WARN
+    repeated_codes: str = WARN

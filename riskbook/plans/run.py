@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskbook.operators.rows import everyone
-from riskbook.plans import bundle
+from riskbook.operators.checks import FAIL, IGNORE, not_in, settle, unlisted_rows
+from riskbook.operators.rows import everyone, repeated_codes
+from riskbook.plans import bundle, month_30
 from riskbook.plans.cadence import Cadence, Options
+from riskbook.plans.structure import STATES
 from riskbook.sources.calendar import Period, months_spanned
 from riskbook.sources.snapshot import build_snapshots, to_cells
-from riskbook.sources.tables import Population, read_cells, read_snapshots, write_snapshots
+from riskbook.sources.tables import Population, read_cells, read_snapshots, stored_dates, write_snapshots
 
 
 def refresh(
@@ -56,8 +59,10 @@ def run_standard(
     """
     run_date, ages = max(dates), months_spanned(dates)
     target = run_folder(folder, cadence.name, name)
-    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", population, cadence.vintages)
-    cadence = replace(cadence, newest=run_date)
+    path = f"{target}/cells/run_date={run_date}"
+    _check_codes(dims, options)
+    cells = _store_cells(spark, snapshots, dates, path, population, cadence.vintages, options)
+    cadence = replace(cadence, newest=run_date, oldest=min(stored_dates(spark, path), default=None))
     tables = bundle.standard_bundle(cells, dims, cadence, ages, options)
     layout, labels = bundle.standard_layout(cadence), bundle.standard_labels(cadence, ages)
     return bundle.write_bundle(
@@ -66,25 +71,58 @@ def run_standard(
 
 
 def run_month_30(
-    spark: SparkSession,
-    snapshots: str,
-    dates: Sequence[date],
-    folder: str,
-    options: Options = Options(),
-    fmt: str = "parquet",
+    spark: SparkSession, snapshots: str, dates: Sequence[date], folder: str, options: Options = Options()
 ) -> DataFrame:
-    """The 30-day tables of both populations on both bases; returns the manifest."""
+    """The 30-day tables and sheets of both populations on both bases; returns the manifest.
+
+    The snapshots are read once, for the sums that all tables are cut from.
+    """
     run_date = max(dates)
     target = run_folder(folder, "month_30", "both")
-    cells = _store_cells(spark, snapshots, dates, f"{target}/cells/run_date={run_date}", everyone, True)
-    tables, layout, labels = bundle.month_30_bundle(cells, months_spanned(dates), options)
-    return bundle.write_bundle(spark, tables, layout, labels, target, run_date, fmt=fmt)
+    path = f"{target}/sums/run_date={run_date}"
+    sums = month_30.core(read_snapshots(spark, snapshots, dates))
+    sums.write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(sums.schema).parquet(path)
+    return bundle.write_month_30(spark, stored, months_spanned(dates), target, run_date, options)
+
+
+def unlisted(dates: Sequence[date], cohorts: bool) -> dict[str, str]:
+    """Conditions of cells that the pivots of the tables leave out."""
+    found = {"five-state value": not_in("OVERDUE_STATUS_5", STATES)}
+    if cohorts:
+        ages = months_spanned(dates)
+        found["months on book"] = (
+            f"(BEGIN_DATE >= DATE '{min(dates)}' AND (LOAN_M_CNT IS NULL OR LOAN_M_CNT NOT BETWEEN 0 AND {ages - 1}))"
+        )
+    return found
 
 
 def _store_cells(
-    spark: SparkSession, snapshots: str, dates: Sequence[date], path: str, population: Population, cohorts: bool
+    spark: SparkSession,
+    snapshots: str,
+    dates: Sequence[date],
+    path: str,
+    population: Population,
+    cohorts: bool,
+    options: Options = Options(),
 ) -> DataFrame:
     loans = read_snapshots(spark, snapshots, dates, population)
     cells = to_cells(loans, cohorts)
     write_snapshots(cells, path, whole=True)
-    return read_cells(spark, path, cells.schema)
+    stored = read_cells(spark, path, cells.schema)
+    if options.unlisted != IGNORE:
+        settle(unlisted_rows(stored, unlisted(dates, cohorts)), options.unlisted)
+    return stored
+
+
+def _check_codes(dims: DataFrame, options: Options) -> None:
+    """Refuses or warns about codes listed more than once: lookups then take the first label."""
+    if options.repeated_codes == IGNORE:
+        return
+    found = repeated_codes(dims)
+    count, some = found.count(), [f"{r['COL']} {r['CODE']}" for r in found.orderBy("COL", "CODE").take(5)]
+    if count:
+        text = f"{count} codes are listed more than once: {', '.join(some)}"
+        if options.repeated_codes == FAIL:
+            raise ValueError(text)
+        warnings.warn(text, stacklevel=3)

@@ -175,3 +175,26 @@ def test_latest_of_a_known_date_reads_the_tables_once(spark, data, large_sides):
 def test_newest_province_report_has_no_scan_for_the_maximum(spark, data):
     plan = "\n".join(physical(QUERIES["light_by_province"](spark, data)))
     assert "max(" not in plan and "Subquery" not in plan
+
+
+@pytest.mark.parametrize("name", ["vintage_rate", "vintage_amount_history", "vintage_rate_excl"])
+def test_cohorts_are_summed_by_two_keys_in_one_scan(spark, data, name):
+    plan = physical(QUERIES[name](spark, data))
+    assert sum("FileScan" in line for line in plan) == 1 and not any("Subquery" in line for line in plan)
+    large = next(line for line in reversed(plan) if "HashAggregate" in line)  # the one next to the scan
+    keys, sums = large.split("keys=[")[1].split("]")[0], large.split("functions=[")[1]
+    assert keys.count("#") == 2 and sums.count("partial_sum") == 2
+    # the first date comes from the stored folders' names; a population of its own brings it along
+    assert ("min(" in "".join(plan)) == name.endswith("_excl")
+    if not name.endswith("_excl"):
+        scan = next(line for line in plan if "FileScan" in line)
+        assert "GreaterThanOrEqual(BEGIN_DATE" in scan
+
+
+def test_stored_dates_come_from_the_folders(spark, data):
+    from riskbook.sources.tables import stored_dates
+    from workload.queries import cells_path
+
+    found = {r[0] for r in cells(spark, data, "month").select("DATA_DT").distinct().collect()}
+    assert set(stored_dates(spark, cells_path(spark, data, "month"))) == found
+    assert stored_dates(spark, "/no/such/folder") == []

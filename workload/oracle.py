@@ -613,3 +613,168 @@ class Reports:
 
     def month_30_vintage(self, overdue: str, repeats: bool, as_rate: bool) -> str:
         return self._vintage(overdue, "BRELOAN <> 1" if repeats else "TRUE", as_rate)
+
+
+# -- bundles -----------------------------------------------------------------
+
+# Where the workbook has its tables, one line a table or text cell, in the order of
+# writing: sheet | table or "text" | first row | first column | columns | header.  Names in the first row or column
+# stand for the rows or columns of that table.
+WORKBOOK = """
+资金变化 | fund_change_count | 2 | 1 | 11 | no
+资金变化 | "金额" | 2 + fund_change_count | 1 | 1 | no
+资金变化 | fund_change_amount | 3 + fund_change_count | 1 | 12 | no
+续贷逾期情况 | reloan_overdue_by_date | 4 | 1 | 20 | no
+续贷逾期情况 | reloan_overdue_by_province | 6 + reloan_overdue_by_date | 1 | 23 | yes
+还款情况 | repayment | 3 | 1 | 6 | no
+迁徙率月度情况 | state_stock | 2 | 1 | 7 | no
+迁徙率月度情况 | migration_rates | 2 | 1 + state_stock | 11 | no
+资产情况月度分析 | vintage_amount | 3 | 1 | ages | yes
+资产情况月度分析 | vintage_rate | 4 + vintage_amount | 1 | ages | yes
+终止和到期情况 | termination_maturity | 4 | 1 | 7 | no
+资产结构类数据 | structure_count_share | 2 | 1 | 5 | yes
+资产结构类数据 | "金额比" | 3 + structure_count_share | 1 | 1 | no
+资产结构类数据 | structure_amount_share | 4 + structure_count_share | 1 | 4 | yes
+资产结构类数据 | structure_detail | 6 + structure_count_share + structure_count_share | 1 | 8 | yes
+放款情况 | lending_by_province | 2 | 1 | 6 | no
+放款情况 | lending_by_city | 2 | 11 | 6 | no
+放款情况 | lending_by_date | 25 | 3 | 5 | yes
+逾期率及不良率 | overdue_by_date | 2 | 1 | 14 | no
+逾期率及不良率 | overdue_by_province | 4 + overdue_by_date | 1 | 15 | yes
+逾期率及不良率 | overdue_by_city | 6 + overdue_by_date + overdue_by_province | 1 | 7 | yes
+逾期率及不良率 | overdue_by_scope | 3 | 19 | 6 | no
+黄绿灯逾期（历史值） | light_by_date | 3 | 4 | 16 | no
+黄绿灯逾期（历史值） | light_by_province | 5 + light_by_date | 4 | 17 | yes
+续贷情况（历史值） | reloan_rate_by_date | 3 | 1 | 4 | no
+续贷情况（历史值） | reloan_rate_by_province | 3 | 11 | 6 | no
+续贷情况（历史值） | "借据号概念" | 5 + reloan_rate_by_date | 1 | 1 | no
+续贷情况（历史值） | reloan_new_vs_cumulative | 6 + reloan_rate_by_date | 1 | 5 | yes
+"""
+
+# What the workbooks of shorter cadences leave out.
+NOT_IN_WEEK = ("vintage_amount", "vintage_rate")
+NOT_IN_DAY = (*NOT_IN_WEEK, "fund_change_count", "金额", "fund_change_amount", "migration_rates")
+LEFT_OUT = {"month": (), "week": NOT_IN_WEEK, "biweek": NOT_IN_WEEK, "day": NOT_IN_DAY}
+
+
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+
+
+def _counts(tables: dict[str, str]) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS t, CAST(count(*) AS INTEGER) AS n FROM ({sql})" for n, sql in tables.items())
+    return f"counts AS MATERIALIZED ({rows})"
+
+
+def _rows_of(table: str) -> str:
+    return f"(SELECT n FROM counts WHERE t = '{table}')"
+
+
+def _manifest(lines: list[tuple]) -> str:
+    """Rows of (sheet, table, text, start row, start column, columns, header, rows) as SQL, numbered."""
+    return " UNION ALL ".join(
+        f"SELECT {seq} AS seq, '{sheet}' AS sheet, {_text(table)} AS \"table\", {_text(text)} AS text, "
+        f"{row} AS start_row, {column} AS start_column, {columns} AS n_columns, {header} AS header, {n} AS n_rows"
+        for seq, (sheet, table, text, row, column, columns, header, n) in enumerate(lines, 1)
+    )
+
+
+def workbook(cadence: str) -> str:
+    """The manifest of a cadence's workbook; only row counts depend on the data, and each comes from its report's SQL."""
+    reports, width, lines, tables = Reports(cadence), {}, [], {}
+    days = [p.day for p in periods(cadence)]
+    ages = (days[-1].year * 12 + days[-1].month) - (days[0].year * 12 + days[0].month) + 1
+    for line in WORKBOOK.strip().splitlines():
+        sheet, name, row, column, columns, header = (x.strip() for x in line.split("|"))
+        text = name.strip('"') if name.startswith('"') else None
+        if (text or name) in LEFT_OUT[cadence]:
+            continue
+        width[name] = columns = 2 + ages if columns == "ages" else int(columns)
+        if not text:
+            tables[name] = getattr(reports, name)()
+        start = " + ".join(x.strip() if x.strip().isdigit() else _rows_of(x.strip()) for x in row.split("+"))
+        first = sum(int(x) if x.strip().isdigit() else width[x.strip()] for x in column.split("+"))
+        n = "1" if text else _rows_of(name)
+        lines.append((sheet, None if text else name, text, start, first, columns, str(header == "yes").upper(), n))
+    return f"WITH {_counts(tables)} {_manifest(lines)}"
+
+
+# -- 30-day workbook -----------------------------------------------------------
+
+# Its four runs (population, overdue amount, lending) and the tables on each run's second sheet.
+RUNS_30 = (
+    ("all", "OD_AMT_30", "LOAN_PR_FEE"),
+    ("all", "OD_PRINCIPAL_30", "LOAN_PR"),
+    ("excl_code", "OD_AMT_30", "LOAN_PR_FEE"),
+    ("excl_code", "OD_PRINCIPAL_30", "LOAN_PR"),
+)
+STACK_30 = ("vintage_amount", "vintage_rate", "reloan_vintage_amount", "reloan_vintage_rate")
+AGES_30 = 7
+
+
+def _tables_30() -> dict[str, str]:
+    out = {}
+    for n, (population, overdue, lent) in enumerate(RUNS_30, 1):
+        reports = Reports("month", population)
+        out[f"overdue_index_{n}"] = reports.month_30_index(overdue, lent)
+        for name in STACK_30:
+            out[f"{name}_{n}"] = reports.month_30_vintage(overdue, name.startswith("reloan"), name.endswith("rate"))
+    return out
+
+
+def _starts_30(n: int) -> dict[str, str]:
+    """First rows on a run's second sheet: 3, then each table's rows and 3 more."""
+    starts, row = {}, "3"
+    for name in STACK_30:
+        starts[name] = row
+        row = f"{row} + {_rows_of(f'{name}_{n}')} + 3"
+    return starts
+
+
+def workbook_30() -> str:
+    lines = [(f"逾期情况{n}", f"overdue_index_{n}", None, "4", 1, 22, "FALSE", _rows_of(f"overdue_index_{n}")) for n in (1, 2, 3, 4)]
+    for n in (1, 2, 3, 4):
+        for name, start in _starts_30(n).items():
+            if name == "reloan_vintage_amount":
+                lines.append((f"资产情况{n}", None, "续贷资产情况", f"{start} - 1", 1, 1, "FALSE", "1"))
+            lines.append((f"资产情况{n}", f"{name}_{n}", None, start, 1, 2 + AGES_30, "TRUE", _rows_of(f"{name}_{n}")))
+    return f"WITH {_counts(_tables_30())} {_manifest(lines)}"
+
+
+def sheets_30() -> str:
+    """Every row of the 30-day sheets, cells as text between bars."""
+    who = {
+        "first": ("cnt", "od_cnt", "lent", "od_amt", "bn_amt"),
+        "repeat": ("cnt", "od_cnt", "lent", "od_amt", "bn_amt"),
+        "all": ("cnt", "od_cnt", "od_amt", "bn_amt", "lent"),
+    }
+    index = ["data_dt", *(f"{w}_{c}" for w, cs in who.items() for c in (*cs, "od_rate", "bn_rate"))]
+    cohort = ["begin_month", "new_amt", *(f"m{a}" for a in range(AGES_30))]
+    labels = "|".join(["新增放款月份", "新增放款金额", "当月", *(f"第{a}个月" for a in range(2, AGES_30 + 1))])
+
+    def cells(columns: list[str], rates: bool) -> str:
+        def shown(c: str) -> str:
+            percent = c.endswith("_rate") or rates and c[0] == "m"
+            value = f"CASE WHEN {c} IS NOT NULL THEN printf('%.2f%%', 100 * {c}) END" if percent else f"CAST({c} AS VARCHAR)"
+            return f"coalesce({value}, '')"
+
+        return " || '|' || ".join(map(shown, columns))
+
+    def body(sheet: str, block: int, top: str, order: str, columns: list[str], rates: bool, table: str) -> str:
+        return (
+            f"SELECT '{sheet}' AS sheet, {block} AS block, 'body' AS kind, "
+            f"CAST({top} + row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS row, {cells(columns, rates)} AS cells FROM {table}"
+        )
+
+    tables = _tables_30()
+    named = ", ".join(f"t_{n} AS MATERIALIZED ({sql})" for n, sql in tables.items())
+    parts = [body(f"逾期情况{n}", 1, "4", "data_dt", index, False, f"t_overdue_index_{n}") for n in (1, 2, 3, 4)]
+    for n in (1, 2, 3, 4):
+        for block, (name, start) in enumerate(_starts_30(n).items(), 1):
+            sheet = f"资产情况{n}"
+            parts.append(f"SELECT '{sheet}', {block}, 'header', CAST({start} AS INTEGER), '{labels}'")
+            if name == "reloan_vintage_amount":
+                parts.append(f"SELECT '{sheet}', {block}, 'heading', CAST({start} - 1 AS INTEGER), '续贷资产情况'")
+            parts.append(body(sheet, block, f"{start} + 1", "begin_month", cohort, name.endswith("rate"), f"t_{name}_{n}"))
+    counts = " UNION ALL ".join(f"SELECT '{n}' AS t, CAST(count(*) AS INTEGER) AS n FROM t_{n}" for n in tables)
+    return f"WITH {named}, counts AS MATERIALIZED ({counts}) {' UNION ALL '.join(parts)}"

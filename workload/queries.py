@@ -16,12 +16,13 @@ from riskbook.plans import bundle, month_30, overdue, structure
 from riskbook.plans.run import run_folder
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Cadence, Options
 from riskbook.schema import ATTRIBUTES, MEASURES
+from riskbook.sources import carry
 from riskbook.sources.calendar import months_spanned
 from riskbook.sources.snapshot import build_snapshots, to_cells
-from riskbook.sources.tables import read_cells, write_snapshots
+from riskbook.sources.tables import read_cells, stored_dates, write_snapshots
 from workload import book
 from workload.folder import ensure_folder
-from workload.oracle import LATEST, Reports
+from workload.oracle import LATEST, Reports, sheets_30, workbook, workbook_30
 from workload.periods import DETAIL_FROM, GAPS, HISTORY, by_month, periods, reported
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,7 +83,41 @@ def _ages(cadence: str) -> int:
 
 def report(plan, cadence: Cadence, population: str, spark: SparkSession, folder: str) -> DataFrame:
     facts = POPULATIONS[population](cells(spark, folder, cadence.name))
-    return plan(facts, dimension(spark, folder), replace(cadence, newest=reported(cadence.name)[-1]))
+    return plan(facts, dimension(spark, folder), dated(cadence, population, spark, folder))
+
+
+def dated(cadence: Cadence, population: str, spark: SparkSession, folder: str) -> Cadence:
+    """The cadence with its last date, and for the whole population the first date that the cells have."""
+    whole = population == "all" and cadence.vintages
+    found = stored_dates(spark, cells_path(spark, folder, cadence.name)) if whole else []
+    return replace(cadence, newest=reported(cadence.name)[-1], oldest=min(found, default=None))
+
+
+def carried(spark: SparkSession, folder: str, cadence: str) -> DataFrame:
+    """The last date's snapshots, from the state stored for the date before and the events since."""
+    first, last = periods(cadence)[-2:]
+    state, since = _carried(spark, spark.sparkContext.applicationId, folder, cadence), first.day
+    events = carry.read_events(spark, _events(spark, spark.sparkContext.applicationId, folder), last.day, carry.events_after(last, since))
+    return carry.snapshot_of(carry.advance(events, last, carry.read_state(spark, state, since), since), by_month(cadence))
+
+
+@cache
+def _events(spark: SparkSession, application: str, folder: str) -> str:
+    """The ledger's events, stored once for all cadences."""
+    path = f"{_run_folder(spark, folder)}/events"
+    carry.write_events(book.ledger(spark, folder, max(periods(c)[-1].day for c in (MONTH.name, WEEK.name, DAY.name))), path)
+    return path
+
+
+@cache
+def _carried(spark: SparkSession, application: str, folder: str, cadence: str) -> str:
+    """States of the three dates before the last one, each but the first carried forward from the one before."""
+    events, base = _events(spark, application, folder), f"{_run_folder(spark, folder)}/carried/{cadence}"
+    before = periods(cadence)[-4:-1]
+    for n, period in enumerate(before):
+        step = carry.add_date if n else carry.open_state
+        step(spark, events, f"{base}/states", f"{base}/snapshots", period, by_month(cadence))
+    return f"{base}/states"
 
 
 # -- reports -----------------------------------------------------------------
@@ -187,10 +222,14 @@ def _snapshot(cadence: str, spark: SparkSession, folder: str) -> DataFrame:
     return _dates_as_text(snapshots(spark, folder, cadence))
 
 
-def _snapshot_sql(cadence: str) -> str:
+def _snapshot_carried(cadence: str, spark: SparkSession, folder: str) -> DataFrame:
+    return _dates_as_text(carried(spark, folder, cadence))
+
+
+def _snapshot_sql(cadence: str, where: str = "TRUE") -> str:
     columns = ["LOAN_ID", *ATTRIBUTES, *MEASURES]
     shown = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in DATES else c for c in columns)
-    return Reports(cadence).sql(f"SELECT {shown} FROM facts")
+    return Reports(cadence).sql(f"SELECT {shown} FROM facts WHERE {where}")
 
 
 def _month(spark: SparkSession, folder: str) -> DataFrame:
@@ -403,6 +442,9 @@ def _operator_queries() -> tuple[dict[str, Query], dict[str, str]]:
     )
     queries = {f"snapshot_{c}": partial(_snapshot, c) for c in ("month", "week", "biweek", "day")}
     oracle = {f"snapshot_{c}": _snapshot_sql(c) for c in ("month", "week", "biweek", "day")}
+    runs = {"snapshot_incremental": MONTH.name, "snapshot_incremental_week": WEEK.name, "snapshot_incremental_gaps": GAPS}
+    queries |= {name: partial(_snapshot_carried, c) for name, c in runs.items()}
+    oracle |= {name: _snapshot_sql(c, LATEST) for name, c in runs.items()}
     days = reported(MONTH.name)
     stored = {"stored_snapshot_dates": days[1::2], "stored_snapshot_day": days[-1:]}
     queries |= {name: partial(_stored_dates, dates) for name, dates in stored.items()}
@@ -472,14 +514,15 @@ def _operator_queries() -> tuple[dict[str, Query], dict[str, str]]:
 
 # -- bundles -----------------------------------------------------------------
 
-MANIFEST_COLUMNS = ("seq", "sheet", "table", "text", "start_row", "start_column", "header", "n_rows")
+MANIFEST_COLUMNS = ("seq", "sheet", "table", "text", "start_row", "start_column", "n_columns", "header", "n_rows")
 
 
 def _bundle(cadence: Cadence, spark: SparkSession, folder: str) -> DataFrame:
     """Writes all tables of a cadence to the shared folder; shows the manifest."""
     ages = _ages(cadence.name)
-    dated = replace(cadence, newest=reported(cadence.name)[-1])
-    tables = bundle.standard_bundle(cells(spark, folder, cadence.name), dimension(spark, folder), dated, ages, OPTIONS)
+    facts = cells(spark, folder, cadence.name)
+    known = dated(cadence, "all", spark, folder)
+    tables = bundle.standard_bundle(facts, dimension(spark, folder), known, ages, OPTIONS)
     manifest = bundle.write_bundle(
         spark,
         tables,
@@ -492,35 +535,35 @@ def _bundle(cadence: Cadence, spark: SparkSession, folder: str) -> DataFrame:
     return manifest.select(*MANIFEST_COLUMNS)
 
 
-def _bundle_sql(cadence: Cadence) -> str:
-    """The manifest from each report's own SQL: only row counts depend on the data."""
-    sql = Reports(cadence.name)
-    layout = bundle.standard_layout(cadence)
-    names = list(dict.fromkeys(p.table for p in layout if p.table))
-    counts = " UNION ALL ".join(
-        f"SELECT '{n}' AS t, CAST(count(*) AS INTEGER) AS n FROM ({getattr(sql, n)()})" for n in names
-    )
-    width = {"state_stock": 7}
+def _month_30_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes the 30-day tables and sheets of all runs; gives the manifest."""
+    target = run_folder(f"{_run_folder(spark, folder)}/bundles", "month_30", "both")
+    day = reported(MONTH.name)[-1]
+    totals = month_30.core(cells(spark, folder, MONTH.name))
+    path = f"{target}/sums/run_date={day}"
+    totals.write.mode("overwrite").parquet(path)
+    stored = spark.read.schema(totals.schema).parquet(path)
+    return bundle.write_month_30(spark, stored, _ages(MONTH.name), target, day)
 
-    def text(value: str | None) -> str:
-        return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
 
-    def rows_of(table: str | None) -> str:
-        return f"(SELECT n FROM counts WHERE t = '{table}')" if table else "1"
+def _month_30_bundle(spark: SparkSession, folder: str) -> DataFrame:
+    return _month_30_run(spark, folder).select(*MANIFEST_COLUMNS)
 
-    rows = " UNION ALL ".join(
-        f"SELECT {i} AS seq, '{p.sheet}' AS sheet, {text(p.table)} AS \"table\", {text(p.text)} AS text, "
-        f"{' + '.join([str(p.row), *map(rows_of, p.below)])} AS start_row, "
-        f"{p.column + (width[p.right_of] if p.right_of else 0)} AS start_column, "
-        f"{str(p.header).upper()} AS header, {rows_of(p.table)} AS n_rows"
-        for i, p in enumerate(layout, 1)
-    )
-    return f"WITH counts AS MATERIALIZED ({counts}) {rows}"
+
+def _month_30_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the 30-day sheets, as read back from the stored dataset."""
+    found = bundle.read_run_sheets(spark, _month_30_run(spark, folder))
+    shown = "concat_ws('|', transform(cells, c -> coalesce(c, ''))) AS cells"
+    return found.selectExpr("sheet", "block", "kind", "row", shown)
 
 
 def _bundle_queries() -> tuple[dict[str, Query], dict[str, str]]:
     runs = {f"report_bundle_{c.name}": c for c in (DAY, WEEK, MONTH)}
-    return {n: partial(_bundle, c) for n, c in runs.items()}, {n: _bundle_sql(c) for n, c in runs.items()}
+    queries = {n: partial(_bundle, c) for n, c in runs.items()}
+    queries |= {"report_bundle_month_30": _month_30_bundle, "report_sheets_month_30": _month_30_sheets}
+    oracle = {n: workbook(c.name) for n, c in runs.items()}
+    oracle |= {"report_bundle_month_30": workbook_30(), "report_sheets_month_30": sheets_30()}
+    return queries, oracle
 
 
 def registered() -> tuple[dict[str, Query], dict[str, str]]:

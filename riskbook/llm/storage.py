@@ -31,7 +31,16 @@ def store(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `store` returned, once all that was made of them is stored."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -188,7 +188,7 @@ class Encoder:
         yield from ((i, j) for i, j in zip(edges[:-1], edges[1:], strict=True) if j > i)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def sized_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about SLICE_BYTES of text; a longer text is a piece alone."""
     size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     cuts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES)) + 1
@@ -272,7 +272,7 @@ def _cut(tokenizer: str, capacity: int, end_id: int):
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for rows in _slices(batch):
+            for rows in sized_slices(batch):
                 ids, lengths = encoder.encode(rows.column("text"))
                 ids = np.insert(ids, np.cumsum(lengths), end_id)
                 lengths = lengths + 1

@@ -22,18 +22,18 @@ from __future__ import annotations
 
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskbook.llm.packing import CHUNK, MARKS, Rows, byte_letters, sized_slices
 from riskbook.llm.storage import get_file, put_file, scratch, store
-from riskbook.llm.text import slices
+from riskbook.llm.text import as_text
 
 MAGIC = b"RPAIR01\n"
 HEAD = "<8s6Q"
@@ -200,42 +200,19 @@ class Shard:
 
 # -- encoding --------------------------------------------------------------------------
 
-#: What may follow a word's letters and is split from them by the tokenizer (no apostrophe: it may begin a token).
-MARKS = ".,;:!?)]}\"%&$#*|-"
-
-
-def byte_letters() -> dict[int, str]:
-    """Byte-level BPE's character for each byte: printable Latin-1 as it is, the rest from U+0100 on.
-
-    A table for `str.translate`, on bytes read as Latin-1.
-    """
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-
-class Places(dict):
-    """Place of each word in an encoder's table; a new word is put there when it is first looked up."""
-
-    def __init__(self, add):
-        self.add = add
-
-    def __missing__(self, word: str) -> int:
-        at = self[word] = self.add(word)
-        return at
+#: Letters that one byte or two hold and the tokenizer lowers as Arrow does.
+WORD = "[A-Za-zªµºÀ-ÖØ-öø-ÿ]+"
 
 
 class Encoder:
-    """Ids of texts by the tokenizer, each different word encoded once.
+    """Ids of texts by the tokenizer, each different word of a slice encoded once.
 
     The tokenizer drops white space and never joins what white space parts, so a text's ids are its
-    words' ids in a row.  Texts that hold one of `special` are encoded whole.  A word of
-    Latin letters with marks after it is split as the tokenizer would, and its letters go straight to the
-    tokenizer's model.  The table of words is emptied when it holds `MOST` words.
+    words' ids in a row.  Texts that hold one of `special` are encoded whole.  Texts are cut at their spaces, and
+    equal runs between two spaces are encoded once: a word of Latin letters, or one with a mark after it, goes
+    to the tokenizer's model, any other run to the tokenizer.
     """
 
-    MOST = 700_000
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -245,59 +222,53 @@ class Encoder:
         self.special = [*(t.content for t in self.tokenizer.get_added_tokens_decoder().values()), *"\x1c\x1d\x1e\x1f"]
         self.size = self.tokenizer.get_vocab_size()
         self.letters = byte_letters()
-        self.empty()
-
-    def empty(self) -> None:
-        self.places = Places(self.add)
-        self.starts, self.counts, self.ids = array("q"), array("q"), array("I")
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def known(self, word: str) -> array:
-        """Ids of a word by way of the table."""
-        at = self.places[word]
-        return self.ids[self.starts[at] : self.starts[at] + self.counts[at]]
-
-    def add(self, word: str) -> int:
-        """Put a word's ids into the table, and first those of its letters and marks if they are words of their own."""
-        core = word.rstrip(MARKS)
-        if not core.isalpha() or not (core.isascii() or max(core) <= "\xff"):
-            ids = self.whole(word)
-        elif word == (letters := core.lower()):
-            shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(shown)]
-        elif core == word:
-            ids = self.known(letters)
-        else:
-            ids = self.known(letters) + self.known(word[len(core) :])
-        self.starts.append(len(self.ids))
-        self.counts.append(len(ids))
-        self.ids.extend(ids)
-        return len(self.starts) - 1
-
-    def has_special(self, text: str) -> bool:
-        return any(s in text for s in self.special)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def runs(self, runs: pa.Array) -> Rows:
+        """Ids of different runs between spaces."""
+        alone = pc.match_substring_regex(runs, f"^{WORD}$")
+        marked = pc.match_substring_regex(runs, f"^{WORD}[.,;:!?]$")
+        stem, last = pc.utf8_slice_codeunits(runs, 0, -1), pc.utf8_slice_codeunits(runs, -1)
+        none = pa.scalar(None, runs.type)
+        core = pc.utf8_lower(pc.if_else(alone, runs, pc.if_else(marked, stem, none))).dictionary_encode()
+        shown = "\n".join(core.dictionary.to_pylist()).encode().decode("latin-1").translate(self.letters)
+        words, tokenize = shown.split(self.letters[10])[: len(core.dictionary)], self.model.tokenize
+        parts = [Rows.of([])]
+        for i in range(0, len(words), CHUNK):
+            parts.append(Rows.of([[t.id for t in tokenize(w)] for w in words[i : i + CHUNK]]))
+        alone, marked = (x.to_numpy(zero_copy_only=False) for x in (alone, marked))
+        rest = np.flatnonzero(~alone & ~marked)
+        texts = runs.take(pa.array(rest)).to_pylist()
+        marks = len(words)
+        others, nothing = marks + len(MARKS), marks + len(MARKS) + len(rest)
+        parts.append(Rows.of([self.whole(m) for m in MARKS]))
+        parts.append(Rows.of([[i for word in t.split() for i in self.whole(word)] for t in texts]))
+        table = Rows.joined([*parts, Rows.of([[]])])
+
+        first = pc.fill_null(core.indices, -1).to_numpy().astype(np.int64)
+        first[rest] = others + np.arange(len(rest))
+        second = np.full(len(runs), nothing)
+        second[marked] = marks + pc.index_in(last, pa.array(MARKS, last.type)).to_numpy(zero_copy_only=False)[marked].astype(np.int64)
+        both = table.take(np.stack([first, second], 1).ravel())
+        return Rows(both.ids, both.lengths.reshape(-1, 2).sum(1))
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.places) > self.MOST:
-            self.empty()
-        codes, lengths = [], []
-        whole = {i for i, text in enumerate(texts) if self.has_special(text)}
-        for i, text in enumerate(texts):
-            words = [] if i in whole else text.split()
-            lengths.append(len(words))
-            codes += map(self.places.__getitem__, words)
-        code = np.array(codes, np.int64)
-        count = np.frombuffer(self.counts, np.int64)[code] if len(code) else code
-        ends = np.concatenate([[0], np.cumsum(count)])
-        at = np.repeat((np.frombuffer(self.starts, np.int64)[code] if len(code) else code) - ends[:-1], count) + np.arange(ends[-1])
-        flat = np.frombuffer(self.ids, np.uint32)[at].astype(np.int64) if len(at) else at
-        cuts = ends[np.cumsum(lengths)] if lengths else []
-        out = np.split(flat, cuts[:-1])
-        for i in whole:
-            out[i] = np.array(self.whole(texts[i]), np.int64)
+        texts = as_text(column)
+        odd = pa.array(np.zeros(len(texts), bool))
+        for token in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        split = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
+        cuts = split.offsets.to_numpy().astype(np.int64)
+        cuts -= cuts[0]
+        coded = split.flatten().dictionary_encode()
+        table, code = self.runs(coded.dictionary), coded.indices.to_numpy()
+        out = []
+        odd = odd.to_numpy(zero_copy_only=False)
+        for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            out.append(np.array(self.whole(texts[i].as_py()), np.int64) if odd[i] else table.take(code[a:b]).ids.astype(np.int64))
         return out
 
 
@@ -323,9 +294,8 @@ def _written(folder: str, tokenizer: str, end_id: int):
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            for piece in slices(batch):
-                texts = [t or "" for t in piece.column("text").to_pylist()]
-                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            for piece in sized_slices(batch):
+                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encoder.encode(piece.column("text")), strict=True):
                     held.append((doc_id, np.append(ids, end_id)))
                     total += len(ids) + 1
                     if total >= SHARD_TOKENS:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -24,17 +25,20 @@ def tokenizer():
 
 def test_ids_equal_the_tokenizers(tokenizer, documents):
     texts = [*ODD, *[r["text"] for r in documents.select("text").collect()]]
-    found = K.Encoder(word_tokenizer()).encode(texts)
+    found = K.Encoder(word_tokenizer()).encode(pa.array(texts, pa.string()))
     for text, ids in zip(texts, found, strict=True):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:60]
 
 
-@settings(max_examples=100, deadline=None)
-@given(st.text(max_size=60))
+SPACED = st.text(st.sampled_from("aéÉ1,.' \n\t\x85\xa0\x1cªß"), max_size=30)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(max_size=60) | SPACED)
 def test_ids_of_any_text(text):
     encoder = K.Encoder.__dict__.get("shared") or K.Encoder(word_tokenizer())
     K.Encoder.shared = encoder
-    assert encoder.encode([text])[0].tolist() == list(encoder.whole(text))
+    assert encoder.encode(pa.array([text], pa.string()))[0].tolist() == list(encoder.whole(text))
 
 
 @settings(max_examples=60, deadline=None)

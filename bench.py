@@ -37,8 +37,12 @@ REPORTS = [
     "reloan_new_vs_cumulative",
     "m30_overdue_interest",
     "m30_reloan_vintage_rate_principal",
+    "vintage_rate_history",
 ]
 
+# Whole runs: every table of a run written, with its manifest.
+RUNS_WHOLE = ["report_bundle_month", "report_bundle_month_30"]
+
 
 def session() -> SparkSession:
     return (
@@ -82,6 +86,10 @@ def main() -> None:
     workload.cells(spark, FOLDER, "month")
     for name in REPORTS:
         times[name] = timed(lambda n=name: queries[n](spark, FOLDER).collect())
+    for name in RUNS_WHOLE:
+        times[f"run_{name.removeprefix('report_bundle_')}"] = timed(lambda n=name: queries[n](spark, FOLDER).collect())
+    # the last month-end from the state stored for the one before and the events since (the faster run has both stored)
+    times["snapshot_incremental"] = timed(lambda: drop_rows(workload.carried(spark, FOLDER, "month")))
     print(
         json.dumps(
             {

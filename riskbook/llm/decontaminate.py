@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskbook.llm.bitmap import BITS, bitmap, holds
@@ -40,6 +40,8 @@ from riskbook.llm.storage import store
 from riskbook.llm.text import hash_spans, lower, scan, slices, windows
 
 SIZE = 8
+#: A window that more items share is looked at only beside others.
+COMMON = 8
 WORD, NUMBER, QUANTITY, UNIT, NAME = range(5)
 #: Units that become placeholders after a number.
 UNITS = (
@@ -205,8 +207,9 @@ def leaks(
     found = templates(keyed, ["doc_id", "key"], size, least_words, wanted, short).drop("exact", "tokens")
     asked = questions.select("item_id", "code", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "exact")
     pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda x: F.struct(x["item_slots"].alias("item"), x["slots"].alias("doc")))
+    matches = matched_windows(found, asked, totals, run, share)
     diagonals = (
-        found.join(asked, "code")
+        matches
         .where("size(item_slots) = size(slots)")
         .withColumn("pairs", pairs)
         .groupBy("doc_id", "key", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
@@ -240,6 +243,35 @@ def leaks(
     )
 
 
+def matched_windows(found: DataFrame, asked: DataFrame, totals: DataFrame, run: int, share: float) -> DataFrame:
+    """Windows of documents beside equal windows of items, for all pairs that can be leaks.
+
+    A window that more than `COMMON` items share would bring every document that holds it together with all of them.  So
+    the other windows decide which pairs are looked at, and shared ones are added for those pairs alone.  An
+    item with so many shared windows that these alone could make it a leak is looked at by all its windows.
+    """
+    held = asked.groupBy("code").agg(F.countDistinct("item_id").alias("items"))
+    marked = asked.join(held, "code").withColumn("common", F.col("items") > COMMON)
+    places = marked.where("common").groupBy("item_id").agg(
+        F.countDistinct("item_place").alias("shared"), F.countDistinct(F.when(~F.col("exact"), F.col("item_place"))).alias("shared_typed")
+    )
+
+    def enough(found_: str, of: str) -> Column:
+        return (F.col(of) > 0) & (F.col(found_) >= F.least(F.lit(run), F.col(of))) | (F.col(of) > 0) & (F.col(found_) >= share * F.col(of))
+
+    alone = places.join(totals, "item_id").where(enough("shared", "item_windows") | enough("shared_typed", "item_typed"))
+    marked = marked.join(alone.select("item_id", F.lit(True).alias("alone")), "item_id", "left")
+    later = F.col("common") & ~F.coalesce("alone", F.lit(False))
+    marked = store(marked.withColumn("later", later).drop("items", "common", "alone"), "asked")
+    found = store(found, "found")
+    who = F.concat_ws("/", F.hex("key"), F.col("doc_id").cast("string")).alias("who")  # null identifiers as well
+    found = found.withColumn("who", who)
+    sooner = store(found.join(marked.where("NOT later"), "code"), "sooner")
+    some = sooner.select("who", "item_id").distinct()
+    wanted = some.join(marked.where("later"), "item_id")
+    return sooner.unionByName(found.join(wanted, ["who", "code"])).drop("who", "later")
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that leak no item, with all their columns."""
     bad = store(leaks(docs, benchmark, **options).select(F.col("key").alias("__bad")).distinct(), "leaks")

@@ -83,3 +83,39 @@ def test_short_dense_and_title_case_items_are_found(spark, table):
         (7, "Yes!"),
     )
     assert {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, items).collect()} == {(1, 0), (2, 1), (3, 2), (4, 3), (7, 4)}
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_windows_that_many_items_share_change_no_result(spark, data, table, monkeypatch):
+    docs, items = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "benchmark"))
+    opening = "Read the passage below with care and then answer the question that stands under it in one short sentence."
+    texts = [f"{opening} {' '.join(words(25, 100 + i))}" for i in range(30)]
+    short = [f"{opening} {' '.join(words(4, 300 + i))}" for i in range(12)]  # hardly more than what they share
+    asked = items.unionByName(benchmark(spark, *texts, *short, opening).selectExpr("item_id + 100000 AS item_id", "text"))
+    more = table(
+        *((10_000 + i, f"{' '.join(words(60, 500 + i))} {opening} {' '.join(words(60, 600 + i))}") for i in range(40)),
+        *((20_000 + i, f"{' '.join(words(60, 700 + i))} {texts[i]} {' '.join(words(9, 800 + i))}") for i in range(5)),
+        (None, f"{' '.join(words(60, 900))} {texts[7]}"),
+    )
+    both = docs.select("doc_id", "text").unionByName(more.select("doc_id", "text"))
+    monkeypatch.setattr(D, "COMMON", 10**9)
+    want = rows_of(D.leaks(both, asked))
+    for common in (0, 2, 8):
+        monkeypatch.setattr(D, "COMMON", common)
+        assert rows_of(D.leaks(both, asked)) == want
+    assert {(20_003, 100_003), (None, 100_007)} <= {(r[0], r[2]) for r in want}
+
+
+def test_a_sentence_that_all_items_and_documents_hold_is_not_joined_with_all(spark, table, monkeypatch):
+    opening = "please read every word of this long passage and answer"
+    asked = benchmark(spark, *(f"{opening} {' '.join(words(40, i))}" for i in range(100)))
+    docs = table(*((i, f"{opening} {' '.join(words(50, 1000 + i))}") for i in range(300)))
+    made = []
+    whole = D.matched_windows
+    monkeypatch.setattr(D, "matched_windows", lambda *a: made.append(whole(*a)) or made[-1])
+    assert D.leaks(docs, asked).count() == 0
+    windows = D.templates(docs.select("doc_id", "text"), ["doc_id"], D.SIZE, 4).count()
+    assert made[0].count() <= windows

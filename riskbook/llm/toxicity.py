@@ -4,12 +4,13 @@ The ordinary dictionary is trained on windows of ordinary texts.  The toxic one
 toxic texts that hold a piece of five characters which stands in far more toxic than ordinary texts, and
 is laid over the ordinary one, so that ordinary passages compress alike with both.  A window's gain is
 the number of bytes that the toxic dictionary saves on it.  How much a gain speaks for a toxic text is
-calibrated on labelled texts that the dictionaries did not see (two halves, each scored by the other's
-dictionaries), and so is the text's score: a logistic function of the mean weight of its windows, of its
-three heaviest windows, and of their number.
+calibrated on labelled texts that the dictionaries did not see (FOLDS parts, each scored by the dictionaries of
+the others), and so is the text's score: a logistic function of the mean weight of its windows, of its three
+heaviest windows, of its heaviest stretch of windows, and of their number; the stretch lets a passage count in long texts.
 
-Fitting reads a bounded sample of labelled rows, `per_label` of each label at most about, chosen by a
-hash of the identifier, in one task; every text is scored whole, window by window.
+Fitting reads a bounded sample of labelled rows, about `per_label` toxic and twice as many ordinary ones, chosen by a
+hash of the identifier, in one task.  The sample has more toxic rows than the labels have, so the fitted scores are
+moved back to the labels' odds.  Every text is scored whole, window by window.
 
 Defined cases: a null text counts as empty, and an empty text is scored by the calibration of no window;
 documents without a label are scored but not learned from; of several labels of a document the largest
@@ -42,6 +43,8 @@ ORDINARY_BYTES = 16384
 LEAST_TEXTS = 4
 DEVIATIONS = 6.0
 GAINS = 12  # gains from -2 to 9, in bytes
+#: Parts of the sample; each is scored by dictionaries of the others.
+FOLDS = 5
 
 
 @dataclass
@@ -136,14 +139,17 @@ def train(texts: list[str], toxic: list[int], counts: tuple[Counter, Counter]) -
             if any(spaced[i : i + PIECE] in distinct for i in range(len(word) - PIECE + 2)):
                 marked.append(spaced.encode())
     samples = [b"".join(marked[i : i + 8]) for i in range(0, len(marked), 8)]
-    ordinary = trained(plain[:: max(1, len(plain) // 300_000)], ORDINARY_BYTES)
+    ordinary = trained(plain, ORDINARY_BYTES)
     return Pair(ordinary, ordinary + trained(samples, TOXIC_BYTES), ordinary[-64:-16])
 
 
 def features(gains: np.ndarray, weights: np.ndarray) -> list[float]:
+    """What a text's windows say: their mean, the three heaviest, the heaviest stretch of windows, their number."""
     found = weights[gains]
     top = np.sort(np.maximum(found, 0))[-3:].sum() if len(found) else 0.0
-    return [float(found.mean()) if len(found) else 0.0, float(top), math.log1p(len(found)), 1.0]
+    total = np.concatenate([[0.0], np.cumsum(found)])
+    stretch = (total - np.minimum.accumulate(total)).max()
+    return [float(found.mean()) if len(found) else 0.0, float(top), float(stretch), math.log1p(len(found)), 1.0]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -162,24 +168,25 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def fit_texts(texts: list[str], toxic: list[int]) -> Model:
     prior = sum(toxic) / len(toxic) if toxic else 0.0
-    nothing = Model(None, np.zeros(GAINS), np.zeros(4), prior)
+    nothing = Model(None, np.zeros(GAINS), np.zeros(5), prior)
     if not 0 < prior < 1:
         return nothing
-    halves = [i % 2 for i in range(len(texts))]
-    counts = [(Counter(), Counter()), (Counter(), Counter())]
-    for text, label, half in zip(texts, toxic, halves, strict=True):
-        counts[half][label].update(pieces(text))
-    whole = train(texts, toxic, (counts[0][0] + counts[1][0], counts[0][1] + counts[1][1]))
+    parts = [i % FOLDS for i in range(len(texts))]
+    counts = [(Counter(), Counter()) for _ in range(FOLDS)]
+    for text, label, part in zip(texts, toxic, parts, strict=True):
+        counts[part][label].update(pieces(text))
+    total = tuple(sum((c[label] for c in counts), Counter()) for label in (0, 1))
+    whole = train(texts, toxic, total)
     gains: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
-    for half in (0, 1):
-        mine = [i for i, h in enumerate(halves) if h == half]
-        labels = [toxic[i] for i in mine]
+    for part in range(FOLDS):
+        others = [i for i, p in enumerate(parts) if p != part]
+        labels = [toxic[i] for i in others]
         seen = 0 < sum(labels) < len(labels)
-        pair = train([texts[i] for i in mine], labels, counts[half]) if seen else None
+        pair = train([texts[i] for i in others], labels, tuple(total[k] - counts[part][k] for k in (0, 1))) if seen else None
         if pair:
             scorer = Gains(pair)
-            for i, h in enumerate(halves):
-                if h != half:
+            for i, p in enumerate(parts):
+                if p == part:
                     gains[i] = scorer.of(texts[i])
     if not whole or not any(len(g) for g in gains):
         return nothing
@@ -193,6 +200,15 @@ def fit_texts(texts: list[str], toxic: list[int]) -> Model:
     return Model(whole, weights, logistic(x, np.array(toxic, float)), prior)
 
 
+def of_share(model: Model, share: float) -> Model:
+    """A model fitted on a sample, for texts of which `share` are toxic: the odds of its scores are moved by as
+    much as the sample's odds differ from theirs."""
+    bias = model.bias.copy()
+    if 0 < share < 1 and 0 < model.prior < 1:
+        bias[-1] += math.log(share / (1 - share)) - math.log(model.prior / (1 - model.prior))
+    return Model(model.pair, model.weights, bias, share)
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: Column, per_label: int = 1000) -> Model:
     """Model of the labelled rows of `docs` (doc_id, text) and `labels` (doc_id, toxic).
 
@@ -205,16 +221,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: Column, per_label: int = 1000)
     limit = {k: -(-per_label * (2 - k) * ceiling // max(1, n.get(k, 0))) for k in (0, 1)}
     draw = F.pmod(F.xxhash64(key.cast("string"), F.lit("toxicity sample")), F.lit(ceiling))
     chosen = marked.where(draw < F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0]))
+    # bounded by per_label, whatever the size of the tables
     texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    share = n.get(1, 0) / max(1, sum(n.values()))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates("text").sort_values("text")
         order = np.random.default_rng(4).permutation(len(rows))
         model = fit_texts([rows.text.iloc[i] for i in order], [int(rows.toxic.iloc[i]) for i in order])
+        model = of_share(model, share)
         return pd.DataFrame({"model": [pickle.dumps(_plain(model))]})
 
     fitted = texts.withColumn("all", F.lit("sample")).groupBy("all").applyInPandas(run, "model binary").collect()
-    return _model(pickle.loads(fitted[0]["model"])) if fitted else Model(None, np.zeros(GAINS), np.zeros(4), 0.0)
+    return _model(pickle.loads(fitted[0]["model"])) if fitted else Model(None, np.zeros(GAINS), np.zeros(5), 0.0)
 
 
 def _plain(model: Model) -> tuple:

@@ -58,3 +58,67 @@ def test_dictionaries_gain_on_toxic_windows_only():
     gains = toxicity.Gains(model.pair)
     assert gains.of(" ".join(["keba", "pathetic", "worthless", "scumbag", "lo", "mi"])).max() >= 2 + 5
     assert np.mean([gains.of(" ".join(words(60, 77 + i))).mean() for i in range(10)]) < 2.6
+
+
+def test_scores_by_hand(spark, table):
+    """Windows, compressed lengths, weights and the logistic function, one by one."""
+    import math
+
+    import zstandard
+
+    rows = labelled()
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int")
+    model = toxicity.fit(table(*[r[:2] for r in rows]), labels, F.col("doc_id"))
+    options = zstandard.ZstdCompressionParameters.from_level(
+        3, strategy=zstandard.STRATEGY_BTOPT, min_match=3, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+        write_content_size=0, write_checksum=0, write_dict_id=0,
+    )
+
+    def length(data, content):
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(compression_params=options)
+        return len(zstandard.ZstdCompressor(dict_data=held, compression_params=options).compress(data))
+
+    def by_hand(text):
+        found, words_ = [], (text or "").lower().split()
+        for i in range(0, len(words_), 6):
+            window = model.pair.lead + (" " + " ".join(words_[i : i + 6]) + " ").encode()
+            gain = length(window, model.pair.ordinary) - length(window, model.pair.toxic)
+            found.append(model.weights[min(max(gain, -2), 9) + 2])
+        top = sum(sorted((max(f, 0.0) for f in found), reverse=True)[:3])
+        stretch = max([0.0, *(sum(found[a:b]) for a in range(len(found)) for b in range(a + 1, len(found) + 1))])
+        x = [sum(found) / len(found) if found else 0.0, top, stretch, math.log(1 + len(found)), 1.0]
+        return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.bias, strict=True))))
+
+    texts = {d: t for d, t, _ in labelled(12, 9)} | {100: None, 101: "", 102: "Worthless", 103: "x " * 700}
+    for r in toxicity.score(table(*texts.items()).select("doc_id", "text"), model).collect():
+        assert abs(r["score"] - by_hand(texts[r["doc_id"]])) < 1e-9
+
+
+def test_scores_have_the_share_of_the_labels(spark, table):
+    rows = [r for seed in range(4) for r in [(1000 * seed + d, t, x) for d, t, x in labelled(200, 10 + seed)] if r[2] == 0 or r[0] % 8 == 0]
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int")
+    share = np.mean([t for _, _, t in rows])
+    model = toxicity.fit(table(*[r[:2] for r in rows]), labels, F.col("doc_id"), per_label=60)
+    other = [r for r in labelled(400, 30) if r[2] == 0 or r[0] % 8 == 0]
+    found = toxicity.score(table(*[r[:2] for r in other]).select("doc_id", "text"), model).collect()
+    assert abs(np.mean([r["score"] for r in found]) - np.mean([t for _, _, t in other])) < 0.03
+    assert abs(share - model.prior) < 1e-9
+
+
+def test_toxic_passages_in_texts_of_all_lengths(spark, table):
+    rows = labelled(400)
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int")
+    model = toxicity.fit(table(*[r[:2] for r in rows]), labels, F.col("doc_id"))
+    docs, planted = [], set()
+    for k, n in enumerate((20, 60, 200, 600)):
+        for i in range(20):
+            text = words(n, 5000 + 100 * k + i)
+            if i % 2:
+                text[n // 2 : n // 2] = [*BAD, *BAD]
+                planted.add(100 * k + i)
+            docs.append((100 * k + i, " ".join(text)))
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(table(*docs).select("doc_id", "text"), model).collect()}
+    clean = sorted(s for d, s in found.items() if d not in planted)
+    limit = clean[int(0.9 * len(clean))]
+    assert np.mean([found[d] > limit for d in planted]) > 0.9

@@ -45,6 +45,8 @@ RULES_A_ROUND = 2048
 LEAST = 8
 SLOT_BITS = 19
 END_ID = 1
+#: Bytes of shards that a task reads back, about.
+READ_BYTES = 8_000_000
 
 
 # -- the grammar -------------------------------------------------------------------
@@ -265,10 +267,15 @@ class Encoder:
         cuts -= cuts[0]
         coded = split.flatten().dictionary_encode()
         table, code = self.runs(coded.dictionary), coded.indices.to_numpy()
-        out = []
         odd = odd.to_numpy(zero_copy_only=False)
-        for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            out.append(np.array(self.whole(texts[i].as_py()), np.int64) if odd[i] else table.take(code[a:b]).ids.astype(np.int64))
+        out: list[np.ndarray] = []
+        steps = np.flatnonzero(np.diff(cuts[:-1] >> 19, prepend=-1)) if len(texts) else []  # about 2 ** 19 runs at once
+        for i, j in zip(steps, [*steps[1:], len(texts)], strict=True):
+            found = table.take(code[cuts[i] : cuts[j]])
+            ends = np.concatenate([[0], np.cumsum(found.lengths)])[cuts[i + 1 : j + 1] - cuts[i]]
+            out += np.split(found.ids.astype(np.int64), ends[:-1])
+        for i in np.flatnonzero(odd):
+            out[i] = np.array(self.whole(texts[i].as_py()), np.int64)
         return out
 
 
@@ -317,8 +324,15 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
     rows = rows.repartitionByRange(*by).sortWithinPartitions(F.asc_nulls_last(order[0]), *order[1:])
     made = rows.mapInArrow(_written(folder, tokenizer, end_id), "file string, documents long, tokens long, bytes long")
     made = store(made, "shards")
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    return made.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
+    # ids before: of the tasks before, one row each, and of the task's own shards before
+    task = F.substring("file", 1, 7).alias("task")
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = made.groupBy(task).agg(F.sum("tokens").alias("tokens"))
+    tasks = tasks.select("task", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("ahead"))
+    own = Window.partitionBy("task").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = made.withColumn("task", task).join(tasks, "task")
+    start = F.col("ahead") + F.coalesce(F.sum("tokens").over(own), F.lit(0))
+    return placed.withColumn("start", start).drop("task", "ahead")
 
 
 def _read(folder: str):
@@ -345,8 +359,9 @@ def _read(folder: str):
 
 def read_digests(shards: DataFrame, folder: str) -> DataFrame:
     """One row per document, decoded from the files: doc_id, start, n_tokens, ids_crc32, n_symbols."""
-    shards = store(shards.select("file", "start"), "starts")
-    spread = shards.repartition(max(1, shards.count()), "file")
+    shards = store(shards.select("file", "start", "bytes"), "starts")
+    size = shards.agg(F.sum("bytes")).first()[0] or 0
+    spread = shards.repartition(max(1, -(-size // READ_BYTES)), "file")  # many shards a task, by their bytes
     return spread.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long, n_symbols long")
 
 

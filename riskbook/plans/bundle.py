@@ -16,12 +16,14 @@ from typing import NamedTuple
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbook.functions.columns import percent_text
 from riskbook.plans import lending, light, migration, month_30, overdue, reloan, structure, vintage
 from riskbook.plans.cadence import Cadence, Options
 from riskbook.plans.sheets import Block, body_rows, places, read_sheets, sheet_rows, write_sheets
+from riskbook.schema import MEASURES, OF_COHORTS
 
 
 class Place(NamedTuple):
@@ -169,13 +171,50 @@ def standard_reports(cadence: Cadence, ages: int, options: Options = Options())
     }
 
 
+# Attributes that only the reports below tell apart; the others see a date's cells without them.
+CODES = ("PROV_CD", "SHENGSHI_CD", "LOAN_PR_SCOPE")
+BY_CODE = (
+    "reloan_overdue_by_province",
+    "lending_by_province",
+    "lending_by_city",
+    "overdue_by_province",
+    "overdue_by_city",
+    "overdue_by_scope",
+    "light_by_province",
+    "reloan_rate_by_province",
+)
+MATRICES = ("vintage_amount", "vintage_rate")
+
+
+def date_cells(cells: DataFrame) -> DataFrame:
+    """The cells without codes and cohorts: a few rows for each date, enough for every report by date."""
+    keys = [c for c in cells.columns if c not in (*CODES, *OF_COHORTS, *MEASURES)]
+    return cells.groupBy(*keys).agg(*[F.expr(f"sum({m}) AS {m}") for m in MEASURES])
+
+
 def standard_bundle(
-    facts: DataFrame, dims: DataFrame, cadence: Cadence, ages: int, options: Options = Options()
+    facts: DataFrame,
+    dims: DataFrame,
+    cadence: Cadence,
+    ages: int,
+    options: Options = Options(),
+    by_date: DataFrame | None = None,
+    cohorts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All tables of a cadence, rows in presentation order."""
+    """All tables of a cadence, rows in presentation order.
+
+    With ``by_date`` (stored ``date_cells``) the reports by date read that, and with ``cohorts`` (stored
+    ``cohort_sums``) the matrices; what is left reads the newest date's cells, and one report the codes of all dates.
+    """
     ordered = replace(cadence, ordered=True)
     reports = standard_reports(cadence, ages, options)
-    tables = {name: plan(facts, dims, ordered) for name, plan in reports.items()}
+    tables = {
+        name: plan(facts if by_date is None or name in (*BY_CODE, *MATRICES) else by_date, dims, ordered)
+        for name, plan in reports.items()
+    }
+    if cohorts is not None and cadence.vintages:
+        amounts = vintage.shown(vintage.matrix(cohorts, ages, "OD_AMT"), ages, ordered=True)
+        tables |= dict(zip(MATRICES, (amounts, vintage.vintage_rates(amounts)), strict=True))
     # Written without its key column: the sheet has the size classes printed on it.
     tables["overdue_by_scope"] = tables["overdue_by_scope"].drop("loan_pr_scope")
     return tables

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskbook.operators.checks import FAIL, IGNORE, not_in, settle, unlisted_rows
 from riskbook.operators.rows import everyone, repeated_codes
-from riskbook.plans import bundle, month_30
+from riskbook.plans import bundle, month_30, vintage
 from riskbook.plans.cadence import Cadence, Options
 from riskbook.plans.structure import STATES
 from riskbook.sources.calendar import Period, months_spanned
@@ -54,8 +54,9 @@ def run_standard(
     """All tables of a cadence over stored snapshots; returns the manifest.
 
     ``name`` says which population this is; with the cadence and the last date it
-    is part of every path, so runs into one folder leave each other alone.  The snapshots are read once, merged to cells and stored; every table then
-    reads the cells.
+    is part of every path, so runs into one folder leave each other alone.  The snapshots are read once, merged to
+    cells and stored.  The cells of all dates are then read three times at most: for the sums of the
+    reports by date, for those of the cohort matrices, and for the one report by code and date.
     """
     run_date, ages = max(dates), months_spanned(dates)
     target = run_folder(folder, cadence.name, name)
@@ -63,7 +64,12 @@ def run_standard(
     _check_codes(dims, options)
     cells = _store_cells(spark, snapshots, dates, path, population, cadence.vintages, options)
     cadence = replace(cadence, newest=run_date, oldest=min(stored_dates(spark, path), default=None))
-    tables = bundle.standard_bundle(cells, dims, cadence, ages, options)
+    by_date = _stored(bundle.date_cells(cells), f"{target}/date_cells/run_date={run_date}")
+    cohorts = None
+    if cadence.vintages:
+        sums = vintage.cohort_sums(cells, ["OD_AMT"], oldest=cadence.oldest)
+        cohorts = _stored(sums, f"{target}/cohorts/run_date={run_date}")
+    tables = bundle.standard_bundle(cells, dims, cadence, ages, options, by_date, cohorts)
     layout, labels = bundle.standard_layout(cadence), bundle.standard_labels(cadence, ages)
     return bundle.write_bundle(
         spark, tables, layout, labels, target, run_date, text=cadence.as_text, fmt=fmt
@@ -80,10 +86,13 @@ def run_month_30(
     run_date = max(dates)
     target = run_folder(folder, "month_30", "both")
     path = f"{target}/sums/run_date={run_date}"
-    sums = month_30.core(read_snapshots(spark, snapshots, dates))
-    sums.write.mode("overwrite").parquet(path)
-    stored = spark.read.schema(sums.schema).parquet(path)
-    return bundle.write_month_30(spark, stored, months_spanned(dates), target, run_date, options)
+    sums = _stored(month_30.core(read_snapshots(spark, snapshots, dates)), path)
+    return bundle.write_month_30(spark, sums, months_spanned(dates), target, run_date, options)
+
+
+def _stored(table: DataFrame, path: str) -> DataFrame:
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def unlisted(dates: Sequence[date], cohorts: bool) -> dict[str, str]:

@@ -57,7 +57,11 @@ def vintage(
     many of those months have a snapshot.  A missing cell stays missing,
     and a cohort with no cell at all is left out.
     """
-    cohorts = matrix(cohort_sums(facts, [measure], which, oldest), ages, measure)
+    return shown(matrix(cohort_sums(facts, [measure], which, oldest), ages, measure), ages, ordered)
+
+
+def shown(cohorts: DataFrame, ages: int, ordered: bool = False) -> DataFrame:
+    """Cohorts of ``matrix`` as the reports show them."""
     if ordered:
         cohorts = arrange(cohorts, "BEGIN_DATE")
     return cohorts.selectExpr(

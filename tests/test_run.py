@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -6,12 +7,12 @@ from pyspark.sql import functions as F
 
 from riskbook.operators.checks import settle, unlisted_rows
 from riskbook.operators.rows import everyone, repeated_codes, without_prefix
-from riskbook.plans import bundle, lending, month_30, overdue, run
+from riskbook.plans import bundle, lending, month_30, overdue, run, vintage
 from riskbook.plans.cadence import DAY, MONTH, WEEK, Options
 from riskbook.schema import LEDGER
-from riskbook.sources.calendar import days, month_ends
-from riskbook.sources.snapshot import build_snapshots, compact_ledger
-from riskbook.sources.tables import read_snapshots, write_snapshots
+from riskbook.sources.calendar import days, month_ends, months_spanned
+from riskbook.sources.snapshot import build_snapshots, compact_ledger, to_cells
+from riskbook.sources.tables import read_cells, read_snapshots, stored_dates, write_snapshots
 
 PERIODS = month_ends(date(2020, 2, 1), date(2020, 5, 1))
 
@@ -138,3 +139,27 @@ def test_codes_listed_twice_add_no_rows(spark):
     with pytest.warns(UserWarning, match="1 codes"):
         run._check_codes(twice, Options())
     run._check_codes(dims(spark), Options(repeated_codes="fail"))
+
+
+@pytest.mark.parametrize("cadence", [MONTH, DAY])
+def test_tables_from_stored_sums_equal_those_from_cells(spark, tmp_path, cadence):
+    whole = to_cells(build_snapshots(ledger(spark), PERIODS, cohort_by_month=True))
+    write_snapshots(whole, str(tmp_path / "cells"), whole=True)
+    cells = read_cells(spark, str(tmp_path / "cells"), whole.schema)
+    known = replace(cadence, newest=PERIODS[-1].day, oldest=min(stored_dates(spark, str(tmp_path / "cells"))))
+    ages, options = months_spanned(days(PERIODS)), Options(detail_from=date(2020, 1, 1))
+    by_date = run._stored(bundle.date_cells(cells), str(tmp_path / "date_cells"))
+    cohorts = run._stored(vintage.cohort_sums(cells, ["OD_AMT"], oldest=known.oldest), str(tmp_path / "cohorts"))
+    assert by_date.count() < cells.count()
+    direct = bundle.standard_bundle(cells, dims(spark), known, ages, options)
+    found = bundle.standard_bundle(cells, dims(spark), known, ages, options, by_date, cohorts)
+    half = bundle.standard_bundle(cells, dims(spark), known, ages, options, by_date)
+    assert set(found) == set(half) == set(direct)
+    reading = set()
+    for name in direct:
+        assert spark_table(found[name]) == spark_table(direct[name]), name
+        scans = [line for line in found[name]._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line and "/cells" in line]
+        if any(f"= {PERIODS[-1].day}" not in line for line in scans):
+            reading.add(name)
+    # with the two sums above, three scans of all dates; the others read the newest date's partition
+    assert reading == {"reloan_rate_by_province"}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskbook.functions.columns import unite
 from riskbook.operators import rows, sums
-from riskbook.plans import bundle, month_30, overdue, structure
+from riskbook.plans import bundle, month_30, overdue, structure, vintage
 from riskbook.plans.run import run_folder
 from riskbook.plans.cadence import BIWEEK, DAY, MONTH, WEEK, Cadence, Options
 from riskbook.schema import ATTRIBUTES, MEASURES
@@ -522,7 +522,10 @@ def _bundle(cadence: Cadence, spark: SparkSession, folder: str) -> DataFrame:
     ages = _ages(cadence.name)
     facts = cells(spark, folder, cadence.name)
     known = dated(cadence, "all", spark, folder)
-    tables = bundle.standard_bundle(facts, dimension(spark, folder), known, ages, OPTIONS)
+    stored = f"{_run_folder(spark, folder)}/sums/{cadence.name}"
+    by_date = _stored(bundle.date_cells(facts), f"{stored}/date_cells")
+    cohorts = _stored(vintage.cohort_sums(facts, ["OD_AMT"], oldest=known.oldest), f"{stored}/cohorts") if cadence.vintages else None
+    tables = bundle.standard_bundle(facts, dimension(spark, folder), known, ages, OPTIONS, by_date, cohorts)
     manifest = bundle.write_bundle(
         spark,
         tables,
@@ -539,11 +542,13 @@ def _month_30_run(spark: SparkSession, folder: str) -> DataFrame:
     """Writes the 30-day tables and sheets of all runs; gives the manifest."""
     target = run_folder(f"{_run_folder(spark, folder)}/bundles", "month_30", "both")
     day = reported(MONTH.name)[-1]
-    totals = month_30.core(cells(spark, folder, MONTH.name))
-    path = f"{target}/sums/run_date={day}"
-    totals.write.mode("overwrite").parquet(path)
-    stored = spark.read.schema(totals.schema).parquet(path)
-    return bundle.write_month_30(spark, stored, _ages(MONTH.name), target, day)
+    totals = _stored(month_30.core(cells(spark, folder, MONTH.name)), f"{target}/sums/run_date={day}")
+    return bundle.write_month_30(spark, totals, _ages(MONTH.name), target, day)
+
+
+def _stored(table: DataFrame, path: str) -> DataFrame:
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def _month_30_bundle(spark: SparkSession, folder: str) -> DataFrame:

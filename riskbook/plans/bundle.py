@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 from functools import partial
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskbook.functions.columns import percent_text
+from riskbook.operators.rows import union_rows
 from riskbook.plans import lending, light, migration, month_30, overdue, reloan, structure, vintage
 from riskbook.plans.cadence import Cadence, Options
 from riskbook.plans.sheets import Block, body_rows, places, read_sheets, sheet_rows, write_sheets
@@ -326,6 +328,10 @@ def as_text(table: DataFrame) -> DataFrame:
     )
 
 
+# Tables that are written at the same time.
+WRITERS = 8
+
+
 def write_bundle(
     spark: SparkSession,
     tables: dict[str, DataFrame],
@@ -342,14 +348,19 @@ def write_bundle(
     them, is the last thing written and appears at once (``read_manifest``); until then, and if a write
     fails, readers see the whole of the version before.  Row counts come from the written files.
     """
-    options = {"header": "true"} if fmt == "csv" else {}
-    paths, shapes, version = {}, {}, new_version()
-    for name in dict.fromkeys(p.table for p in layout if p.table):
-        table = as_text(tables[name]) if text else tables[name]
-        paths[name] = f"{folder}/version={version}/report={name}/run_date={run_date}"
-        table.write.format(fmt).options(**options).save(paths[name])
-        stored = spark.read.format(fmt).options(**options).schema(table.schema).load(paths[name])
-        shapes[name] = (stored.count(), len(table.columns))
+    options, version = {"header": "true"} if fmt == "csv" else {}, new_version()
+    names = list(dict.fromkeys(p.table for p in layout if p.table))
+    written = {name: as_text(tables[name]) if text else tables[name] for name in names}
+    paths = {name: f"{folder}/version={version}/report={name}/run_date={run_date}" for name in names}
+    # each table is a few rows and a few small jobs, so several are written at a time
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(lambda n: written[n].write.format(fmt).options(**options).save(paths[n]), names))
+    stored = [
+        spark.read.format(fmt).options(**options).schema(written[n].schema).load(paths[n]).select(F.lit(n).alias("name"))
+        for n in names
+    ]
+    found = {r["name"]: r["count"] for r in union_rows(stored).groupBy("name").count().collect()} if stored else {}
+    shapes = {name: (found.get(name, 0), len(written[name].columns)) for name in names}
     rows = [_manifest_row(i, p, shapes, paths, labels) for i, p in enumerate(layout, 1)]
     return _commit(spark, rows, folder, run_date, version)
 

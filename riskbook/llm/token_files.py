@@ -224,10 +224,19 @@ class Encoder:
         self.special = [*(t.content for t in self.tokenizer.get_added_tokens_decoder().values()), *"\x1c\x1d\x1e\x1f"]
         self.size = self.tokenizer.get_vocab_size()
         self.letters = byte_letters()
+        self.marks = {mark: self.whole(mark) for mark in MARKS}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def word(self, word: str) -> list[int]:
+        """Ids of a word; letters with at most one mark after them go to the model."""
+        core = word[:-1] if word[-1] in MARKS else word
+        if not core.isalpha() or not (core.isascii() or max(core) <= "ÿ"):
+            return self.whole(word)
+        shown = core.lower().encode().decode("latin-1").translate(self.letters)
+        return [*(t.id for t in self.model.tokenize(shown)), *(self.marks[word[-1]] if core != word else ())]
+
     def runs(self, runs: pa.Array) -> Rows:
         """Ids of different runs between spaces."""
         alone = pc.match_substring_regex(runs, f"^{WORD}$")
@@ -245,8 +254,8 @@ class Encoder:
         texts = runs.take(pa.array(rest)).to_pylist()
         marks = len(words)
         others, nothing = marks + len(MARKS), marks + len(MARKS) + len(rest)
-        parts.append(Rows.of([self.whole(m) for m in MARKS]))
-        parts.append(Rows.of([[i for word in t.split() for i in self.whole(word)] for t in texts]))
+        parts.append(Rows.of([self.marks[m] for m in MARKS]))
+        parts.append(Rows.of([[i for word in t.split() for i in self.word(word)] for t in texts]))
         table = Rows.joined([*parts, Rows.of([[]])])
 
         first = pc.fill_null(core.indices, -1).to_numpy().astype(np.int64)

@@ -146,6 +146,30 @@ def test_short_words_are_learned(spark, table):
     assert np.mean([found[d] > clean[int(0.9 * len(clean))] for d, _, t in other if t]) > 0.8
 
 
+def phrases(n, seed):
+    """Texts of one kind of words; toxic ones hold some of them side by side in certain pairs."""
+    random_ = random.Random(seed)
+    syllables = ["ba", "ke", "lo", "mi", "tu", "ra", "sen", "dor"]
+    pairs = [f"{a}{b} {b}{c}" for a, b, c in zip(syllables * 2, syllables[1:] + syllables * 2, syllables[3:] + syllables * 2, strict=False)]
+    rows = []
+    for i in range(n):
+        text, toxic = words(120, seed * 1000 + i), i % 4 == 0
+        for _ in range(4 * toxic):
+            text[random_.randrange(120)] = random_.choice(pairs)
+        rows.append((i, " ".join(text), int(toxic)))
+    return rows
+
+
+def test_pairs_of_ordinary_words_are_learned(spark, table):
+    rows = phrases(600, 5)
+    labels = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, toxic int")
+    model = toxicity.fit(table(*[r[:2] for r in rows]), labels, F.col("doc_id"))
+    other = phrases(200, 6)
+    found = {r["doc_id"]: r["score"] for r in toxicity.score(table(*[r[:2] for r in other]).select("doc_id", "text"), model).collect()}
+    clean = sorted(found[d] for d, _, t in other if not t)
+    assert np.mean([found[d] > clean[int(0.9 * len(clean))] for d, _, t in other if t]) > 0.8
+
+
 def test_word_contexts_by_spark_equal_those_by_python(spark, table):
     rows = [(1, "Ugh  you ugh", 1), (2, "ugh you ugh", 1), (3, " so\tugh ", 0), (4, "", 0)]
     rows += [(10 + i, f"w{i} ugh z{i}", 1) for i in range(40)] + [(100 + i, f"w{i} and z{i} or", 0) for i in range(80)]
